@@ -1,6 +1,6 @@
 """All catalogue queries; importing this module registers them."""
 
-from . import q_containment, q_itemsets  # noqa: F401
+from . import q_containment, q_itemsets, q_sequences  # noqa: F401
 from .registry import REGISTRY
 
 __all__ = ["REGISTRY"]
