@@ -278,3 +278,15 @@ def session_fold(spark: SparkSession, sf: str) -> DataFrame:
     f = SS.fold_sessions(user_turn_items(spark, sf), ["conv_id"], "turn")
     return f.select("conv_id", "turn", F.col("n_items").cast("int").alias("n_items"), "waiting_before", "action",
                     F.array_join(F.array_sort("items_used"), ",").alias("items_used"), "followup_limit")
+
+
+@query("session_stream")
+def session_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """ST1 stream: the same turns fed as one file per turn number through
+    ``applyInPandasWithState`` (rows-only; the tests check it equals the fold)."""
+    from ..streaming.session_stream import run_file_stream
+
+    turns = user_turn_items(spark, sf)
+    out = run_file_stream(spark, turns.withColumn("batch", F.col("turn")), "batch")
+    return out.select("conv_id", "turn", "n_items", "waiting_before", "action",
+                      F.array_join(F.array_sort("items_used"), ",").alias("items_used"), "followup_limit")
