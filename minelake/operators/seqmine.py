@@ -78,7 +78,8 @@ def prefixspan(sequences: DataFrame, seq_col: str = "sequence", min_support: flo
     ps = PrefixSpan(minSupport=min_support, maxPatternLength=max_len,
                     maxLocalProjDBSize=max_local_proj_db_size, sequenceCol="sequence")
     res = ps.findFrequentSequentialPatterns(data)
-    return (res.select(F.col("sequence").alias("pattern"), F.col("freq").cast("long").alias("freq"))
+    return (res.select(F.transform("sequence", lambda s: F.array_sort(s)).alias("pattern"),
+                       F.col("freq").cast("long").alias("freq"))
             .withColumn("support", F.col("freq") / F.lit(float(n)))
             .where(F.col("support") >= F.lit(min_support))
             .withColumn("level", F.aggregate("pattern", F.lit(0), lambda a, s: a + F.size(s)))

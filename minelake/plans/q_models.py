@@ -200,7 +200,7 @@ def tumour_predict(spark: SparkSession, sf: str) -> DataFrame:
                        F.concat(F.lit("texture_mean: "), F.col("l_extendedprice").cast("string")),
                        F.concat(F.lit("concave points_se="), F.col("l_discount").cast("string")),
                        F.when(F.col("l_linenumber") != 1, F.concat(F.lit("area worst "), F.col("l_tax").cast("string"))))
-    t = li.select(*QS.KEYS, TX.extract_with_fallback(text).alias("m"))
+    t = TX.add_measurements(li.select(*QS.KEYS, text.alias("text")), "text", "m")
     t = t.withColumn("vals", ML.map_to_features(F.col("m"), feats, TX.canonical_key))
     complete = F.forall("vals", lambda v: v.isNotNull())
     full = t.where(complete).withColumn("features", array_to_vector("vals"))

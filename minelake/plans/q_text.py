@@ -177,7 +177,7 @@ def tumour_analysis(spark: SparkSession, sf: str) -> DataFrame:
     per = hits.groupBy("_tid").agg(F.sort_array(F.collect_list("term")).alias("terms"))
     j = t.join(per, "_tid", "left")
     chars = F.array_sort(TX.standardise_characteristics(F.coalesce("terms", F.array().cast("array<string>"))))
-    j = j.withColumn("chars", chars).withColumn("m", TX.standardise_measurements(TX.extract_with_fallback(F.col("text"))))
+    j = TX.add_measurements(j.withColumn("chars", chars), "text", "m", standardise=True)
     insights, risk = TX.risk_insights(F.col("m"), F.col("chars"))
     p, label, prob = TX.heuristic_score(F.col("m"))
     conf = TX.completeness_confidence(F.cardinality("m"), F.size("chars"), prob)
