@@ -32,7 +32,11 @@ def mine_itemsets(baskets: DataFrame, items_col: str = "items", min_support: flo
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
     model = fp.fit(data)
-    res = (model.freqItemsets
+    # freqItemsets is rebuilt from an uncached RDD on every action; the mined
+    # table is small, so it is checkpointed once to the shared folder.
+    from ..session import cut_lineage
+
+    res = (cut_lineage(model.freqItemsets)
            .select(F.sort_array("items").alias("items"), F.col("freq").cast("long").alias("freq"))
            .withColumn("size", F.size("items"))
            .withColumn("support", F.col("freq") / F.lit(float(n)))

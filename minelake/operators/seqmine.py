@@ -77,7 +77,11 @@ def prefixspan(sequences: DataFrame, seq_col: str = "sequence", min_support: flo
             [], "pattern array<array<string>>, freq long, support double, level int, n_itemsets int")
     ps = PrefixSpan(minSupport=min_support, maxPatternLength=max_len,
                     maxLocalProjDBSize=max_local_proj_db_size, sequenceCol="sequence")
-    res = ps.findFrequentSequentialPatterns(data)
+    # the result is an uncached RDD-backed frame; checkpoint the (small)
+    # pattern table once so later joins do not mine again
+    from ..session import cut_lineage
+
+    res = cut_lineage(ps.findFrequentSequentialPatterns(data))
     return (res.select(F.transform("sequence", lambda s: F.array_sort(s)).alias("pattern"),
                        F.col("freq").cast("long").alias("freq"))
             .withColumn("support", F.col("freq") / F.lit(float(n)))
@@ -136,10 +140,9 @@ def gsp_compat(sequences: DataFrame, seq_col: str = "sequence", min_support: flo
     with a != b (every ordered pair of frequent items is a candidate there);
     higher levels as described in the module docstring.
     """
-    allp = prefixspan(sequences, seq_col, min_support, max_len)
     from ..session import cut_lineage
 
-    allp = cut_lineage(allp)
+    allp = prefixspan(sequences, seq_col, min_support, max_len)
     lvl1 = allp.where(F.col("level") == 1)
     lvl2 = allp.where((F.col("level") == 2) & (F.col("n_itemsets") == 2) &
                       (F.element_at("pattern", 1) != F.element_at("pattern", 2)))

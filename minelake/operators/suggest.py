@@ -1,11 +1,14 @@
 """Follow-up suggestions from frequent itemsets (MIN13, JON12, FLT7, WIN4, SRT7).
 
-For a whole table of queries (each a set of known items): the itemset
-records are pre-aggregated to one row per distinct itemset (its best
-support, first record on ties) before anything is joined; then every known
-item equi-joins the records that hold it, candidates are the record's other
-items, the best record per (query, candidate) wins, and each query keeps its
-top ``limit`` candidates.
+For a whole table of queries (each a set of known items). The best record
+for a candidate c of a query is the best record (highest support, then the
+earliest record) that holds c and at least one known item k. That equals
+the best, over the known items k, of the best record holding both k and c.
+So the records are first pre-aggregated into a pair table
+``(k, c) -> best record`` whose size is bounded by the item vocabulary
+squared, independent of how many records or queries there are; each query's
+known items then equi-join that table (broadcast when size-checked), and
+only per-(query, candidate) winners and the per-query top ``limit`` remain.
 """
 
 from __future__ import annotations
@@ -22,33 +25,35 @@ def followup_limit(n_known: Column, threshold: int = LX.MIN_ITEMS_FOR_CONFIDENCE
     return F.greatest(F.lit(3), F.lit(threshold) - n_known + 2)
 
 
+def pair_table(records: DataFrame) -> DataFrame:
+    """(k, c) -> best record holding both k and c (support desc, rec_order asc)."""
+    recs = records.select(F.array_distinct("items").alias("items"), "support", "group", "rec_order")
+    pairs = (recs.select("*", F.explode("items").alias("k"))
+             .select("*", F.explode("items").alias("c")).where(F.col("k") != F.col("c")))
+    best = pairs.groupBy("k", "c").agg(
+        F.max_by(F.struct("support", "group", "rec_order", "items"),
+                 F.struct(F.col("support"), -F.col("rec_order"))).alias("b"))
+    return best.select("k", "c", "b.support", "b.group", "b.rec_order", "b.items")
+
+
 def suggest(queries: DataFrame, query_key: str, known_col: str, records: DataFrame,
             limit: Column | int | None = None) -> DataFrame:
-    """Top suggestions per query.
-
-    ``records``: (items array, support, group, rec_order); ties in support go
-    to the smaller ``rec_order`` (the reference's first record). ``limit``
-    defaults to the follow-up rule on the number of known items.
-    """
-    recs = records.select("items", "support", "group", "rec_order")
-    w_it = Window.partitionBy(F.array_join("items", "\u0001")).orderBy(F.desc("support"), "rec_order")
-    best = recs.withColumn("_r", F.row_number().over(w_it)).where(F.col("_r") == 1).drop("_r")
-    rec_items = best.select("items", "support", "group", "rec_order", F.explode(F.array_distinct("items")).alias("_item"))
+    """Top suggestions per query: (query, rank, candidate, display_name,
+    support, group, trigger). ``records``: (items, support, group, rec_order);
+    ``limit`` defaults to the follow-up rule on the number of known items."""
+    table = bounded_broadcast(pair_table(records))
     q = queries.select(query_key, F.array_distinct(F.col(known_col)).alias("_known"))
     q = q.withColumn("_n_known", F.size("_known"))
-    q_items = q.select(query_key, "_known", "_n_known", F.explode("_known").alias("_item"))
-    # a record meets a query once, through any shared item (FLT7 overlap)
-    pairs = (q_items.join(bounded_broadcast(rec_items), "_item")
-             .dropDuplicates([query_key, "rec_order"]))
-    cands = pairs.select(query_key, "_n_known", "support", "group", "rec_order",
-                         F.filter("items", lambda x: F.array_contains(F.col("_known"), x)).alias("trigger"),
-                         F.explode(F.array_except("items", "_known")).alias("candidate"))
-    w_c = Window.partitionBy(query_key, "candidate").orderBy(F.desc("support"), "rec_order")
+    q_items = q.select(query_key, "_known", "_n_known", F.explode("_known").alias("k"))
+    cands = (q_items.join(table, "k")
+             .where(~F.array_contains(F.col("_known"), F.col("c"))))
+    w_c = Window.partitionBy(query_key, "c").orderBy(F.desc("support"), "rec_order")
     top = cands.withColumn("_r", F.row_number().over(w_c)).where(F.col("_r") == 1).drop("_r")
     lim = followup_limit(F.col("_n_known")) if limit is None else (
         F.lit(limit) if isinstance(limit, int) else limit)
-    w_q = Window.partitionBy(query_key).orderBy(F.desc("support"), "candidate")
+    w_q = Window.partitionBy(query_key).orderBy(F.desc("support"), "c")
     ranked = top.withColumn("rank", F.row_number().over(w_q)).where(F.col("rank") <= lim)
-    return ranked.select(query_key, "rank", "candidate",
-                         F.replace("candidate", F.lit("_"), F.lit(" ")).alias("display_name"),
-                         "support", "group", "trigger")
+    return ranked.select(query_key, "rank", F.col("c").alias("candidate"),
+                         F.replace("c", F.lit("_"), F.lit(" ")).alias("display_name"),
+                         "support", "group",
+                         F.filter("items", lambda x: F.array_contains(F.col("_known"), x)).alias("trigger"))
