@@ -33,7 +33,9 @@ def contained_pairs(itemsets: DataFrame, groups: DataFrame, group_key: str,
     shuffle join on the item.
     """
     its = itemsets.withColumn("_key_item", F.element_at(F.array_sort(items_col), 1))
-    grp = groups.select(group_key, F.array_distinct(group_items).alias("_basket"))
+    from ..plans.parallel import spread
+
+    grp = spread(groups.select(group_key, F.array_distinct(group_items).alias("_basket")))
     grp_long = grp.select(group_key, "_basket", F.explode("_basket").alias("_key_item"))
     cand = grp_long.join(bounded_broadcast(its), "_key_item")
     hit = F.size(F.array_except(F.col(items_col), F.col("_basket"))) == 0

@@ -170,7 +170,9 @@ def pattern_support(sequences: DataFrame, patterns: DataFrame, seq_col: str = "s
     joined to the sequences' distinct items, so a sequence meets only the
     patterns that can start in it; no cross join.
     """
-    seqs = sequences.select(F.col(seq_col).alias("_seq"))
+    from ..plans.parallel import spread
+
+    seqs = spread(sequences.select(F.col(seq_col).alias("_seq")))
     n = seqs.count()
     pats = (patterns.select(F.col(pattern_col).alias("pattern"))
             .withColumn("_first", F.element_at(F.element_at("pattern", 1), 1)))

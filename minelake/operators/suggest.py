@@ -42,7 +42,9 @@ def suggest(queries: DataFrame, query_key: str, known_col: str, records: DataFra
     support, group, trigger). ``records``: (items, support, group, rec_order);
     ``limit`` defaults to the follow-up rule on the number of known items."""
     table = bounded_broadcast(pair_table(records))
-    q = queries.select(query_key, F.array_distinct(F.col(known_col)).alias("_known"))
+    from ..plans.parallel import spread
+
+    q = spread(queries.select(query_key, F.array_distinct(F.col(known_col)).alias("_known")))
     q = q.withColumn("_n_known", F.size("_known"))
     q_items = q.select(query_key, "_known", "_n_known", F.explode("_known").alias("k"))
     cands = (q_items.join(table, "k")

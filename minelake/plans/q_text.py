@@ -93,7 +93,9 @@ _UNPIVOT_MEASURES = " UNION ALL ".join(
 @query("measure_roundtrip", _UNPIVOT_MEASURES)
 def measure_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """TX10 -> TX3: rendered lineitem values extracted back (must equal the source)."""
-    r = rendered_measurements(spark, sf)
+    from .parallel import spread
+
+    r = spread(rendered_measurements(spark, sf))
     m = r.select(*QS.KEYS, TX.extract_measurements(F.col("text")).alias("m"))
     return m.select(*QS.KEYS, F.explode("m").alias("key", "value")).select(
         *QS.KEYS, "key", r6("value").alias("value"))
@@ -106,7 +108,9 @@ UNION ALL SELECT {QS._KEYS}, 'rate', round(l_discount, 6) FROM lineitem WHERE l_
 def kv_fallback(spark: SparkSession, sf: str) -> DataFrame:
     """TX5: 'quantity: 1.0, extended-price = 2.0, disc rate 0.05' -> pairs
     (separated pairs plus the spaced fallback, which keeps one word)."""
-    li = read(spark, sf, "lineitem").where(F.col("l_returnflag").isin("A", "R"))
+    from .parallel import spread
+
+    li = spread(read(spark, sf, "lineitem").where(F.col("l_returnflag").isin("A", "R")))
     text = F.concat(F.lit("quantity: "), F.col("l_quantity").cast("string"),
                     F.lit(", extended-price = "), F.col("l_extendedprice").cast("string"),
                     F.lit(", disc rate "), F.col("l_discount").cast("string"))

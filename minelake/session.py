@@ -17,6 +17,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # small shuffled tables that feed a large fan-out (candidate pairs) keep
+    # several tasks instead of being merged into one 1 MB partition
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # Broadcast only what the planner can prove small; data-derived small

@@ -159,3 +159,10 @@ def test_model_save_load(spark):
         IO.load_model(d, ["f2", "f1"])
     p = ML.predict(m2, df, feats, classes)
     assert p.where(F.col("predicted") == F.col("y")).count() > 150
+
+
+def test_measurement_last_match_wins(spark):
+    df = spark.createDataFrame([("radius 1.5; area 3; radius 2.5",), ("size 4, diameter 10, radius 1",)], "t string")
+    m = [dict(r[0]) for r in df.select(TX.standardise_measurements(TX.extract_measurements(F.col("t")))).collect()]
+    assert m[0] == {"radius": 2.5, "area": 3.0}
+    assert m[1] == {"radius": 4.0}  # size beats diameter beats radius (name order)
