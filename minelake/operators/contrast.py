@@ -135,3 +135,34 @@ def four_way(patterns: DataFrame, class_a: str, class_b: str, min_difference: in
            .when(diff >= min_difference, F.lit(f"{class_a}_dominant"))
            .when(-diff >= min_difference, F.lit(f"{class_b}_dominant")))
     return cmp.withColumn("category", cat).where(F.col("category").isNotNull())
+
+
+def analyze(sequences: DataFrame, label_col: str, class_a: str, class_b: str,
+            min_support: float = 0.1, max_len: int = 5, engine: str = "prefixspan") -> dict[str, DataFrame]:
+    """MIN12: the full analysis as named DataFrames (lazy except the mining)."""
+    pats = mine_by_class(sequences, label_col, [class_a, class_b], min_support=min_support,
+                         max_len=max_len, engine=engine)
+    cmp = compare_classes(pats, class_a, class_b)
+    return {
+        "class_patterns": pats,
+        "comparison": cmp,
+        "discriminative_top10": top_discriminative(cmp, 10),
+        f"unique_{class_a}_top10": top_unique(cmp, class_a, 10, "support_a"),
+        f"unique_{class_b}_top10": top_unique(cmp, class_b, 10, "support_b"),
+        "feature_importance": feature_importance(pats, 10),
+        "pattern_summary": pattern_summary(pats),
+        "totals": class_totals(sequences, label_col, [class_a, class_b]),
+        "interpretations": interpretations(cmp, class_a, class_b),
+    }
+
+
+def strategy_summary(per_strategy: dict[str, DataFrame], label_col: str) -> DataFrame:
+    """MIN21: sequences and patterns per (strategy, class); ``per_strategy``
+    maps a strategy name to its per-class pattern table joined with nothing
+    else — each entry holds ``class`` rows from ``mine_by_class``."""
+    parts = [df.groupBy("class").agg(F.count(F.lit(1)).alias("n_patterns")).withColumn("strategy", F.lit(k))
+             for k, df in per_strategy.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

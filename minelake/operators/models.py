@@ -65,6 +65,18 @@ def scorer(name: str, positive_index: int):
     return MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction", metricName=name)
 
 
+def choose_positive(df: DataFrame, label: str, preferred: str = "M", max_classes: int = 3) -> str:
+    """FLT8: binary-class check and positive label: ``preferred`` when
+    present, else the first label in sorted order. Reads at most
+    ``max_classes + 1`` distinct labels."""
+    labels = sorted(r[0] for r in df.select(label).distinct().limit(max_classes + 1).collect())
+    if len(labels) > max_classes:
+        raise ValueError(f"more than {max_classes} classes in {label!r}")
+    if len(labels) < 2:
+        raise ValueError(f"need two classes in {label!r}, found {labels}")
+    return preferred if preferred in labels else labels[0]
+
+
 def _depth(d):
     return MAX_DEPTH_CAP if d is None else min(int(d), MAX_DEPTH_CAP)
 

@@ -370,3 +370,33 @@ def rule_summary(spark: SparkSession, sf: str) -> DataFrame:
     s = I.rule_summary(order_rules(spark, sf))
     return s.select("n_rules", r6("avg_confidence").alias("avg_confidence"),
                     r6("avg_lift").alias("avg_lift"), "n_high_lift")
+
+
+@query("findings_summary", _RULES_BASE + f""",
+b2 AS (SELECT * FROM b)
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM b2) AS n_baskets,
+       (SELECT CAST(sum(len(items)) AS BIGINT) FROM b2) AS total_items,
+       (SELECT CAST(count(DISTINCT i) AS BIGINT) FROM (SELECT unnest(items) AS i FROM b2)) AS n_distinct_items,
+       (SELECT CAST(count(*) AS BIGINT) FROM its) AS n_itemsets,
+       (SELECT round(avg(support), 6) FROM its WHERE size = 3) AS avg_support_size3,
+       (SELECT CAST(count(*) AS BIGINT) FROM rules) AS n_rules,
+       (SELECT round(avg(lift_raw), 6) FROM rules) AS avg_lift,
+       (SELECT items FROM its WHERE size = 3 ORDER BY support DESC, items LIMIT 1) AS top_triple
+""")
+def findings_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """MIN20/AGG4/AGG8/AGG12: one-row summary of baskets, itemsets and rules."""
+    baskets = order_type_baskets(spark, sf)
+    its = order_itemsets(spark, sf)
+    rules = order_rules(spark, sf)
+    b = baskets.agg(F.count(F.lit(1)).alias("n_baskets"),
+                    F.sum(F.size("items")).cast("long").alias("total_items"))
+    u = baskets.select(F.explode("items").alias("i")).agg(F.countDistinct("i").alias("n_distinct_items"))
+    i = its.agg(F.count(F.lit(1)).alias("n_itemsets"),
+                r6(F.avg(F.when(F.col("size") == 3, F.col("support")))).alias("avg_support_size3"))
+    r = rules.agg(F.count(F.lit(1)).alias("n_rules"), r6(F.avg("lift")).alias("avg_lift"))
+    t = _fmt_itemsets(I.top_itemsets(its, 3, 1)).select(F.col("items").alias("top_triple"))
+    # one-row aggregates side by side, joined on a constant key
+    out = b.withColumn("_k", F.lit(1))
+    for part in (u, i, r, t):
+        out = out.join(part.withColumn("_k", F.lit(1)), "_k", "left")
+    return out.drop("_k")

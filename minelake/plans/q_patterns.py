@@ -306,3 +306,26 @@ def best_config(spark: SparkSession, sf: str) -> DataFrame:
     sup = SW.support_sweep(class_sequences(spark, sf), "label", CLASS_A, CLASS_B, SUPPORT_THRESHOLDS)
     allsw = sup.unionByName(sweep_bins_table(spark, sf)).unionByName(sweep_ranking_table(spark, sf))
     return SW.best_configuration(allsw)
+
+
+@query("class_top_patterns", _CLASS_BASE + """
+SELECT class, pattern, CAST(freq AS BIGINT) AS freq, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT class, pattern, freq, row_number() OVER (PARTITION BY class ORDER BY freq DESC, pattern) AS rank FROM pats)
+WHERE rank <= 10""")
+def class_top_patterns(spark: SparkSession, sf: str) -> DataFrame:
+    """MIN7/SRT9: top-10 patterns per class by absolute count (PrefixSpan)."""
+    from pyspark.sql import Window
+
+    p = class_pattern_table(spark, sf).withColumn("pattern", SM.pattern_text("pattern"))
+    w = Window.partitionBy("class").orderBy(F.desc("freq"), "pattern")
+    return (p.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 10)
+            .select("class", "pattern", "freq", F.col("rank").cast("int").alias("rank")))
+
+
+@query("strategy_summary")
+def strategy_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """MIN21: patterns per (binning strategy, class) (rows-only)."""
+    per = {s: CT.mine_by_class(QS.global_sequences(spark, sf, strategy=s), "label", [CLASS_A, CLASS_B],
+                               min_support=CLASS_MIN_SUPPORT, max_len=CLASS_MAX_LEN)
+           for s in ("uniform", "quantile", "kmeans")}
+    return CT.strategy_summary(per, "label")

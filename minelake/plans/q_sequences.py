@@ -170,12 +170,17 @@ def global_sequences(spark: SparkSession, sf: str, top_k: int = TOP_K, max_len:
 
 
 def row_sequences(spark: SparkSession, sf: str, top_k: int = TOP_K, max_len: int = MAX_LEN,
-                  strategy: str = "quantile", n_bins: int = N_BINS) -> DataFrame:
-    """FE10 pipeline: per-row |z| order on ordinals, sequences from labels."""
+                  strategy: str = "quantile", n_bins: int = N_BINS, rank_on: str = "bins") -> DataFrame:
+    """FE10 pipeline: per-row |z| order, sequences from labels.
+
+    ``rank_on='bins'`` ranks bin ordinals with the population std (S8);
+    ``rank_on='raw'`` ranks raw values with the sample std (FE11, notebook).
+    """
     b, lab = labelled(spark, sf, strategy, n_bins)
-    stats = RK.moments(b, FEATS)
+    src = b if rank_on == "bins" else feature_table(spark, sf)
+    stats = RK.moments(src, FEATS, sample=(rank_on == "raw"))
     k = min(top_k, max_len)
-    ranked = RK.top_features_per_row(b, stats, k).select(*KEYS, "ranked")
+    ranked = RK.top_features_per_row(src, stats, k).select(*KEYS, "ranked")
     both = lab.join(ranked, KEYS)
     return RK.sequences_per_row(both, FEATS, "ranked")
 
@@ -201,3 +206,11 @@ def seq_per_row(spark: SparkSession, sf: str) -> DataFrame:
     """FE10: sequences in each row's own |z| order."""
     s = row_sequences(spark, sf)
     return s.select(*KEYS, "label", RK.sequence_text("sequence").alias("sequence"))
+
+
+@query("seq_per_row_raw")
+def seq_per_row_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """FE11: sequences ordered by |z| of the raw values (sample std), labels
+    from quantile bins (rows-only)."""
+    s = row_sequences(spark, sf, rank_on="raw")
+    return s.select(*KEYS, "label", RK.sequence_text("sequence").alias("sequence"))
