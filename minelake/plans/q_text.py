@@ -294,3 +294,69 @@ def session_stream(spark: SparkSession, sf: str) -> DataFrame:
     out = run_file_stream(spark, turns.withColumn("batch", F.col("turn")), "batch")
     return out.select("conv_id", "turn", "n_items", "waiting_before", "action",
                       F.array_join(F.array_sort("items_used"), ",").alias("items_used"), "followup_limit")
+
+
+# ------------------------------------------------------------------ triage (TX8)
+
+def _doc_markers(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document: language and its distinct session-lexicon words."""
+    docs = read(spark, sf, "documents").select("doc_id", "lang", "text")
+    hits = TX.lexicon_hits(docs, "doc_id", "text", SESSION_LEXICON)
+    items = TX.feature_items(hits, "doc_id").groupBy("doc_id").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return docs.select("doc_id", "lang").join(items, "doc_id", "left").select(
+        "doc_id", "lang", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def _lang_precautions(spark: SparkSession, sf: str) -> DataFrame:
+    """Lookup stand-in derived from the data: per language, its four most
+    frequent longer words (the 'precautions' of that class)."""
+    from pyspark.sql import Window
+
+    from ..sources import io as IO
+
+    docs = read(spark, sf, "documents").select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w"))
+    counts = docs.where(F.length("w") >= 6).groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("lang").orderBy(F.desc("n"), "w")
+    top = counts.withColumn("r", F.row_number().over(w)).where(F.col("r") <= 4)
+    wide = top.groupBy("lang").pivot("r", [1, 2, 3, 4]).agg(F.first("w"))
+    wide = wide.select("lang", *[F.col(str(i)).alias(f"P{i}") for i in range(1, 5)])
+    return IO.precaution_mapping(wide, "lang", [f"P{i}" for i in range(1, 5)])
+
+
+@query("triage_disease")
+def triage_disease(spark: SparkSession, sf: str) -> DataFrame:
+    """TX8/FN17: per user turn: action, items, top-3 prediction, precautions of
+    the top class, follow-up suggestions, findings line (rows-only)."""
+    from ..operators import itemsets as I
+    from ..operators import models as ML
+    from ..operators import triage as TR
+
+    markers = _doc_markers(spark, sf)
+    vocab = sorted({w for ws in SESSION_LEXICON.values() for w in ws})
+    model, classes = ML.fit_multiclass(ML.binary_vectors(markers, "items", vocab), "features", "lang", n_trees=20)
+    its = I.mine_itemsets(markers.select("items"), min_support=0.05)
+    # records: itemsets of two or more words, tagged with the language where
+    # they are most frequent (one grouped pass over doc x itemset matches)
+    from ..operators.containment import contained_pairs
+
+    multi = its.where(F.col("size") >= 2)
+    by_lang = (contained_pairs(multi, markers.select(F.col("doc_id"), F.col("items").alias("basket"), "lang"),
+                               "doc_id", group_items="basket")
+               .join(markers.select("doc_id", "lang"), "doc_id")
+               .groupBy("items", "support", "lang").agg(F.count(F.lit(1)).alias("n")))
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(F.array_join("items", ",")).orderBy(F.desc("n"), "lang")
+    from .prefix import ordered_index
+
+    recs = (by_lang.withColumn("r", F.row_number().over(w)).where(F.col("r") == 1)
+            .withColumn("_neg", -F.col("support")).withColumn("_txt", F.array_join("items", ",")))
+    recs = ordered_index(recs, [], ["_neg", "_txt"], "rec_order").select(
+        "items", "support", F.col("lang").alias("group"), "rec_order")
+    t = TR.disease_triage(user_turn_items(spark, sf), ["conv_id"], "turn", model, classes, vocab,
+                          _lang_precautions(spark, sf), recs, top_k=3)
+    return t.select("conv_id", "turn", "action", F.array_join(F.coalesce("items_used", "items"), ",").alias("items"),
+                    "reason", "top_class", F.round("top_probability", 4).alias("top_probability"),
+                    F.array_join("precautions", ";").alias("precautions"),
+                    F.array_join(F.transform("followups", lambda s: s["candidate"]), ",").alias("followups"),
+                    "findings", F.round("confidence", 4).alias("confidence"))
