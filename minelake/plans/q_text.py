@@ -93,12 +93,11 @@ _UNPIVOT_MEASURES = " UNION ALL ".join(
 @query("measure_roundtrip", _UNPIVOT_MEASURES)
 def measure_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """TX10 -> TX3: rendered lineitem values extracted back (must equal the source)."""
-    from .parallel import spread
-
-    r = spread(rendered_measurements(spark, sf))
-    m = r.select(*QS.KEYS, TX.extract_measurements(F.col("text")).alias("m"))
-    return m.select(*QS.KEYS, F.explode("m").alias("key", "value")).select(
-        *QS.KEYS, "key", r6("value").alias("value"))
+    r = rendered_measurements(spark, sf)
+    m = TX.add_measurements(r, "text", "m", fallback=False).select(*QS.KEYS, "m")
+    # explode_outer: no inferred size(m) > 0 filter below the repartition
+    return (m.select(*QS.KEYS, F.explode_outer("m").alias("key", "value")).where(F.col("key").isNotNull())
+            .select(*QS.KEYS, "key", r6("value").alias("value")))
 
 
 @query("kv_fallback", f"""
@@ -114,9 +113,9 @@ def kv_fallback(spark: SparkSession, sf: str) -> DataFrame:
     text = F.concat(F.lit("quantity: "), F.col("l_quantity").cast("string"),
                     F.lit(", extended-price = "), F.col("l_extendedprice").cast("string"),
                     F.lit(", disc rate "), F.col("l_discount").cast("string"))
-    m = li.select(*QS.KEYS, TX.extract_with_fallback(text).alias("m"))
-    return m.select(*QS.KEYS, F.explode("m").alias("name", "value")).select(
-        *QS.KEYS, "name", r6("value").alias("value"))
+    m = TX.add_measurements(li.select(*QS.KEYS, text.alias("text")), "text", "m")
+    return (m.select(*QS.KEYS, F.explode_outer("m").alias("name", "value")).where(F.col("name").isNotNull())
+            .select(*QS.KEYS, "name", r6("value").alias("value")))
 
 
 @query("canonical_keys", r"""
