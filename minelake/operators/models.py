@@ -131,12 +131,22 @@ def feature_importances(model: PipelineModel, features: Sequence[str]) -> DataFr
                                  "feature string, importance double")
 
 
-def check_columns(df: DataFrame, features: Sequence[str]) -> None:
-    """PRJ4: the fitted feature list must be present (extra columns are fine
-    for Spark; missing ones are an error)."""
+def check_columns(df: DataFrame, features: Sequence[str], allow_extra: bool = True) -> None:
+    """PRJ4: the fitted features must all be present; with ``allow_extra=False``
+    any other column is an error too (the reference's strict guard)."""
     missing = [f for f in features if f not in df.columns]
     if missing:
         raise ValueError(f"missing feature columns: {missing}")
+    if not allow_extra:
+        extra = [c for c in df.columns if c not in set(features)]
+        if extra:
+            raise ValueError(f"unexpected feature columns: {extra}")
+
+
+def select_features(df: DataFrame, features: Sequence[str], allow_extra: bool = True) -> DataFrame:
+    """PRJ4: fitted features in training order, after the column check."""
+    check_columns(df, features, allow_extra)
+    return df.select(*features)
 
 
 def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], classes: Sequence[str]) -> DataFrame:
