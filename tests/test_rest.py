@@ -166,3 +166,16 @@ def test_measurement_last_match_wins(spark):
     m = [dict(r[0]) for r in df.select(TX.standardise_measurements(TX.extract_measurements(F.col("t")))).collect()]
     assert m[0] == {"radius": 2.5, "area": 3.0}
     assert m[1] == {"radius": 4.0}  # size beats diameter beats radius (name order)
+
+
+def test_top_contained_batched_equals_direct(spark):
+    from minelake.operators import containment as C
+
+    rows = [(g, sorted({chr(97 + (g * 7 + j * 3) % 11) for j in range(2 + g % 5)})) for g in range(60)]
+    groups = spark.createDataFrame(rows, "gid int, items array<string>")
+    its = [(sorted({chr(97 + (i * 5 + j) % 11) for j in range(1 + i % 3)}), 1.0 / (1 + i % 17)) for i in range(90)]
+    itemsets = spark.createDataFrame(its, "items array<string>, support double").dropDuplicates(["items"])
+    key = lambda df: sorted((r["gid"], ",".join(r["items"]), r["rank"]) for r in df.collect())
+    direct = C.top_per_group(C.contained_pairs(itemsets, groups, "gid"), "gid", 3)
+    batched = C.top_contained_per_group(itemsets, groups, "gid", 3, first_batch=4, direct_max_itemsets=0)
+    assert key(batched) == key(direct)
