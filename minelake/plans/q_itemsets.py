@@ -395,8 +395,11 @@ def findings_summary(spark: SparkSession, sf: str) -> DataFrame:
                 r6(F.avg(F.when(F.col("size") == 3, F.col("support")))).alias("avg_support_size3"))
     r = rules.agg(F.count(F.lit(1)).alias("n_rules"), r6(F.avg("lift")).alias("avg_lift"))
     t = _fmt_itemsets(I.top_itemsets(its, 3, 1)).select(F.col("items").alias("top_triple"))
-    # one-row aggregates side by side, joined on a constant key
-    out = b.withColumn("_k", F.lit(1))
-    for part in (u, i, r, t):
-        out = out.join(part.withColumn("_k", F.lit(1)), "_k", "left")
-    return out.drop("_k")
+    # the other one-row aggregates enter as scalar subqueries (no join at all)
+    return b.select("n_baskets", "total_items",
+                    u.select("n_distinct_items").scalar().alias("n_distinct_items"),
+                    i.select("n_itemsets").scalar().alias("n_itemsets"),
+                    i.select("avg_support_size3").scalar().alias("avg_support_size3"),
+                    r.select("n_rules").scalar().alias("n_rules"),
+                    r.select("avg_lift").scalar().alias("avg_lift"),
+                    t.select("top_triple").scalar().alias("top_triple"))
