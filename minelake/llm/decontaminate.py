@@ -32,6 +32,7 @@ _SEPARATORS = bytes(b for b in range(128) if not (48 <= b <= 57 or 65 <= b <= 90
 _TABLE = bytes(32 if b in _SEPARATORS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+FOUND = ["doc_id", "t", "n_words", "words", "items", "spans"]
 HITS = "doc_id long, t long, n_words long, words array<struct<start:int,end:int>>, items array<string>, spans array<struct<start:int,end:int>>"
 
 _worker: dict = {}
@@ -94,8 +95,8 @@ def _scan(block, width: int):
                 cols[3].append([{"start": where[s][0], "end": where[e - 1][1]} for s, e in spans])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], _SPANS),
-                 pa.array(cols[2], pa.list_(pa.string())), pa.array(cols[3], _SPANS)],
-                names=["doc_id", "t", "n_words", "words", "items", "spans"])
+                 pa.array(cols[2], pa.list_(pa.string())), pa.array(cols[3], _SPANS), *batch.columns[3:]],
+                names=[*FOUND, *batch.schema.names[3:]])
     return run
 
 
@@ -122,20 +123,30 @@ def _merge(batches):
             ("doc_id", pa.int64()), ("t", pa.int64()), ("n_words", pa.int64()), ("words", _SPANS), ("items", pa.list_(pa.string())), ("spans", _SPANS)]))
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, keep: list[str] | None = None) -> DataFrame:
     """Per row: doc_id, n_words, n_hit, n_items, items (sorted strings), items_sha256,
-    contaminated, spans (merged character intervals of hits in the original text)."""
+    contaminated, spans (merged character intervals of hits in the original text);
+    with ``keep`` those columns of ``docs`` and contaminated instead."""
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
-    scans = []
-    for items in _blocks(benchmark, block_bytes):
-        key = hashlib.sha256(repr((width, items)).encode()).hexdigest()
-        scans.append(rows.mapInArrow(_scan(docs.sparkSession.sparkContext.broadcast((key, items)), width), HITS))
+    blocks = [(hashlib.sha256(repr((width, items)).encode()).hexdigest(), items) for items in _blocks(benchmark, block_bytes)]
+    block = lambda b: _scan(docs.sparkSession.sparkContext.broadcast(b), width)
+    if keep and len(blocks) == 1:
+        # one scan: the row travels with its hits
+        row = F.struct(*[F.col(c) for c in keep]).alias("row")
+        whole = docs.select(F.col("doc_id").cast("long"), F.lit(0).cast("long").alias("t"), text.alias("text"), row)
+        hits = whole.mapInArrow(block(blocks[0]), f"{HITS}, row {whole.schema['row'].dataType.simpleString()}")
+        return hits.select("row.*", (F.size("words") > 0).alias("contaminated"))
+    scans = [rows.mapInArrow(block(b), HITS) for b in blocks]
     hits = scans[0]
     if len(scans) > 1:
         union = reduce(DataFrame.unionByName, [s.withColumn("block", F.lit(k)) for k, s in enumerate(scans)])
         hits = union.groupBy("doc_id", "t", "n_words").agg(
             F.sum((F.col("block") == 0).cast("int")).alias("copies"), *(F.collect_set(c).alias(c) for c in ("words", "items", "spans"))).mapInArrow(_merge, HITS)
+    if keep:
+        bad = hits.where(F.size("words") > 0).select(F.col("doc_id").alias("bad_id"), F.col("t").alias("bad_t")).distinct()
+        same = F.col("doc_id").cast("long").eqNullSafe(F.col("bad_id")) & (F.xxhash64(text) == F.col("bad_t"))
+        return docs.join(bad, same, "left").select(*keep, F.col("bad_t").isNotNull().alias("contaminated"))
     n_hit = F.aggregate("words", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
     return hits.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items",
