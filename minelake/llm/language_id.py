@@ -11,8 +11,8 @@ rest ridge regression in it gives one weight vector per language. Both steps fol
 into one matrix over the landmarks' n-grams, so a batch of documents is scored by
 one product (documents x n-grams) @ (n-grams x languages).
 
-Fit. On a bounded sample: per language the ``FIT_ROWS`` rows with the smallest
-(hash of text, text), whole texts. Nothing else is sampled; every text is scored
+Fit. On a bounded sample: per language the ``FIT_ROWS`` distinct texts with the
+smallest hashes, whole. Nothing else is sampled; every text is scored
 whole. A language with a single row is learned too.
 
 score: the softmax of ``SHARPNESS`` times the outputs, for the best language (0 to
@@ -150,10 +150,12 @@ def _score(model):
 
 
 def train(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> dict | None:
-    """Fit on ``labelled`` (text, lang): at most ``fit_rows`` rows a language reach the driver."""
-    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = rows.withColumn("k", F.row_number().over(order)).where(F.col("k") <= fit_rows)
+    """Fit on ``labelled`` (text, lang): at most ``fit_rows`` distinct texts a language
+    reach the driver; they are chosen by hash, so no text is shuffled for the choice."""
+    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", F.xxhash64("text").alias("h"), "text")
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = rows.select("lang", "h").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= fit_rows)
+    sample = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "k").agg(F.min("text").alias("text"))
     return fit([(r.text, r.lang) for r in sample.orderBy("lang", "k").collect()])
 
 
