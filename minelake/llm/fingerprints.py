@@ -72,7 +72,10 @@ def likeness(x: Column, y: Column) -> Column:
 
 
 def _with_next(rows: DataFrame, parts: int) -> DataFrame:
-    """Add next_text and next_bins of the row before in ascending doc_id, wrapping around."""
+    """Add bins, next_text and next_bins of the row before in ascending doc_id, wrapping around.
+
+    Each part also gets a copy of the last row of the part before, so the window
+    finds every neighbour inside its part."""
     probs = [k / parts for k in range(1, parts)]
     bounds = rows.agg(F.percentile_approx("doc_id", probs, 10 * parts).alias("b")).first()["b"] if probs else None
     bounds = sorted(set(bounds or []))
@@ -82,25 +85,27 @@ def _with_next(rows: DataFrame, parts: int) -> DataFrame:
         part = F.aggregate(steps, F.lit(0), lambda pos, s: F.when(F.get(at, pos + s - 1) < F.col("doc_id"), pos + s).otherwise(pos))
     else:
         part = F.lit(0)
-    order = Window.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_first(), "t")
-    rows = rows.withColumn("part", part).withColumn("k", F.row_number().over(order)).withColumn("last", F.lead("t").over(order).isNull())
+    rows = rows.withColumn("part", part)
+    last = rows.groupBy("part").agg(F.max(F.struct("doc_id", "t")).alias("last"))
+    every = Window.orderBy(F.desc("part"))  # one row per part
+    to = F.coalesce(F.lag("part").over(every), F.min("part").over(Window.partitionBy()))
+    last = last.select(F.col("last.doc_id").alias("e_id"), F.col("last.t").alias("e_t"), to.alias("to"))
+    # at most MOST_PARTS keys are broadcast
+    ends = rows.join(F.broadcast(last), F.col("doc_id").eqNullSafe(F.col("e_id")) & (F.col("t") == F.col("e_t")))
+    ends = ends.groupBy("to").agg(F.min("text").alias("text")).select(
+        F.lit(None).cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("t"), F.col("to").alias("part"), F.lit(False).alias("own"))
+    rows = with_fingerprint(rows.withColumn("own", F.lit(True)).unionByName(ends), "text", "bins")
+    order = Window.partitionBy("part").orderBy("own", F.col("doc_id").asc_nulls_first(), "t")
     for c in ("text", "bins"):
         rows = rows.withColumn(f"next_{c}", F.lag(c).over(order))
-    ends = rows.where("last").select("part", F.col("text").alias("end_text"), F.col("bins").alias("end_bins"))
-    every = Window.orderBy("part")  # one row per part
-    follows = ends.select("part").withColumn("from", F.lag("part").over(every))
-    follows = follows.withColumn("from", F.coalesce("from", F.max("part").over(Window.partitionBy()))).withColumnRenamed("part", "to")
-    ends = ends.join(follows, F.col("part") == F.col("from")).select(F.col("to").alias("part"), "end_text", "end_bins")
-    firsts = rows.where("k = 1").drop("next_text", "next_bins").join(ends, "part").withColumnsRenamed({"end_text": "next_text", "end_bins": "next_bins"})
-    return rows.where("k > 1").unionByName(firsts).drop("part", "k", "last")
+    return rows.where("own").drop("part", "own")
 
 
 def fingerprints(docs: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     parts = max(1, min(MOST_PARTS, -(-docs.count() // part_rows)))
-    rows = with_fingerprint(rows.withColumn("t", F.xxhash64("text")), "text", "bins")
-    rows = _with_next(rows, parts).withColumn("n_chars", F.length("text").cast("long"))
+    rows = _with_next(rows.withColumn("t", F.xxhash64("text")), parts).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))
     rows = with_fingerprint(rows.withColumn("edited", edited), "edited", "edited_bins")
