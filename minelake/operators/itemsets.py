@@ -96,7 +96,7 @@ def association_rules(itemsets: DataFrame, metric: str = "confidence",
     full = base.where(F.size("items") >= 2)
     if max_size is not None:
         full = full.where(F.size("items") <= max_size)
-    masks = F.sequence(F.lit(1), F.expr("shiftleft(1, size(items)) - 2"))
+    masks = F.sequence(F.lit(1), F.expr("shiftleft(1L, size(items)) - 2"))
     splits = (full.select("items", "support", F.explode(masks).alias("mask"))
               .select(F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1) = 1)").alias("antecedents"),
                       F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1) = 0)").alias("consequents"),

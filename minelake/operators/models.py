@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import CountVectorizerModel, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, CountVectorizerModel, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
@@ -96,9 +96,12 @@ def grid_search(df: DataFrame, features: Sequence[str], label: str, id_col: str,
     data = with_weights(df, label, "weight")
     data = stratified_folds(data, label, id_col, folds, seed)
     indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc")
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    # null and NaN features take the training median, so no row is lost in fitting or scoring
+    filled = [f"{f}__filled" for f in features]
+    imputer = Imputer(inputCols=list(features), outputCols=filled, strategy="median")
+    assembler = VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="error")
     rf = RandomForestClassifier(featuresCol="features", labelCol="label_idx", weightCol="weight", seed=seed)
-    pipe = Pipeline(stages=[indexer, assembler, rf])
+    pipe = Pipeline(stages=[indexer, imputer, assembler, rf])
     grid = (ParamGridBuilder().addGrid(rf.numTrees, list(n_estimators))
             .addGrid(rf.maxDepth, [_depth(d) for d in max_depth])
             .addGrid(rf.minInstancesPerNode, [max(1, math.ceil(s / 2)) for s in min_samples_split])
@@ -153,7 +156,7 @@ def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], classe
     """ML4/ML11: predicted label, probability vector and the probability of the
     predicted class."""
     check_columns(df, features)
-    out = model.transform(df)
+    out = model.transform(df).drop(*[f"{f}__filled" for f in features])
     labels = F.array(*[F.lit(c) for c in classes])
     probs = vector_to_array("probability")
     return (out.withColumn("predicted", F.element_at(labels, F.col("prediction").cast("int") + 1))

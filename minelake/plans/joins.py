@@ -1,26 +1,21 @@
-"""Join helpers: broadcast only behind a checked size bound."""
+"""Join helpers: a derived side is computed once, and its bytes decide."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Rows a data-derived side may hold and still be broadcast. Fixed lookups
-# (lexicons, synonym maps) are constants and are broadcast directly.
-BROADCAST_ROW_LIMIT = 2_000_000
+import uuid
 
+from pyspark.sql import DataFrame
 
-def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows (reads at most limit+1)."""
-    return df.limit(limit + 1).count() <= limit
+from ..session import ensure_checkpoint_dir
 
 
-def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint if the side is proven small, else leave it to the planner.
+def bounded_broadcast(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
 
-    Beyond the bound the join stays a shuffle join (sort-merge with AQE skew
-    splitting), so growth of the data never turns into a driver-side blow-up.
+    The planner then knows its size in bytes: it broadcasts the side below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides beyond it
+    (with AQE skew splitting). The side is evaluated a single time.
     """
-    if row_count_at_most(df, limit):
-        return F.broadcast(df)
-    return df
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/side-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,18 +3,21 @@
 A scan of a file that is one row group is one partition; a row-wise step that
 is expensive per row (regex extraction over whole texts, an explode that fans
 out into candidate pairs) would then run in one task. ``spread`` adds a
-round-robin repartition only in that case. On large inputs a scan already has
-far more partitions than the cluster has cores, and ``spread`` does nothing.
+round-robin repartition only for a bare scan with fewer partitions than the
+cluster has cores. It never runs any part of the plan: an input with a shuffle
+of its own already has the session's partitions and is returned as it is.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+_SHUFFLES = ("Aggregate", "Join", "Sort", "Window", "Distinct", "Repartition", "Deduplicate")
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    plan = df._jdf.queryExecution().analyzed().toString()
+    if any(word in plan for word in _SHUFFLES):
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

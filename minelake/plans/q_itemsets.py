@@ -298,7 +298,6 @@ def top_triples(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ rules
 
-RULE_MAX_SIZE = 3
 RULE_MIN_CONFIDENCE = 0.5
 
 _RULES_BASE = _SUBSETS + f""",
@@ -306,7 +305,7 @@ splits AS (
   SELECT list_filter(s2, lambda x, i: ((m >> (i - 1)) & 1) = 1) AS ante,
          list_filter(s2, lambda x, i: ((m >> (i - 1)) & 1) = 0) AS cons, support
   FROM (SELECT string_split(items, ',') AS s2, support, unnest(range(1, (1 << size) - 1)) AS m
-        FROM its WHERE size BETWEEN 2 AND {RULE_MAX_SIZE})
+        FROM its WHERE size >= 2)
 ),
 r AS (
   SELECT array_to_string(ante, ',') AS antecedents, array_to_string(cons, ',') AS consequents,
@@ -335,7 +334,7 @@ _RULE_COLS = ("antecedents, consequents, antecedent_support, consequent_support,
 
 
 def order_rules(spark: SparkSession, sf: str) -> DataFrame:
-    its = order_itemsets(spark, sf, max_size=RULE_MAX_SIZE)
+    its = order_itemsets(spark, sf)
     return I.association_rules(its, "confidence", RULE_MIN_CONFIDENCE)
 
 

@@ -25,15 +25,16 @@ ZSCORE_K = 3
 POSITIVE = "A"
 
 
-def feature_table(spark: SparkSession, sf: str) -> DataFrame:
+def feature_table(spark: SparkSession, sf: str, every: bool = False) -> DataFrame:
+    """The two classes A and R, or with ``every`` all rows (what needs no classes)."""
     li = read(spark, sf, "lineitem")
-    return (li.where(F.col("l_returnflag").isin("A", "R"))
+    return ((li if every else li.where(F.col("l_returnflag").isin("A", "R")))
             .select(*KEYS, *[F.col(v).alias(k) for k, v in FEATURES.items()],
                     F.col("l_returnflag").alias("label")))
 
 
-def binned(spark: SparkSession, sf: str, strategy: str = "quantile", n_bins: int = N_BINS):
-    ft = feature_table(spark, sf)
+def binned(spark: SparkSession, sf: str, strategy: str = "quantile", n_bins: int = N_BINS, every: bool = False):
+    ft = feature_table(spark, sf, every)
     edges = BN.fit_bins(ft, FEATS, n_bins, strategy)
     return ft, edges, BN.apply_bins(ft, edges)
 
@@ -55,9 +56,10 @@ def _edges_sql(strategy: str) -> str:
     return f"ed AS (SELECT {parts} FROM ft)"
 
 
-def _bins_sql(strategy: str) -> str:
+def _bins_sql(strategy: str, every: bool = False) -> str:
+    ft = _FT.replace(" WHERE l_returnflag IN ('A', 'R')", "") if every else _FT
     cols = ", ".join(f"CAST(({f} >= e_{f}[2])::INT + ({f} >= e_{f}[3])::INT AS INTEGER) AS {f}" for f in FEATS)
-    return f"WITH {_FT}, {_edges_sql(strategy)}, b AS (SELECT {_KEYS}, label, {cols} FROM ft, ed)\n"
+    return f"WITH {ft}, {_edges_sql(strategy)}, b AS (SELECT {_KEYS}, label, {cols} FROM ft, ed)\n"
 
 
 _LABELS = "['low', 'medium', 'high']"
@@ -83,25 +85,25 @@ zl AS (SELECT *, row_number() OVER (PARTITION BY {_KEYS} ORDER BY z DESC, featur
 
 # ------------------------------------------------------------------ bins
 
-@query("bins_uniform", _bins_sql("uniform") + f"SELECT {_KEYS}, {', '.join(FEATS)} FROM b")
+@query("bins_uniform", _bins_sql("uniform", every=True) + f"SELECT {_KEYS}, {', '.join(FEATS)} FROM b")
 def bins_uniform(spark: SparkSession, sf: str) -> DataFrame:
     """FE1/FE4: equal-width ordinal bins."""
-    _ft, _e, b = binned(spark, sf, "uniform")
+    _ft, _e, b = binned(spark, sf, "uniform", every=True)
     return b.select(*KEYS, *FEATS)
 
 
-@query("bins_quantile", _bins_sql("quantile") + f"SELECT {_KEYS}, {', '.join(FEATS)} FROM b")
+@query("bins_quantile", _bins_sql("quantile", every=True) + f"SELECT {_KEYS}, {', '.join(FEATS)} FROM b")
 def bins_quantile(spark: SparkSession, sf: str) -> DataFrame:
     """FE2/FE4: exact-quantile ordinal bins."""
-    _ft, _e, b = binned(spark, sf, "quantile")
+    _ft, _e, b = binned(spark, sf, "quantile", every=True)
     return b.select(*KEYS, *FEATS)
 
 
-@query("bin_labels", _bins_sql("quantile") + f"SELECT {_KEYS}, " +
+@query("bin_labels", _bins_sql("quantile", every=True) + f"SELECT {_KEYS}, " +
        ", ".join(f"{_LABELS}[{f} + 1] AS {f}" for f in FEATS) + " FROM b")
 def bin_labels(spark: SparkSession, sf: str) -> DataFrame:
     """FE5/FN10: bin labels low/medium/high."""
-    ft = feature_table(spark, sf)
+    ft = feature_table(spark, sf, every=True)
     edges = BN.fit_bins(ft, FEATS, N_BINS, "quantile")
     return BN.apply_labels(ft, edges, N_BINS).select(*KEYS, *FEATS)
 
@@ -109,7 +111,7 @@ def bin_labels(spark: SparkSession, sf: str) -> DataFrame:
 @query("bins_kmeans")
 def bins_kmeans(spark: SparkSession, sf: str) -> DataFrame:
     """FE3: 1-D k-means bins; rows per (feature, bin) with counts (rows-only check)."""
-    _ft, _e, b = binned(spark, sf, "kmeans")
+    _ft, _e, b = binned(spark, sf, "kmeans", every=True)
     pairs = ", ".join(f"'{f}', {f}" for f in FEATS)
     return (b.select(F.expr(f"stack({len(FEATS)}, {pairs}) AS (feature, bin)"))
             .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
@@ -143,11 +145,11 @@ def rank_correlation(spark: SparkSession, sf: str) -> DataFrame:
     return RK.correlation_scores(b, FEATS, "label", POSITIVE).select("feature", r6("score").alias("score"))
 
 
-@query("rank_zscore_rows", _bins_sql("quantile") + "," + _Z +
+@query("rank_zscore_rows", _bins_sql("quantile", every=True) + "," + _Z +
        f"\nSELECT {_KEYS}, string_agg(feature, ',' ORDER BY rn) AS ranked FROM zl WHERE rn <= {ZSCORE_K} GROUP BY ALL")
 def rank_zscore_rows(spark: SparkSession, sf: str) -> DataFrame:
     """WIN3: per-row top features by |z| of the bin ordinals."""
-    _ft, _e, b = binned(spark, sf)
+    _ft, _e, b = binned(spark, sf, every=True)
     stats = RK.moments(b, FEATS)
     r = RK.top_features_per_row(b, stats, ZSCORE_K)
     return r.select(*KEYS, F.array_join("ranked", ",").alias("ranked"))
@@ -155,8 +157,8 @@ def rank_zscore_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ sequences
 
-def labelled(spark: SparkSession, sf: str, strategy: str = "quantile", n_bins: int = N_BINS):
-    ft = feature_table(spark, sf)
+def labelled(spark: SparkSession, sf: str, strategy: str = "quantile", n_bins: int = N_BINS, every: bool = False):
+    ft = feature_table(spark, sf, every)
     edges = BN.fit_bins(ft, FEATS, n_bins, strategy)
     return BN.apply_bins(ft, edges), BN.apply_labels(ft, edges, n_bins)
 
@@ -170,14 +172,15 @@ def global_sequences(spark: SparkSession, sf: str, top_k: int = TOP_K, max_len:
 
 
 def row_sequences(spark: SparkSession, sf: str, top_k: int = TOP_K, max_len: int = MAX_LEN,
-                  strategy: str = "quantile", n_bins: int = N_BINS, rank_on: str = "bins") -> DataFrame:
+                  strategy: str = "quantile", n_bins: int = N_BINS, rank_on: str = "bins",
+                  every: bool = False) -> DataFrame:
     """FE10 pipeline: per-row |z| order, sequences from labels.
 
     ``rank_on='bins'`` ranks bin ordinals with the population std (S8);
     ``rank_on='raw'`` ranks raw values with the sample std (FE11, notebook).
     """
-    b, lab = labelled(spark, sf, strategy, n_bins)
-    src = b if rank_on == "bins" else feature_table(spark, sf)
+    b, lab = labelled(spark, sf, strategy, n_bins, every)
+    src = b if rank_on == "bins" else feature_table(spark, sf, every)
     stats = RK.moments(src, FEATS, sample=(rank_on == "raw"))
     k = min(top_k, max_len)
     ranked = RK.top_features_per_row(src, stats, k).select(*KEYS, "ranked")
@@ -199,12 +202,12 @@ def seq_global(spark: SparkSession, sf: str) -> DataFrame:
     return s.select(*KEYS, "label", RK.sequence_text("sequence").alias("sequence"))
 
 
-@query("seq_per_row", _bins_sql("quantile") + "," + _Z + f"""
+@query("seq_per_row", _bins_sql("quantile", every=True) + "," + _Z + f"""
 SELECT {_KEYS}, label, string_agg(feature || '_' || {_LABELS}[bin + 1], ',' ORDER BY rn) AS sequence
 FROM zl WHERE rn <= {min(TOP_K, MAX_LEN)} GROUP BY ALL""")
 def seq_per_row(spark: SparkSession, sf: str) -> DataFrame:
     """FE10: sequences in each row's own |z| order."""
-    s = row_sequences(spark, sf)
+    s = row_sequences(spark, sf, every=True)
     return s.select(*KEYS, "label", RK.sequence_text("sequence").alias("sequence"))
 
 
@@ -212,5 +215,5 @@ def seq_per_row(spark: SparkSession, sf: str) -> DataFrame:
 def seq_per_row_raw(spark: SparkSession, sf: str) -> DataFrame:
     """FE11: sequences ordered by |z| of the raw values (sample std), labels
     from quantile bins (rows-only)."""
-    s = row_sequences(spark, sf, rank_on="raw")
+    s = row_sequences(spark, sf, rank_on="raw", every=True)
     return s.select(*KEYS, "label", RK.sequence_text("sequence").alias("sequence"))

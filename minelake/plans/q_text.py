@@ -80,13 +80,13 @@ _MEASURE_SRC = [("radius_mean", "l_quantity", "radius mean {}"),
 
 
 def rendered_measurements(spark: SparkSession, sf: str) -> DataFrame:
-    li = read(spark, sf, "lineitem").where(F.col("l_returnflag").isin("A", "R"))
+    li = read(spark, sf, "lineitem")
     parts = [F.concat(F.lit(fmt.split("{}")[0]), F.col(src).cast("string")) for _k, src, fmt in _MEASURE_SRC]
     return li.select(*QS.KEYS, F.concat_ws("; ", *parts).alias("text"))
 
 
 _UNPIVOT_MEASURES = " UNION ALL ".join(
-    f"SELECT {QS._KEYS}, '{k}' AS key, round({src}, 6) AS value FROM lineitem WHERE l_returnflag IN ('A', 'R')"
+    f"SELECT {QS._KEYS}, '{k}' AS key, round({src}, 6) AS value FROM lineitem"
     for k, src, _f in _MEASURE_SRC)
 
 
@@ -101,15 +101,15 @@ def measure_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("kv_fallback", f"""
-SELECT {QS._KEYS}, 'quantity' AS name, round(l_quantity, 6) AS value FROM lineitem WHERE l_returnflag IN ('A', 'R')
-UNION ALL SELECT {QS._KEYS}, 'extended_price', round(l_extendedprice, 6) FROM lineitem WHERE l_returnflag IN ('A', 'R')
-UNION ALL SELECT {QS._KEYS}, 'rate', round(l_discount, 6) FROM lineitem WHERE l_returnflag IN ('A', 'R')""")
+SELECT {QS._KEYS}, 'quantity' AS name, round(l_quantity, 6) AS value FROM lineitem
+UNION ALL SELECT {QS._KEYS}, 'extended_price', round(l_extendedprice, 6) FROM lineitem
+UNION ALL SELECT {QS._KEYS}, 'rate', round(l_discount, 6) FROM lineitem""")
 def kv_fallback(spark: SparkSession, sf: str) -> DataFrame:
     """TX5: 'quantity: 1.0, extended-price = 2.0, disc rate 0.05' -> pairs
     (separated pairs plus the spaced fallback, which keeps one word)."""
     from .parallel import spread
 
-    li = spread(read(spark, sf, "lineitem").where(F.col("l_returnflag").isin("A", "R")))
+    li = spread(read(spark, sf, "lineitem"))
     text = F.concat(F.lit("quantity: "), F.col("l_quantity").cast("string"),
                     F.lit(", extended-price = "), F.col("l_extendedprice").cast("string"),
                     F.lit(", disc rate "), F.col("l_discount").cast("string"))
@@ -160,7 +160,7 @@ def route_messages(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ tumour rules
 
 def tumour_texts(spark: SparkSession, sf: str) -> DataFrame:
-    li = read(spark, sf, "lineitem").where(F.col("l_returnflag").isin("A", "R"))
+    li = read(spark, sf, "lineitem")
     chars = F.when(F.col("l_linestatus") == "O", F.lit("irregular spiculated mass")) \
         .otherwise(F.lit("smooth circumscribed cystic lesion"))
     text = F.concat_ws("; ",
@@ -192,7 +192,7 @@ def tumour_analysis(spark: SparkSession, sf: str) -> DataFrame:
 _TUMOUR_BASE = f"""
 WITH s AS (SELECT {QS._KEYS}, l_quantity / 2.5 AS radius, l_extendedprice / 100 AS area,
                   l_discount * 2 AS compactness, l_tax * 2 AS concavity, l_linestatus = 'O' AS o FROM lineitem
-           WHERE l_returnflag IN ('A', 'R')),
+          ),
 c AS (SELECT *, CASE WHEN o THEN ['irregular', 'mass', 'spiculated'] ELSE ['circumscribed', 'cystic', 'mass', 'smooth'] END AS chars,
              (compactness IS NOT NULL)::INT + (concavity IS NOT NULL)::INT AS n_tex,
              4 AS n_m FROM s),

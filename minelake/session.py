@@ -3,7 +3,8 @@
 The session is configured for large inputs: AQE with partition coalescing
 and skew-join splitting on, Arrow for the few pandas hand-offs, UTC time.
 Checkpoints go to the shared folder named by ``spark.checkpoint.dir``; a
-folder is set here only when the cluster names none (local tests).
+folder is set here only in local mode, where the driver and all tasks share one
+machine; a cluster without that setting is an error.
 """
 
 from __future__ import annotations
@@ -53,7 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when nothing names a shared folder (local tests).
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # one machine holds the driver and all tasks (local tests)
         configured = os.path.join(tempfile.gettempdir(), "minelake-checkpoints")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
