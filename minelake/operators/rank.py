@@ -72,12 +72,13 @@ def zscore_expr(c: str, mu: float, sd: float) -> Column:
 
 
 def top_features_per_row(df: DataFrame, stats: Mapping[str, tuple[float, float]], k: int,
-                         out: str = "ranked") -> DataFrame:
+                         out: str = "ranked", suffix: str = "") -> DataFrame:
     """WIN3: per row, the ``k`` features with the largest |z| (ties: name asc).
 
-    One ``array_sort`` over (−score, name) structs inside the row.
+    One ``array_sort`` over (−score, name) structs inside the row; a feature's
+    values are in the column of its name and ``suffix``.
     """
-    entries = [F.struct((F.lit(0.0) - zscore_expr(c, mu, sd) + F.lit(0.0)).alias("neg"),
+    entries = [F.struct((F.lit(0.0) - zscore_expr(c + suffix, mu, sd) + F.lit(0.0)).alias("neg"),
                         F.lit(c).alias("feature"))
                for c, (mu, sd) in stats.items()]
     ranked = F.slice(F.array_sort(F.array(*entries)), 1, k)
@@ -106,14 +107,14 @@ def sequences_global(labelled: DataFrame, order: Sequence[str], out: str = "sequ
 
 
 def sequences_per_row(labelled: DataFrame, feature_cols: Sequence[str], ranked_col: str,
-                      out: str = "sequence") -> DataFrame:
+                      out: str = "sequence", suffix: str = "") -> DataFrame:
     """FE10: each row's own feature order (from ``top_features_per_row``).
 
-    The label lookup is a map built from the row's own columns, so nothing
-    leaves the row.
+    The label lookup is a map built from the row's own columns (feature name and
+    ``suffix``), so nothing leaves the row.
     """
     m = F.map_from_arrays(F.array(*[F.lit(c) for c in feature_cols]),
-                          F.array(*[F.col(c) for c in feature_cols]))
+                          F.array(*[F.col(c + suffix) for c in feature_cols]))
     items = F.transform(F.col(ranked_col),
                         lambda f: F.when(F.element_at(m, f).isNotNull(),
                                          F.array(item_label(f, F.element_at(m, f)))))

@@ -28,6 +28,7 @@ the greedy containment fold, joined to sequences on the pattern's first item.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,10 +70,12 @@ def prefixspan(sequences: DataFrame, seq_col: str = "sequence", min_support: flo
     ``level`` counts items (an itemset extension also adds one), as in the
     reference; ``n_itemsets`` counts itemsets.
     """
+    # counted once and scanned once a level: kept until the patterns are written
     data = (sequences.select(F.transform(F.col(seq_col), lambda s: F.array_sort(F.array_distinct(s)))
-                             .alias("sequence")))
+                             .alias("sequence"))).persist(StorageLevel.MEMORY_AND_DISK)
     n = data.count()
     if n == 0:
+        data.unpersist()
         return sequences.sparkSession.createDataFrame(
             [], "pattern array<array<string>>, freq long, support double, level int, n_itemsets int")
     ps = PrefixSpan(minSupport=min_support, maxPatternLength=max_len,
@@ -82,6 +85,7 @@ def prefixspan(sequences: DataFrame, seq_col: str = "sequence", min_support: flo
     from ..session import cut_lineage
 
     res = cut_lineage(ps.findFrequentSequentialPatterns(data))
+    data.unpersist()
     return (res.select(F.transform("sequence", lambda s: F.array_sort(s)).alias("pattern"),
                        F.col("freq").cast("long").alias("freq"))
             .withColumn("support", F.col("freq") / F.lit(float(n)))

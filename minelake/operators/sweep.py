@@ -75,7 +75,7 @@ def config_sweep(spark: SparkSession, name: str, configs: Sequence[dict],
                  build: Callable[[dict], DataFrame], label_col: str, class_a: str, class_b: str,
                  share_key: Callable[[dict], tuple] | None = None) -> DataFrame:
     """MIN14/MIN16: run the pipeline per config; configs with the same
-    ``share_key`` reuse one result. Errors become rows with ``error`` set."""
+    ``share_key`` reuse one result. Input errors become rows with ``error`` set."""
     cache: dict[tuple, dict | str] = {}
     rows = []
     for order, cfg in enumerate(configs):
@@ -85,7 +85,7 @@ def config_sweep(spark: SparkSession, name: str, configs: Sequence[dict],
                 seqs = build(cfg)
                 cache[key] = analysis_counts(seqs, label_col, class_a, class_b,
                                              cfg.get("min_support", 0.1), cfg.get("max_len", 5))
-            except Exception as e:  # noqa: BLE001 - kept as a result row, like the reference
+            except ValueError as e:  # an input error is a result row; any other failure is raised
                 cache[key] = f"{type(e).__name__}: {e}"
         res = cache[key]
         base = (name, order, cfg.get("strategy", "quantile"), cfg.get("n_bins", 3),

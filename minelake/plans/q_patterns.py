@@ -3,8 +3,8 @@
 Event sequences: one per (user, day), events ordered by (ts, event_id), one
 event type per itemset; they hold repeats, which separates the compat
 engine from PrefixSpan. Class sequences: the lineitem feature sequences of
-``q_sequences`` (classes A and R). Oracle SQL counts patterns up to length 2
-(3 for ``pattern_support``) with self-joins on positions.
+``q_sequences`` (classes A and R). Patterns are mined to length 5; the oracle SQL
+lists every distinct sequence's subsequences by position masks and counts them.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from .registry import query, r6, read
 EVENT_MIN_SUPPORT = 0.01
 SUPPORT3_MIN_SUPPORT = 0.005
 CLASS_MIN_SUPPORT = 0.05
-CLASS_MAX_LEN = 2
+MAX_LEN = 5
 CLASS_A, CLASS_B = "A", "R"
 
 
@@ -43,35 +43,57 @@ s AS (SELECT user_id, day, event_type, row_number() OVER (PARTITION BY user_id,
 n AS (SELECT count(*) AS n FROM (SELECT DISTINCT user_id, day FROM ev))"""
 
 
-def _ev_patterns_sql(pair_filter: str) -> str:
-    return f"""WITH {_EV},
-p AS (SELECT '{{' || event_type || '}}' AS pattern, count(DISTINCT (user_id, day)) AS freq, 1 AS level, 1 AS n_itemsets
-      FROM s GROUP BY event_type
-      UNION ALL
-      SELECT '{{' || a.event_type || '}} → {{' || b.event_type || '}}', count(DISTINCT (a.user_id, a.day)), 2, 2
-      FROM s a JOIN s b ON a.user_id = b.user_id AND a.day = b.day AND a.pos < b.pos {pair_filter}
-      GROUP BY a.event_type, b.event_type)
-SELECT pattern, CAST(freq AS BIGINT) AS freq, round(freq / n, 6) AS support, CAST(level AS INTEGER) AS level,
-       CAST(n_itemsets AS INTEGER) AS n_itemsets
-FROM p, n WHERE freq / n >= {EVENT_MIN_SUPPORT}"""
+def _subsequences(source: str, by: str, rel: str) -> str:
+    """CTE ``rel`` (by, pat, freq): the sequences of ``source`` (by, items) that hold
+    each pattern of at most MAX_LEN items."""
+    return f"""{rel}_d AS (SELECT {by}, items, count(*) AS c FROM {source} GROUP BY ALL),
+{rel} AS (SELECT {by}, pat, sum(c) AS freq FROM (
+  SELECT DISTINCT {by}, items, c, [items[i] for i in range(1, len(items) + 1) if (m >> (i - 1)) & 1 = 1] AS pat
+  FROM (SELECT *, unnest(range(1, 1 << len(items))) AS m FROM {rel}_d) WHERE bit_count(m) <= {MAX_LEN}) GROUP BY {by}, pat)"""
 
 
-@query("seq_patterns_prefixspan", _ev_patterns_sql(""))
+def _braced(pat: str) -> str:
+    return f"'{{' || array_to_string({pat}, '}} → {{') || '}}'"
+
+
+_EV_FREQUENT = f"""WITH {_EV},
+q AS (SELECT 0 AS one, list(event_type ORDER BY pos) AS items FROM s GROUP BY user_id, day),
+{_subsequences('q', 'one', 'sub')},
+f AS (SELECT pat, freq, freq / n AS support FROM sub, n WHERE freq / n >= {EVENT_MIN_SUPPORT})"""
+
+
+def _ev_select(rel: str) -> str:
+    return f"""
+SELECT {_braced('pat')} AS pattern, CAST(freq AS BIGINT) AS freq, round(support, 6) AS support,
+       CAST(len(pat) AS INTEGER) AS level, CAST(len(pat) AS INTEGER) AS n_itemsets FROM {rel}"""
+
+
+def _compat_sql(longest: int) -> str:
+    """Level k + 1: two different level-k patterns, the first without its last item equal
+    to the second without its first, joined where the result is frequent."""
+    levels = ["l1 AS (SELECT * FROM f WHERE len(pat) = 1)"]
+    for k in range(1, longest):
+        levels.append(f"""l{k + 1} AS (SELECT * FROM f WHERE pat IN (
+  SELECT list_append(x.pat, y.pat[{k}]) FROM l{k} x JOIN l{k} y ON x.pat[1:{k - 1}] = y.pat[2:{k}] AND x.pat <> y.pat))""")
+    every = " UNION ALL ".join(f"SELECT * FROM l{k}" for k in range(1, longest + 1))
+    return _EV_FREQUENT + "," + ",\n".join(levels) + f",\ng AS ({every})" + _ev_select("g")
+
+
+@query("seq_patterns_prefixspan", _EV_FREQUENT + _ev_select("f"))
 def seq_patterns_prefixspan(spark: SparkSession, sf: str) -> DataFrame:
-    """MIN6/MIN7: PrefixSpan on user-day event sequences (length <= 2)."""
-    return _fmt(SM.prefixspan(event_sequences(spark, sf), min_support=EVENT_MIN_SUPPORT, max_len=2))
+    """MIN6/MIN7: PrefixSpan on user-day event sequences."""
+    return _fmt(SM.prefixspan(event_sequences(spark, sf), min_support=EVENT_MIN_SUPPORT, max_len=MAX_LEN))
 
 
-@query("seq_patterns_gsp_compat", _ev_patterns_sql("AND a.event_type <> b.event_type"))
+@query("seq_patterns_gsp_compat", _compat_sql(MAX_LEN))
 def seq_patterns_gsp_compat(spark: SparkSession, sf: str) -> DataFrame:
-    """MIN5/MIN6 compat engine (length <= 2): no <a, a> (S2)."""
-    return _fmt(SM.gsp_compat(event_sequences(spark, sf), min_support=EVENT_MIN_SUPPORT, max_len=2))
+    """MIN5/MIN6 compat engine: no <a, a> (S2)."""
+    return _fmt(SM.gsp_compat(event_sequences(spark, sf), min_support=EVENT_MIN_SUPPORT, max_len=MAX_LEN))
 
 
-@query("seq_patterns_gsp_compat_l4")
+@query("seq_patterns_gsp_compat_l4", _compat_sql(4))
 def seq_patterns_gsp_compat_l4(spark: SparkSession, sf: str) -> DataFrame:
-    """MIN5/MIN6 compat engine up to level 4 (rows-only; levels 3-4 are
-    checked against a brute-force re-statement in the tests)."""
+    """MIN5/MIN6 compat engine up to level 4."""
     return _fmt(SM.gsp_compat(event_sequences(spark, sf), min_support=EVENT_MIN_SUPPORT, max_len=4))
 
 
@@ -103,25 +125,19 @@ def class_sequences(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def class_pattern_table(spark: SparkSession, sf: str, min_support: float = CLASS_MIN_SUPPORT,
-                        max_len: int = CLASS_MAX_LEN) -> DataFrame:
+                        max_len: int = MAX_LEN) -> DataFrame:
     return CT.mine_by_class(class_sequences(spark, sf), "label", [CLASS_A, CLASS_B],
                             min_support=min_support, max_len=max_len)
 
 
 _CLASS_BASE = QS._bins_sql("quantile") + "," + QS._MI + f""",
 ll AS ({QS._LAB_LONG}),
-it AS (SELECT {QS._KEYS}, label, ll.feature || '_' || lab AS item, rnk AS pos FROM ll JOIN mir USING (feature)
-       WHERE rnk <= {min(QS.TOP_K, QS.MAX_LEN)}),
+it AS (SELECT rid, label, list(ll.feature || '_' || lab ORDER BY rnk) AS items FROM ll JOIN mir USING (feature)
+       WHERE rnk <= {min(QS.TOP_K, QS.MAX_LEN)} GROUP BY rid, label),
 nc AS (SELECT label, count(*) AS n FROM ft GROUP BY label),
-cp AS (
-  SELECT label AS class, '{{' || item || '}}' AS pattern, count(*) AS freq, 1 AS level FROM it GROUP BY 1, 2
-  UNION ALL
-  SELECT a.label, '{{' || a.item || '}} → {{' || b.item || '}}', count(*), 2
-  FROM it a JOIN it b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber
-       AND a.l_partkey = b.l_partkey AND a.l_suppkey = b.l_suppkey AND a.pos < b.pos
-  GROUP BY 1, 2),
-pats AS (SELECT cp.class, pattern, freq, freq / nc.n AS support, level FROM cp JOIN nc ON nc.label = cp.class
-         WHERE freq / nc.n >= {CLASS_MIN_SUPPORT}),
+{_subsequences('it', 'label', 'cp')},
+pats AS (SELECT cp.label AS class, {_braced('pat')} AS pattern, freq, freq / nc.n AS support, len(pat) AS level
+         FROM cp JOIN nc ON nc.label = cp.label WHERE freq / nc.n >= {CLASS_MIN_SUPPORT}),
 cla AS (SELECT * FROM pats WHERE class = '{CLASS_A}'), clb AS (SELECT * FROM pats WHERE class = '{CLASS_B}'),
 cmp AS (
   SELECT coalesce(cla.pattern, clb.pattern) AS pattern, cla.support AS sa, clb.support AS sb,
@@ -141,7 +157,7 @@ def _fmt_class(df: DataFrame) -> DataFrame:
 SELECT class, pattern, CAST(freq AS BIGINT) AS freq, round(support, 6) AS support, CAST(level AS INTEGER) AS level
 FROM pats""")
 def class_patterns(spark: SparkSession, sf: str) -> DataFrame:
-    """MIN9: patterns mined per class (PrefixSpan, support 0.05, length <= 2)."""
+    """MIN9: patterns mined per class (PrefixSpan, support 0.05)."""
     return _fmt_class(class_pattern_table(spark, sf))
 
 
@@ -256,9 +272,9 @@ UNION ALL SELECT CAST(config_order AS INTEGER), t, 'discriminative_top10', CAST(
 UNION ALL SELECT CAST(config_order AS INTEGER), t, 'unique_a_top10', CAST(least(ua, 10) AS DOUBLE) FROM c2
 UNION ALL SELECT CAST(config_order AS INTEGER), t, 'unique_b_top10', CAST(least(ub, 10) AS DOUBLE) FROM c2""")
 def sweep_support(spark: SparkSession, sf: str) -> DataFrame:
-    """MIN15: support sweep, mined once at the lowest threshold (length <= 2)."""
+    """MIN15: support sweep, mined once at the lowest threshold."""
     s = SW.support_sweep(class_sequences(spark, sf), "label", CLASS_A, CLASS_B, SUPPORT_THRESHOLDS,
-                         max_len=CLASS_MAX_LEN)
+                         max_len=MAX_LEN)
     return s.select("config_order", "min_support", "metric", "value")
 
 
@@ -303,7 +319,8 @@ def sweep_ranking(spark: SparkSession, sf: str) -> DataFrame:
 @query("best_config")
 def best_config(spark: SparkSession, sf: str) -> DataFrame:
     """MIN17: best configuration per sweep with its rationale (rows-only)."""
-    sup = SW.support_sweep(class_sequences(spark, sf), "label", CLASS_A, CLASS_B, SUPPORT_THRESHOLDS)
+    sup = SW.support_sweep(class_sequences(spark, sf), "label", CLASS_A, CLASS_B, SUPPORT_THRESHOLDS,
+                           max_len=MAX_LEN)
     allsw = sup.unionByName(sweep_bins_table(spark, sf)).unionByName(sweep_ranking_table(spark, sf))
     return SW.best_configuration(allsw)
 
@@ -326,6 +343,6 @@ def class_top_patterns(spark: SparkSession, sf: str) -> DataFrame:
 def strategy_summary(spark: SparkSession, sf: str) -> DataFrame:
     """MIN21: patterns per (binning strategy, class) (rows-only)."""
     per = {s: CT.mine_by_class(QS.global_sequences(spark, sf, strategy=s), "label", [CLASS_A, CLASS_B],
-                               min_support=CLASS_MIN_SUPPORT, max_len=CLASS_MAX_LEN)
+                               min_support=CLASS_MIN_SUPPORT, max_len=MAX_LEN)
            for s in ("uniform", "quantile", "kmeans")}
     return CT.strategy_summary(per, "label")

@@ -41,7 +41,7 @@ def binned(spark: SparkSession, sf: str, strategy: str = "quantile", n_bins: int
 
 # ------------------------------------------------------------------ SQL pieces
 
-_FT = ("ft AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, " +
+_FT = ("ft AS MATERIALIZED (SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber, l_partkey, l_suppkey, " +
        ", ".join(f"{v} AS {k}" for k, v in FEATURES.items()) +
        ", l_returnflag AS label FROM lineitem WHERE l_returnflag IN ('A', 'R'))")
 _KEYS = ", ".join(KEYS)
@@ -59,12 +59,12 @@ def _edges_sql(strategy: str) -> str:
 def _bins_sql(strategy: str, every: bool = False) -> str:
     ft = _FT.replace(" WHERE l_returnflag IN ('A', 'R')", "") if every else _FT
     cols = ", ".join(f"CAST(({f} >= e_{f}[2])::INT + ({f} >= e_{f}[3])::INT AS INTEGER) AS {f}" for f in FEATS)
-    return f"WITH {ft}, {_edges_sql(strategy)}, b AS (SELECT {_KEYS}, label, {cols} FROM ft, ed)\n"
+    return f"WITH {ft}, {_edges_sql(strategy)}, b AS (SELECT rid, {_KEYS}, label, {cols} FROM ft, ed)\n"
 
 
 _LABELS = "['low', 'medium', 'high']"
 _LONG = " UNION ALL ".join(
-    f"SELECT {_KEYS}, label, '{f}' AS feature, {f} AS bin FROM b" for f in FEATS)
+    f"SELECT rid, {_KEYS}, label, '{f}' AS feature, {f} AS bin FROM b" for f in FEATS)
 _MI = f"""lb AS ({_LONG}),
 j AS (SELECT feature, bin, label, CAST(count(*) AS DOUBLE) AS n_bc FROM lb GROUP BY ALL),
 t AS (SELECT feature, sum(n_bc) AS n FROM j GROUP BY 1),
@@ -78,9 +78,9 @@ _ZSTATS = ", ".join(f"avg({f}::DOUBLE) AS m_{f}, avg({f}::DOUBLE * {f}::DOUBLE)
 _ZSD = ", ".join(f"m_{f}, CASE WHEN q_{f} - m_{f} * m_{f} > 0 THEN sqrt(q_{f} - m_{f} * m_{f}) ELSE 1.0 END AS s_{f}"
                  for f in FEATS)
 _ZLONG = " UNION ALL ".join(
-    f"SELECT {_KEYS}, label, '{f}' AS feature, {f} AS bin, abs(({f} - m_{f}) / s_{f}) AS z FROM b, zs" for f in FEATS)
+    f"SELECT rid, {_KEYS}, label, '{f}' AS feature, {f} AS bin, abs(({f} - m_{f}) / s_{f}) AS z FROM b, zs" for f in FEATS)
 _Z = f"""zs0 AS (SELECT {_ZSTATS} FROM b), zs AS (SELECT {_ZSD} FROM zs0),
-zl AS (SELECT *, row_number() OVER (PARTITION BY {_KEYS} ORDER BY z DESC, feature) AS rn FROM ({_ZLONG}))"""
+zl AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY z DESC, feature) AS rn FROM ({_ZLONG}))"""
 
 
 # ------------------------------------------------------------------ bins
@@ -120,11 +120,11 @@ def bins_kmeans(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ ranking
 
 def mi_scores(spark: SparkSession, sf: str) -> DataFrame:
-    _ft, _e, b = binned(spark, sf)
+    _ft, _e, b = binned(spark, sf, every=True)
     return RK.mutual_info(b, FEATS, "label")
 
 
-@query("rank_mutual_info", _bins_sql("quantile") + "," + _MI +
+@query("rank_mutual_info", _bins_sql("quantile", every=True) + "," + _MI +
        "\nSELECT feature, round(score, 6) AS score, CAST(rnk AS INTEGER) AS rank FROM mir")
 def rank_mutual_info(spark: SparkSession, sf: str) -> DataFrame:
     """FE6: plug-in mutual information per binned feature, ranked."""
@@ -135,21 +135,21 @@ def rank_mutual_info(spark: SparkSession, sf: str) -> DataFrame:
     return mi.select("feature", r6("score").alias("score"), F.row_number().over(w).cast("int").alias("rank"))
 
 
-@query("rank_correlation", _bins_sql("quantile") +
+@query("rank_correlation", _bins_sql("quantile", every=True) +
        "SELECT feature, round(score, 6) AS score FROM (" + " UNION ALL ".join(
            f"SELECT '{f}' AS feature, abs(corr({f}::DOUBLE, CASE WHEN label = '{POSITIVE}' THEN 1.0 ELSE 0.0 END)) AS score FROM b"
            for f in FEATS) + ")")
 def rank_correlation(spark: SparkSession, sf: str) -> DataFrame:
     """FE8: |corr(bin, class)| per feature (the documented 'correlation' method)."""
-    _ft, _e, b = binned(spark, sf)
+    _ft, _e, b = binned(spark, sf, every=True)
     return RK.correlation_scores(b, FEATS, "label", POSITIVE).select("feature", r6("score").alias("score"))
 
 
-@query("rank_zscore_rows", _bins_sql("quantile") + "," + _Z +
-       f"\nSELECT {_KEYS}, string_agg(feature, ',' ORDER BY rn) AS ranked FROM zl WHERE rn <= {ZSCORE_K} GROUP BY ALL")
+@query("rank_zscore_rows", _bins_sql("quantile", every=True) + "," + _Z +
+       f"\nSELECT {_KEYS}, string_agg(feature, ',' ORDER BY rn) AS ranked FROM zl WHERE rn <= {ZSCORE_K} GROUP BY rid, {_KEYS}")
 def rank_zscore_rows(spark: SparkSession, sf: str) -> DataFrame:
     """WIN3: per-row top features by |z| of the bin ordinals."""
-    _ft, _e, b = binned(spark, sf)
+    _ft, _e, b = binned(spark, sf, every=True)
     stats = RK.moments(b, FEATS)
     r = RK.top_features_per_row(b, stats, ZSCORE_K)
     return r.select(*KEYS, F.array_join("ranked", ",").alias("ranked"))
@@ -164,9 +164,9 @@ def labelled(spark: SparkSession, sf: str, strategy: str = "quantile", n_bins: i
 
 
 def global_sequences(spark: SparkSession, sf: str, top_k: int = TOP_K, max_len: int = MAX_LEN,
-                     strategy: str = "quantile", n_bins: int = N_BINS) -> DataFrame:
+                     strategy: str = "quantile", n_bins: int = N_BINS, every: bool = False) -> DataFrame:
     """FE9 pipeline: fit bins, MI order on ordinals, sequences from labels."""
-    b, lab = labelled(spark, sf, strategy, n_bins)
+    b, lab = labelled(spark, sf, strategy, n_bins, every)
     order = RK.global_order(RK.mutual_info(b, FEATS, "label"), min(top_k, max_len))
     return RK.sequences_global(lab, order)
 
@@ -174,46 +174,55 @@ def global_sequences(spark: SparkSession, sf: str, top_k: int = TOP_K, max_len:
 def row_sequences(spark: SparkSession, sf: str, top_k: int = TOP_K, max_len: int = MAX_LEN,
                   strategy: str = "quantile", n_bins: int = N_BINS, rank_on: str = "bins",
                   every: bool = False) -> DataFrame:
-    """FE10 pipeline: per-row |z| order, sequences from labels.
+    """FE10 pipeline: per-row |z| order, sequences from labels, all in one row.
 
     ``rank_on='bins'`` ranks bin ordinals with the population std (S8);
     ``rank_on='raw'`` ranks raw values with the sample std (FE11, notebook).
     """
-    b, lab = labelled(spark, sf, strategy, n_bins, every)
-    src = b if rank_on == "bins" else feature_table(spark, sf, every)
-    stats = RK.moments(src, FEATS, sample=(rank_on == "raw"))
-    k = min(top_k, max_len)
-    ranked = RK.top_features_per_row(src, stats, k).select(*KEYS, "ranked")
-    both = lab.join(ranked, KEYS)
-    return RK.sequences_per_row(both, FEATS, "ranked")
+    ft, edges, b = binned(spark, sf, strategy, n_bins, every)
+    raw = rank_on == "raw"
+    stats = RK.moments(ft if raw else b, FEATS, sample=raw)
+    rows = BN.apply_labels(BN.apply_bins(ft, edges, "_bin"), edges, n_bins, "_label")
+    ranked = RK.top_features_per_row(rows, stats, min(top_k, max_len), suffix="" if raw else "_bin")
+    return RK.sequences_per_row(ranked, FEATS, "ranked", suffix="_label")
 
 
 _LAB_LONG = " UNION ALL ".join(
-    f"SELECT {_KEYS}, label, '{f}' AS feature, {_LABELS}[{f} + 1] AS lab FROM b" for f in FEATS)
+    f"SELECT rid, {_KEYS}, label, '{f}' AS feature, {_LABELS}[{f} + 1] AS lab FROM b" for f in FEATS)
 
 
-@query("seq_global", _bins_sql("quantile") + "," + _MI + f""",
+@query("seq_global", _bins_sql("quantile", every=True) + "," + _MI + f""",
 ll AS ({_LAB_LONG})
 SELECT {_KEYS}, label, string_agg(ll.feature || '_' || lab, ',' ORDER BY rnk) AS sequence
-FROM ll JOIN mir USING (feature) WHERE rnk <= {min(TOP_K, MAX_LEN)} GROUP BY ALL""")
+FROM ll JOIN mir USING (feature) WHERE rnk <= {min(TOP_K, MAX_LEN)} GROUP BY rid, {_KEYS}, label""")
 def seq_global(spark: SparkSession, sf: str) -> DataFrame:
     """FE9: sequences in the global MI order (length = least(top_k, max_len))."""
-    s = global_sequences(spark, sf)
+    s = global_sequences(spark, sf, every=True)
     return s.select(*KEYS, "label", RK.sequence_text("sequence").alias("sequence"))
 
 
-@query("seq_per_row", _bins_sql("quantile") + "," + _Z + f"""
+@query("seq_per_row", _bins_sql("quantile", every=True) + "," + _Z + f"""
 SELECT {_KEYS}, label, string_agg(feature || '_' || {_LABELS}[bin + 1], ',' ORDER BY rn) AS sequence
-FROM zl WHERE rn <= {min(TOP_K, MAX_LEN)} GROUP BY ALL""")
+FROM zl WHERE rn <= {min(TOP_K, MAX_LEN)} GROUP BY rid, {_KEYS}, label""")
 def seq_per_row(spark: SparkSession, sf: str) -> DataFrame:
     """FE10: sequences in each row's own |z| order."""
-    s = row_sequences(spark, sf)
+    s = row_sequences(spark, sf, every=True)
     return s.select(*KEYS, "label", RK.sequence_text("sequence").alias("sequence"))
 
 
-@query("seq_per_row_raw")
+_RAW_STATS = ", ".join(f"avg({f}::DOUBLE) AS m_{f}, coalesce(nullif(stddev_samp({f}::DOUBLE), 0), 1.0) AS s_{f}" for f in FEATS)
+_RAW_LONG = " UNION ALL ".join(
+    f"SELECT b.rid, b.{_KEYS.replace(', ', ', b.')}, b.label, '{f}' AS feature, b.{f} AS bin, abs((ft.{f}::DOUBLE - m_{f}) / s_{f}) AS z "
+    "FROM b JOIN ft USING (rid), rs" for f in FEATS)
+
+
+@query("seq_per_row_raw", _bins_sql("quantile", every=True) + f""",
+rs AS (SELECT {_RAW_STATS} FROM ft),
+zl AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY z DESC, feature) AS rn FROM ({_RAW_LONG}))
+SELECT {_KEYS}, label, string_agg(feature || '_' || {_LABELS}[bin + 1], ',' ORDER BY rn) AS sequence
+FROM zl WHERE rn <= {min(TOP_K, MAX_LEN)} GROUP BY rid, {_KEYS}, label""")
 def seq_per_row_raw(spark: SparkSession, sf: str) -> DataFrame:
     """FE11: sequences ordered by |z| of the raw values (sample std), labels
-    from quantile bins (rows-only)."""
-    s = row_sequences(spark, sf, rank_on="raw")
+    from quantile bins."""
+    s = row_sequences(spark, sf, rank_on="raw", every=True)
     return s.select(*KEYS, "label", RK.sequence_text("sequence").alias("sequence"))
