@@ -96,18 +96,19 @@ def greedy_select(spark: SparkSession, scores: Sequence[tuple[str, float]], corr
     return sel, rem
 
 
-def correlated_groups(spark: SparkSession, features: Sequence[str], corr: dict[tuple[str, str], float],
-                      threshold: float = 0.9) -> DataFrame:
-    """FE15: greedy groups — each unassigned feature starts a group holding
-    the unassigned features correlated with it above the threshold."""
-    assigned: set[str] = set()
-    rows = []
-    for f in features:
-        if f in assigned:
-            continue
-        group = [f] + [g for g in features if g != f and g not in assigned
-                       and abs(corr.get((f, g), corr.get((g, f), 0.0)) or 0.0) > threshold]
-        if len(group) > 1:
-            assigned.update(group)
-            rows.append((f, sorted(group)))
-    return spark.createDataFrame(rows, "leader string, members array<string>")
+def correlated_groups(features: Sequence[str], pairs: DataFrame) -> DataFrame:
+    """FE15: greedy groups over the pairs (f1, f2) above the threshold: in feature
+    order, the first feature left leads a group of its neighbours that are left.
+    Features without such a neighbour are in no group."""
+    near: dict[str, set[str]] = {f: set() for f in features}
+    for r in pairs.select("f1", "f2").collect():
+        near[r[0]].add(r[1])
+        near[r[1]].add(r[0])
+    left, rows = list(features), []
+    while left:
+        leader = left.pop(0)
+        joined = near[leader].intersection(left)
+        left = [f for f in left if f not in joined]
+        if joined:
+            rows.append((leader, sorted(joined | {leader})))
+    return pairs.sparkSession.createDataFrame(rows, "leader string, members array<string>")

@@ -6,12 +6,13 @@ basket is every brand they bought (partial coverage, so counts vary).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import baskets as B
 from ..operators import containment as C
 from ..operators import itemsets as I
+from .joins import bounded_broadcast
 from .registry import joined, query, r6, read
 
 BRAND_MIN_SUPPORT = 0.001
@@ -138,3 +139,29 @@ def itemsets_per_group_top15(spark: SparkSession, sf: str) -> DataFrame:
     pairs = C.contained_pairs(its, customer_profiles(spark, sf), "custkey")
     return (pairs.groupBy("custkey").agg(F.count(F.lit(1)).alias("n_itemsets"))
             .orderBy(F.desc("n_itemsets"), "custkey").limit(15))
+
+
+@query("group_report_top10", _BASE + """,
+nb AS (SELECT custkey, count(*) AS n_items FROM cp GROUP BY 1),
+lead AS (SELECT custkey, n_itemsets, row_number() OVER (ORDER BY n_itemsets DESC, custkey) AS group_rank FROM cov),
+det AS (SELECT custkey, items, support, row_number() OVER (PARTITION BY custkey ORDER BY support DESC, items) AS rank
+        FROM pairs WHERE items IN (SELECT items FROM top20))
+SELECT CAST(group_rank AS INTEGER) AS group_rank, lead.custkey, n_itemsets, CAST(n_items AS BIGINT) AS n_items,
+       CAST(rank AS INTEGER) AS rank, items, round(support, 6) AS support
+FROM lead JOIN nb ON nb.custkey = lead.custkey LEFT JOIN det ON det.custkey = lead.custkey AND rank <= 3
+WHERE group_rank <= 10""")
+def group_report_top10(spark: SparkSession, sf: str) -> DataFrame:
+    """MIN19/WIN2: the ten customers holding most of the top-20 triples, the size of
+    their baskets and their three best triples."""
+    profiles = customer_profiles(spark, sf)
+    pairs = C.contained_pairs(_top(brand_itemsets(spark, sf), 20), profiles, "custkey")
+    pairs = bounded_broadcast(pairs.select("custkey", joined("items").alias("items"), "support"))
+    counts = C.coverage_counts(pairs, profiles, "custkey")
+    sizes = profiles.select("custkey", F.size("items").cast("long").alias("n_items"))
+    ten = counts.orderBy(F.desc("n_itemsets"), "custkey").limit(10)
+    ten = ten.withColumn("group_rank", F.row_number().over(Window.orderBy(F.desc("n_itemsets"), "custkey")))
+    best = Window.partitionBy("custkey").orderBy(F.desc("support"), "items")
+    detail = pairs.withColumn("rank", F.row_number().over(best)).where("rank <= 3")
+    return (ten.join(sizes, "custkey").join(detail, "custkey", "left")
+            .select(F.col("group_rank").cast("int").alias("group_rank"), "custkey", "n_itemsets", "n_items",
+                    F.col("rank").cast("int").alias("rank"), "items", r6("support").alias("support")))

@@ -300,6 +300,7 @@ def top_triples(spark: SparkSession, sf: str) -> DataFrame:
 
 RULE_MIN_CONFIDENCE = 0.5
 
+HIGH_LIFT = 1.5
 _RULES_BASE = _SUBSETS + f""",
 splits AS (
   SELECT list_filter(s2, lambda x, i: ((m >> (i - 1)) & 1) = 1) AS ante,
@@ -380,7 +381,10 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM b2) AS n_baskets,
        (SELECT round(avg(support), 6) FROM its WHERE size = 3) AS avg_support_size3,
        (SELECT CAST(count(*) AS BIGINT) FROM rules) AS n_rules,
        (SELECT round(avg(lift_raw), 6) FROM rules) AS avg_lift,
-       (SELECT items FROM its WHERE size = 3 ORDER BY support DESC, items LIMIT 1) AS top_triple
+       (SELECT round(avg(conf), 6) FROM (SELECT conf FROM m WHERE conf >= {RULE_MIN_CONFIDENCE})) AS avg_confidence,
+       (SELECT CAST(count(*) AS BIGINT) FROM rules WHERE lift_raw > {HIGH_LIFT}) AS n_high_lift,
+       (SELECT items FROM its WHERE size = 3 ORDER BY support DESC, items LIMIT 1) AS top_triple,
+       (SELECT freq FROM its WHERE size = 3 ORDER BY support DESC, items LIMIT 1) AS n_with_top_triple
 """)
 def findings_summary(spark: SparkSession, sf: str) -> DataFrame:
     """MIN20/AGG4/AGG8/AGG12: one-row summary of baskets, itemsets and rules."""
@@ -392,8 +396,9 @@ def findings_summary(spark: SparkSession, sf: str) -> DataFrame:
     u = baskets.select(F.explode("items").alias("i")).agg(F.countDistinct("i").alias("n_distinct_items"))
     i = its.agg(F.count(F.lit(1)).alias("n_itemsets"),
                 r6(F.avg(F.when(F.col("size") == 3, F.col("support")))).alias("avg_support_size3"))
-    r = rules.agg(F.count(F.lit(1)).alias("n_rules"), r6(F.avg("lift")).alias("avg_lift"))
-    t = _fmt_itemsets(I.top_itemsets(its, 3, 1)).select(F.col("items").alias("top_triple"))
+    r = rules.agg(F.count(F.lit(1)).alias("n_rules"), r6(F.avg("lift")).alias("avg_lift"),
+                  r6(F.avg("confidence")).alias("avg_confidence"), F.count_if(F.col("lift") > HIGH_LIFT).alias("n_high_lift"))
+    t = _fmt_itemsets(I.top_itemsets(its, 3, 1)).select(F.col("items").alias("top_triple"), F.col("freq").alias("n_with_top_triple"))
     # the other one-row aggregates enter as scalar subqueries (no join at all)
     return b.select("n_baskets", "total_items",
                     u.select("n_distinct_items").scalar().alias("n_distinct_items"),
@@ -401,4 +406,7 @@ def findings_summary(spark: SparkSession, sf: str) -> DataFrame:
                     i.select("avg_support_size3").scalar().alias("avg_support_size3"),
                     r.select("n_rules").scalar().alias("n_rules"),
                     r.select("avg_lift").scalar().alias("avg_lift"),
-                    t.select("top_triple").scalar().alias("top_triple"))
+                    r.select("avg_confidence").scalar().alias("avg_confidence"),
+                    r.select("n_high_lift").scalar().alias("n_high_lift"),
+                    t.select("top_triple").scalar().alias("top_triple"),
+                    t.select("n_with_top_triple").scalar().alias("n_with_top_triple"))

@@ -1,15 +1,15 @@
 """Catalogue: lookups (precautions, hygiene anti-joins) and follow-up suggestions.
 
 Lookup stand-in: nation names play the disease names. The "descriptions"
-table is ``nation``; the "precautions" table is built from suppliers with a
-positive balance (their first four names per nation), keyed by the nation
-name written in varying case and spacing, with a second, later row for some
-nations (the later row wins). Predictions to look up: each customer's nation.
+table is ``nation``; the "precautions" table is built from the suppliers
+(their first four names per nation), keyed by the nation name written in
+varying case and spacing, misspelt for some nations, with a second, later row
+for some nations (the later row wins). Predictions to look up: each customer's nation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.terms import normalise_disease
@@ -21,12 +21,14 @@ from .registry import joined, query, r6, read
 
 def precaution_table(spark: SparkSession, sf: str) -> DataFrame:
     """Wide (Disease, Precaution_1..4, row_order) table derived from supplier."""
-    sup = read(spark, sf, "supplier").where(F.col("s_acctbal") > 0)
+    first = Window.partitionBy("s_nationkey").orderBy("s_suppkey")  # four rows a nation leave each map task
+    sup = read(spark, sf, "supplier").withColumn("k", F.row_number().over(first)).where("k <= 4")
     nat = read(spark, sf, "nation")
     names = (sup.groupBy("s_nationkey")
              .agg(F.sort_array(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("s")))
     j = names.join(nat, names.s_nationkey == nat.n_nationkey)
-    key = (F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit(" "), F.upper("n_name"), F.lit("  ")))
+    key = (F.when(F.col("n_nationkey") % 7 == 6, F.concat(F.col("n_name"), F.lit(" x")))
+           .when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit(" "), F.upper("n_name"), F.lit("  ")))
            .when(F.col("n_nationkey") % 3 == 1, F.lower("n_name")).otherwise(F.col("n_name")))
     base = j.select(key.alias("Disease"), *[F.try_element_at("s", F.lit(i))["s_name"].alias(f"Precaution_{i}") for i in range(1, 5)],
                     (F.col("n_nationkey") * 10).alias("row_order"), "n_nationkey")
@@ -39,9 +41,10 @@ def precaution_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _PREC_SQL = r"""
-WITH s AS (SELECT s_nationkey, list(s_name ORDER BY s_suppkey) AS names FROM supplier WHERE s_acctbal > 0 GROUP BY 1),
+WITH s AS (SELECT s_nationkey, list(s_name ORDER BY s_suppkey) AS names FROM supplier GROUP BY 1),
 j AS (SELECT * FROM s JOIN nation n ON n.n_nationkey = s.s_nationkey),
-pt AS (SELECT CASE n_nationkey % 3 WHEN 0 THEN ' ' || upper(n_name) || '  ' WHEN 1 THEN lower(n_name) ELSE n_name END AS disease,
+pt AS (SELECT CASE WHEN n_nationkey % 7 = 6 THEN n_name || ' x' WHEN n_nationkey % 3 = 0 THEN ' ' || upper(n_name) || '  '
+                   WHEN n_nationkey % 3 = 1 THEN lower(n_name) ELSE n_name END AS disease,
               [names[1], names[2], names[3], names[4]] AS vals, n_nationkey * 10 AS row_order FROM j
        UNION ALL
        SELECT n_name, [names[4], names[3], names[2], names[1]], n_nationkey * 10 + 1 FROM j WHERE n_nationkey % 5 = 0),

@@ -65,12 +65,28 @@ def corr_pairs_over_threshold(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("f1", "f2", r6("r").alias("r"))
 
 
-@query("corr_groups")
+GROUP_THRESHOLD = 0.7
+_FEATURE_ROWS = ", ".join(f"({i}, '{f}')" for i, f in enumerate(ORDER_FEATS))
+
+
+@query("corr_groups", "WITH RECURSIVE " + _OF.removeprefix("WITH ").rstrip() + f""",
+c AS ({_CORR_SQL.removeprefix(_OF)}),
+ft AS (SELECT * FROM (VALUES {_FEATURE_ROWS}) AS v(i, feature)),
+nb AS (SELECT ft.i, ft.feature, list(c.f2 ORDER BY c.f2) FILTER (WHERE c.f2 <> ft.feature AND abs(c.r) > {GROUP_THRESHOLD}) AS near
+       FROM ft JOIN c ON c.f1 = ft.feature GROUP BY 1, 2),
+g AS (SELECT 0 AS i, CAST([] AS VARCHAR[]) AS taken, CAST(NULL AS VARCHAR) AS leader, CAST([] AS VARCHAR[]) AS found
+      UNION ALL
+      SELECT g.i + 1,
+             CASE WHEN list_contains(g.taken, nb.feature) THEN g.taken ELSE list_concat(g.taken, list_append(coalesce(nb.near, []), nb.feature)) END,
+             CASE WHEN list_contains(g.taken, nb.feature) THEN NULL ELSE nb.feature END,
+             list_filter(coalesce(nb.near, []), lambda x: NOT list_contains(g.taken, x))
+      FROM g JOIN nb ON nb.i = g.i)
+SELECT leader, array_to_string(list_sort(list_append(found, leader)), ',') AS members
+FROM g WHERE leader IS NOT NULL AND len(found) > 0""")
 def corr_groups(spark: SparkSession, sf: str) -> DataFrame:
-    """FE15: greedy groups of features correlated above 0.9 (rows-only)."""
-    c = SL.correlation_long(order_features(spark, sf), ORDER_FEATS)
-    corr = {(r["f1"], r["f2"]): r["r"] for r in c.collect()}
-    return SL.correlated_groups(spark, ORDER_FEATS, corr, REDUNDANCY_THRESHOLD)
+    """FE15: greedy groups of features correlated above 0.7."""
+    pairs = SL.pairs_over(SL.correlation_long(order_features(spark, sf), ORDER_FEATS), GROUP_THRESHOLD)
+    return SL.correlated_groups(ORDER_FEATS, pairs).select("leader", F.array_join("members", ",").alias("members"))
 
 
 def class_feature_scores(spark: SparkSession, sf: str):

@@ -238,6 +238,9 @@ def interpretations(spark: SparkSession, sf: str) -> DataFrame:
     return CT.interpretations(c, CLASS_A, CLASS_B)
 
 
+_LENGTH = " + ".join(f"({f} IS NOT NULL)::INT" for f in QS.FEATS)
+
+
 @query("class_totals", QS._bins_sql("quantile") + f"""
 SELECT CAST(count(*) AS BIGINT) AS total_sequences,
        CAST(count(*) FILTER (WHERE label = '{CLASS_A}') AS BIGINT) AS n_{CLASS_A},
@@ -310,9 +313,41 @@ def sweep_bins(spark: SparkSession, sf: str) -> DataFrame:
     return sweep_bins_table(spark, sf)
 
 
-@query("sweep_ranking")
+_SWEEP_SUPPORT = 0.1
+
+
+def _sweep_counts(method: str, rows: str) -> str:
+    """CTE ``<method>_n``: summary counts of the sequences ``rows`` (label, items)."""
+    return f"""{_subsequences(rows, 'label', method)},
+{method}_p AS (SELECT label, pat, freq / n AS support FROM {method} JOIN nc USING (label) WHERE freq / n >= {_SWEEP_SUPPORT}),
+{method}_c AS (SELECT a.pat IS NOT NULL AS ina, b.pat IS NOT NULL AS inb
+  FROM (SELECT * FROM {method}_p WHERE label = '{CLASS_A}') a FULL OUTER JOIN (SELECT * FROM {method}_p WHERE label = '{CLASS_B}') b ON a.pat = b.pat),
+{method}_n AS (SELECT '{method}' AS method, count(*) FILTER (WHERE ina) AS ta, count(*) FILTER (WHERE inb) AS tb,
+  count(*) FILTER (WHERE ina AND inb) AS c, count(*) FILTER (WHERE ina AND NOT inb) AS ua, count(*) FILTER (WHERE inb AND NOT ina) AS ub,
+  (SELECT avg(len(items)) FROM {rows}) AS avg_len FROM {method}_c)"""
+
+
+_SWEEP_METRICS = {"total_patterns_a": "ta", "total_patterns_b": "tb", "common_patterns": "c", "discriminative_top10": "least(c, 10)",
+                  "unique_a": "ua", "unique_b": "ub", "unique_a_top10": "least(ua, 10)", "unique_b_top10": "least(ub, 10)",
+                  "avg_sequence_length": "avg_len"}
+_SWEEP_LONG = " UNION ALL ".join(f"SELECT method, '{m}' AS metric, CAST({e} AS DOUBLE) AS value FROM al" for m, e in _SWEEP_METRICS.items())
+_SWEEP_CONFIGS = ", ".join(f"({4 * i + j}, '{m}', {k})" for i, m in enumerate(("mutual_info", "zscore")) for j, k in enumerate((5, 10, 15, 20)))
+
+
+@query("sweep_ranking", _CLASS_BASE + "," + QS._Z + f""",
+zi AS (SELECT rid, label, list(feature || '_' || {QS._LABELS}[bin + 1] ORDER BY rn) AS items FROM zl
+       WHERE rn <= {QS.MAX_LEN} GROUP BY rid, label),
+{_sweep_counts('mutual_info', 'it')},
+{_sweep_counts('zscore', 'zi')},
+al AS (SELECT * FROM mutual_info_n UNION ALL SELECT * FROM zscore_n),
+lo AS ({_SWEEP_LONG}),
+cf AS (SELECT * FROM (VALUES {_SWEEP_CONFIGS}) AS v(config_order, method, top_k))
+SELECT 'ranking' AS sweep, CAST(config_order AS INTEGER) AS config_order, 'quantile' AS strategy, CAST(3 AS INTEGER) AS n_bins,
+       CAST({_SWEEP_SUPPORT} AS DOUBLE) AS min_support, method AS ranking_method, CAST(top_k AS INTEGER) AS top_k, metric, value,
+       CAST(NULL AS VARCHAR) AS error
+FROM cf JOIN lo USING (method)""")
 def sweep_ranking(spark: SparkSession, sf: str) -> DataFrame:
-    """MIN16: 2 ranking methods x top-k 5/10/15/20, shared by effective length (rows-only)."""
+    """MIN16: 2 ranking methods x top-k 5/10/15/20, shared by effective length."""
     return sweep_ranking_table(spark, sf)
 
 
@@ -346,3 +381,14 @@ def strategy_summary(spark: SparkSession, sf: str) -> DataFrame:
                                min_support=CLASS_MIN_SUPPORT, max_len=MAX_LEN)
            for s in ("uniform", "quantile", "kmeans")}
     return CT.strategy_summary(per, "label")
+
+
+@query("strategy_class_sequences", " UNION ALL ".join(
+    f"(SELECT '{st}' AS strategy, label AS class, CAST(count(*) AS BIGINT) AS n_sequences, round(avg({_LENGTH}), 6) AS avg_length FROM ("
+    f"{QS._bins_sql(st)} SELECT * FROM b) GROUP BY label)" for st in ("uniform", "quantile")))
+def strategy_class_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    """MIN21: sequences per (binning strategy, class) and their mean length."""
+    parts = [QS.global_sequences(spark, sf, strategy=st).groupBy(F.col("label").alias("class"))
+             .agg(F.count(F.lit(1)).alias("n_sequences"), r6(F.avg(F.size("sequence"))).alias("avg_length"))
+             .select(F.lit(st).alias("strategy"), "class", "n_sequences", "avg_length") for st in ("uniform", "quantile")]
+    return parts[0].unionByName(parts[1])

@@ -283,14 +283,14 @@ def session_fold(spark: SparkSession, sf: str) -> DataFrame:
                     F.array_join(F.array_sort("items_used"), ",").alias("items_used"), "followup_limit")
 
 
-@query("session_stream")
+@query("session_stream", _SESSION_SQL)
 def session_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """ST1 stream: the same turns fed as one file per turn number through
-    ``applyInPandasWithState`` (rows-only; the tests check it equals the fold)."""
+    """ST1 stream: the same turns, delivered in three ranges of turn numbers, through
+    ``applyInPandasWithState``; equals the fold."""
     from ..streaming.session_stream import run_file_stream
 
     turns = user_turn_items(spark, sf)
-    out = run_file_stream(spark, turns.withColumn("batch", F.col("turn")), "batch")
+    out = run_file_stream(spark, turns)
     return out.select("conv_id", "turn", "n_items", "waiting_before", "action",
                       F.array_join(F.array_sort("items_used"), ",").alias("items_used"), "followup_limit")
 

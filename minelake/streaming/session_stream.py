@@ -64,24 +64,28 @@ def session_stream(stream: DataFrame, key: str = "conv_id",
                                     GroupStateTimeout.NoTimeout))
 
 
-def run_file_stream(spark: SparkSession, turns: DataFrame, batch_col: str, run_dir: str | None = None,
+def run_file_stream(spark: SparkSession, turns: DataFrame, run_dir: str | None = None, arrivals: int = 3,
                     threshold: int = LX.MIN_ITEMS_FOR_CONFIDENCE) -> DataFrame:
-    """Feed ``turns`` as one file per value of ``batch_col`` (ascending) through
-    the streaming job and return what the sink wrote.
+    """Feed ``turns`` (conv_id, turn, items) through the streaming job in ``arrivals``
+    deliveries and return what the sink wrote.
 
-    Everything lives under the shared checkpoint folder: input files, the
-    stream's checkpoint (state store) and the parquet sink.
+    The turns are written once, split into consecutive ranges of turn numbers; each
+    delivery is one distributed write of one range, taken up by the same stream, whose
+    state store carries every session from one delivery to the next. Everything lives
+    under the shared checkpoint folder: the input, the stream's checkpoint and the sink.
     """
     base = run_dir or os.path.join(ensure_checkpoint_dir(spark), f"session-stream-{uuid.uuid4().hex}")
-    src, out, chk = (os.path.join(base, p) for p in ("in", "out", "chk"))
+    staged, src, out, chk = (os.path.join(base, p) for p in ("staged", "in", "out", "chk"))
+    turns.select("conv_id", "turn", "items").write.parquet(staged)
     schema = "conv_id long, turn long, items array<string>"
-    batches = [r[0] for r in turns.select(batch_col).distinct().orderBy(batch_col).collect()]
-    for b in batches:
-        (turns.where(F.col(batch_col) == b).select("conv_id", "turn", "items")
-         .coalesce(1).write.mode("append").parquet(src))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    q = (session_stream(stream, threshold=threshold).writeStream.format("parquet")
-         .option("path", out).option("checkpointLocation", chk).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    rows = spark.read.schema(schema).parquet(staged)
+    lo, hi = rows.agg(F.min("turn"), F.max("turn")).first()
+    span = 0 if lo is None else hi - lo + 1
+    for k in range(arrivals):
+        part = rows.where(F.floor((F.col("turn") - F.lit(lo)) * arrivals / F.lit(span)) == k) if span else rows
+        part.write.mode("append").parquet(src)
+        q = (session_stream(spark.readStream.schema(schema).parquet(src), threshold=threshold)
+             .writeStream.format("parquet").option("path", out).option("checkpointLocation", chk)
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
     return spark.read.schema(OUTPUT_SCHEMA).parquet(out)

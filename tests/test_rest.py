@@ -39,7 +39,7 @@ def test_h6_session_stream(spark):
     from minelake.streaming.session_stream import run_file_stream
 
     d = tempfile.mkdtemp(prefix="minelake-stream-")
-    out = run_file_stream(spark, _h6(spark).withColumn("b", F.col("turn")), "b", run_dir=os.path.join(d, "run"))
+    out = run_file_stream(spark, _h6(spark), run_dir=os.path.join(d, "run"))
     _check_h6(out.collect())
 
 
