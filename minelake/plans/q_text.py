@@ -160,7 +160,7 @@ def route_messages(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ tumour rules
 
 def tumour_texts(spark: SparkSession, sf: str) -> DataFrame:
-    li = read(spark, sf, "lineitem").where(F.col("l_returnflag").isin("A", "R"))
+    li = read(spark, sf, "lineitem")
     chars = F.when(F.col("l_linestatus") == "O", F.lit("irregular spiculated mass")) \
         .otherwise(F.lit("smooth circumscribed cystic lesion"))
     text = F.concat_ws("; ",
@@ -174,13 +174,10 @@ def tumour_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 def tumour_analysis(spark: SparkSession, sf: str) -> DataFrame:
     """TX9 pieces: measurements, characteristics, insights, risk, heuristic."""
-    t = tumour_texts(spark, sf)
-    t = t.withColumn("_tid", F.concat_ws("|", *[F.col(k).cast("string") for k in QS.KEYS]))
-    hits = TX.lexicon_hits(t, "_tid", "text", LX.CHARACTERISTIC_CATEGORIES)
-    per = hits.groupBy("_tid").agg(F.sort_array(F.collect_list("term")).alias("terms"))
-    j = t.join(per, "_tid", "left")
-    chars = F.array_sort(TX.standardise_characteristics(F.coalesce("terms", F.array().cast("array<string>"))))
-    j = TX.add_measurements(j.withColumn("chars", chars), "text", "m", standardise=True)
+    t = TX.add_measurements(tumour_texts(spark, sf), "text", "m", standardise=True)
+    terms = F.coalesce(TX.lexicon_terms(F.col("text"), LX.CHARACTERISTIC_CATEGORIES), F.array().cast("array<string>"))
+    j = t.withColumn("terms", terms)
+    j = j.withColumn("chars", F.array_sort(TX.standardise_characteristics(F.col("terms"))))
     insights, risk = TX.risk_insights(F.col("m"), F.col("chars"))
     p, label, prob = TX.heuristic_score(F.col("m"))
     conf = TX.completeness_confidence(F.cardinality("m"), F.size("chars"), prob)
