@@ -211,3 +211,14 @@ def test_tumour_predict_scores_every_row(spark):
     want = spark.read.parquet(f"{sf}/lineitem.parquet").select(*keys)
     got = entry.queries()["tumour_predict"](spark, sf).select(*keys)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_kv_fallback_attached_units(spark):
+    cases = [("lesion size: 12.5mm", {"lesion_size": 12.5}), ("density: 0.25g", {"density": 0.25}), ("dose: 1.5e3", {"dose": 1.5}),
+             ("lesion size: 12mm", {"lesion_size": 12.0}), ("lesion size=3cm", {"lesion_size": 3.0}), ("shift = -.5mm", {"shift": -0.5}),
+             ("radius mean 12.5mm", {"radius_mean": 12.5}), ("area_worst 7cm", {"area_worst": 7.0}), ("lesion size 12.5mm", {}),
+             ("dose 1.5e3", {}), ("lesion size 12mm", {}), ("lesion size 12.5 mm", {"size": 12.5}), ("depth 4.25, width 3.", {"depth": 4.25, "width": 3.0}),
+             ("lesion size: 12mm 40 area 10", {"lesion_size": 12.0, "area": 10.0}), ("density: 0.25g, depth: 2", {"density": 0.25, "depth": 2.0})]
+    df = spark.createDataFrame([(i, t) for i, (t, _m) in enumerate(cases)], "i int, t string")
+    got = {r["i"]: dict(r["m"]) for r in df.select("i", TX.kv_fallback(F.col("t")).alias("m")).collect()}
+    assert [got[i] for i in range(len(cases))] == [m for _t, m in cases]
