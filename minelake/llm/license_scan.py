@@ -7,11 +7,21 @@ word bigrams, 2 * common / (own + template's). A Dice of ``threshold`` needs set
 sizes within threshold / (2 - threshold) of each other, so most units and templates
 are pruned by size before any set is compared.
 
-Result: one row per distinct doc_id (null is one): n_units matched, n_licenses
-matched, license with the best match (ties: the one that sorts first), its dice, and
-the sorted licences joined by commas. Documents without a match have 0, 0, null,
-null and "". Rows that repeat a doc_id are merged. Null or empty texts match nothing.
-Units that are equal within a row count once. Extra columns are ignored.
+Passages inside longer units: every sentence, and every window of as many words as a
+template, at any alignment, is compared with the templates and with the standard
+paragraphs in ``PASSAGES`` (full licence texts hold these paragraphs). A passage of a
+text needs at least threshold / (2 - threshold) of the template's bigrams somewhere in
+the text, so almost all texts are settled by one intersection with all templates'
+bigrams. A window starts at a bigram of its template. Of overlapping windows of two
+licences the one with more common bigrams stays (BSD-3 holds BSD-2); a sentence counts
+for its best licence only. A passage counts only for a licence that no line, paragraph
+or whole text of the document matches.
+
+Result: one row per distinct doc_id (null is one): n_units matched (and one for each
+licence found in passages only), n_licenses matched, license with the best match (ties:
+the one that sorts first), its dice, and the sorted licences joined by commas. Documents
+without a match have 0, 0, null, null and "". Rows that repeat a doc_id are merged. Null
+or empty texts match nothing. Units that are equal within a row count once. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,6 +51,25 @@ TEMPLATES = [
 ]
 
 
+_GNU = ("This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the "
+        "Free Software Foundation{} either version {} of the License, or (at your option) any later version.")
+
+# Standard paragraphs, matched as passages only.
+PASSAGES = [
+    ("AGPL-3.0", _GNU.format("program", ":", "Affero ", ",", "3")),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("BSD-3-Clause", 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.'),
+    ("GPL-2.0", _GNU.format("program", ";", "", ";", "2")),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", _GNU.format("library", ";", "Lesser ", ";", "2.1")),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", _GNU.format("library", ":", "Lesser ", ",", "3")),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the additional permissions listed below."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+]
+
+
 def bigrams(text: str) -> list[str]:
     words = re.sub("[^a-z0-9]+", " ", text.lower()).split()
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
@@ -54,8 +83,61 @@ def units(text: Column) -> Column:
     return F.array_distinct(F.concat(F.split(text, "\n", -1), F.split(text, r"\n[ \t\r]*\n", -1), F.array(text)))
 
 
+def _let(expr: Column, fn) -> Column:
+    """``expr`` evaluated once for all its uses in ``fn``."""
+    return F.element_at(F.transform(F.array(expr), fn), 1)
+
+
+def _grams(text: Column) -> Column:
+    """The word bigrams of a text in order, repeats kept."""
+    words = F.split(F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " ")), " ")
+    return _let(words, lambda w: F.transform(F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda x, i: F.concat_ws(" ", F.get(w, i), x)))
+
+
+def _scored(own: Column, t: Column, start: Column, n: Column) -> Column:
+    """A passage's bigram set against a template."""
+    return _let(F.size(F.array_intersect(own, t["grams"])), lambda c: F.struct(
+        c.alias("common"), (2 * c / (F.size(own) + F.size(t["grams"]))).alias("dice"), t["license"].alias("license"), start.alias("start"), n.alias("n")))
+
+
+def _windows(g: Column, t: Column, threshold: float) -> Column:
+    starts = F.filter(F.transform(g, lambda x, i: F.when(F.array_contains(t["grams"], x), i)), lambda i: i.isNotNull())
+    return F.filter(F.transform(starts, lambda i: _let(F.array_distinct(F.slice(g, i + 1, t["n"])), lambda own: _scored(own, t, i, t["n"]))),
+                    lambda h: h["dice"] >= threshold)
+
+
+def _best(hits: Column) -> Column:
+    """Windows that no overlapping window of another licence beats."""
+    rank = lambda h: F.struct(h["common"], h["dice"])
+    beats = lambda o, h: (rank(o) > rank(h)) | ((rank(o) == rank(h)) & (o["license"] < h["license"]))
+    overlap = lambda o, h: (o["start"] < h["start"] + h["n"]) & (h["start"] < o["start"] + o["n"])
+    return _let(hits, lambda hs: F.when(F.size(F.array_distinct(hs["license"])) < 2, hs).otherwise(
+        F.filter(hs, lambda h: ~F.exists(hs, lambda o: (o["license"] != h["license"]) & overlap(o, h) & beats(o, h)))))
+
+
+def passages(rows: DataFrame, known: list[tuple[str, str]], threshold: float) -> DataFrame:
+    """(doc_id, dice, license) of the sentences and windows that match."""
+    known = [(name, bigrams(t), len(re.sub("[^a-z0-9]+", " ", t.lower()).split()) - 1) for name, t in known if bigrams(t)]
+    if not known:
+        return rows.select("doc_id", F.lit(None).cast("double").alias("dice"), F.lit(None).cast("string").alias("license")).limit(0)
+    # one below the bound's ceiling never passes, so rounding down loses nothing
+    tpl = F.array(*[F.struct(F.lit(name).alias("license"), F.array(*map(F.lit, g)).alias("grams"), F.lit(n).alias("n"),
+                             F.lit(int(_bounds(len(g), threshold)[0])).alias("need")) for name, g, n in known])
+    every = F.array(*map(F.lit, sorted({x for _, g, _ in known for x in g})))
+    near = _let(F.array_intersect(_grams(F.col("text")), every), lambda seen: F.filter(
+        tpl, lambda t: F.when(F.size(seen) >= t["need"], F.size(F.array_intersect(t["grams"], seen)) >= t["need"]).otherwise(False)))
+    # explode_outer and a null filter: no size filter is inferred that would work out the sets twice
+    some = rows.select("doc_id", "text", F.explode_outer(F.filter(F.array(near), lambda c: F.size(c) > 0)).alias("near")).where(F.col("near").isNotNull())
+    windows = _let(_grams(F.col("text")), lambda g: _best(F.flatten(F.transform("near", lambda t: _windows(g, t, threshold)))))
+    sentences = F.flatten(F.transform(F.split("text", r"(?<=[.!?;:])\s+|\n"), lambda x: _let(F.array_distinct(_grams(x)), lambda own: F.slice(F.reverse(F.array_sort(
+        F.filter(F.transform("near", lambda t: _scored(own, t, F.lit(0), F.lit(0))), lambda h: h["dice"] >= threshold))), 1, 1))))
+    some = some.select("doc_id", F.explode_outer(F.concat(windows, sentences)).alias("h")).where(F.col("h").isNotNull())
+    return some.select("doc_id", "h.dice", "h.license")
+
+
 def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    known = sorted((name, grams) for name, grams in ((n, bigrams(t)) for n, t in (TEMPLATES if templates is None else templates)) if grams)
+    given = TEMPLATES if templates is None else templates
+    known = sorted((name, grams) for name, grams in ((n, bigrams(t)) for n, t in given) if grams)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     found = rows.select("doc_id", F.explode(units(F.col("text"))).alias("unit"))
     found = found.select("doc_id", F.xxhash64("unit").alias("unit"), F.split(F.trim(F.regexp_replace(F.lower("unit"), "[^a-z0-9]+", " ")), " ").alias("words"))
@@ -68,13 +150,19 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     kind = "array<struct<dice:double,license:string>>"
     hits = F.filter(F.array(*dice), lambda h: h["dice"] >= threshold) if dice else F.array().cast(kind)
     hits = found.select("doc_id", "unit", F.inline(hits))
-    both = hits.unionByName(rows.select("doc_id"), allowMissingColumns=True)
-    # sets of a document's matched units and licences: a few
+    inner = passages(rows, given + (PASSAGES if templates is None else []), threshold).select("doc_id", F.struct("dice", "license").alias("inner"))
+    both = hits.unionByName(inner, allowMissingColumns=True).unionByName(rows.select("doc_id"), allowMissingColumns=True)
+    # sets of a document's matched units, passages and licences: a few
     out = both.groupBy("doc_id").agg(
-        F.size(F.collect_set("unit")).cast("long").alias("n_units"), F.max("dice").alias("dice"),
-        F.min_by("license", F.when(F.col("dice").isNotNull(), F.struct(-F.col("dice"), F.col("license")))).alias("license"),
-        F.array_sort(F.collect_set("license")).alias("names"))
-    return out.select("doc_id", "n_units", F.size("names").cast("long").alias("n_licenses"), "license", F.round("dice", 6).alias("dice"), F.array_join("names", ",").alias("licenses"))
+        F.collect_set("unit").alias("units"), F.collect_set(F.struct("dice", "license")).alias("whole"), F.collect_set("inner").alias("inner"))
+    out = out.withColumn("whole", F.filter("whole", lambda h: h["license"].isNotNull()))
+    out = out.withColumn("inner", F.filter("inner", lambda h: ~F.array_contains(F.col("whole.license"), h["license"])))
+    out = out.withColumn("all", F.concat("whole", "inner"))
+    best = F.try_element_at(F.array_sort(F.transform("all", lambda h: F.struct((-h["dice"]).alias("d"), h["license"].alias("license")))), F.lit(1))
+    names = F.array_sort(F.array_distinct("all.license"))
+    return out.select("doc_id", (F.size("units") + F.size(F.array_distinct("inner.license"))).cast("long").alias("n_units"),
+                      F.size(names).cast("long").alias("n_licenses"), best["license"].alias("license"), F.round(-best["d"], 6).alias("dice"),
+                      F.array_join(names, ",").alias("licenses"))
 
 
 def oracle_sql(table: str = "documents", threshold: float = THRESHOLD) -> str:

@@ -298,3 +298,20 @@ def test_license_scan(spark, docs, none):
     want = Counter(con.sql(f"SELECT {columns} FROM ({license_scan.oracle_sql()})").fetchall())
     assert Counter(tuple(r) for r in license_scan.license_scan(small(spark)).select(*columns.split(", ")).collect()) == want
     assert license_scan.license_scan(none).count() == 0 and license_scan.license_scan(docs).count() == docs.select("doc_id").distinct().count()
+
+
+def test_license_scan_passages(spark):
+    known = {}
+    for name, text in license_scan.TEMPLATES + license_scan.PASSAGES:
+        known.setdefault(name, []).append(text)
+    clauses = known["BSD-3-Clause"][0].replace(" 1. ", "\n\n1. ").replace(" 2. ", "\n\n2. ").replace(" 3. ", "\n\n3. ")
+    two = clauses.partition("\n\n3. ")[0]
+    rest = '\n\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.\n'
+    words = " ".join(f"word{i} of the plain text" for i in range(120))
+    texts = [("BSD-2-Clause", "Copyright (c) 2020, A\nAll rights reserved.\n\n" + two + rest), ("BSD-3-Clause", "Copyright (c) 2020, A\n\n" + clauses + rest),
+             ("BSD-2-Clause", words + "\n" + two + "\n" + words), ("MIT", f"{words} Released under the MIT License. {words}"),
+             ("MIT", f"{words} released under the mit license {words}"), (None, words)]
+    texts += [(name, f"{words} {t} {words}") for name in ("AGPL-3.0", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0") for t in known[name]]
+    table = spark.createDataFrame([(i, t) for i, (_n, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.license, r.licenses) for r in license_scan.license_scan(table).collect()}
+    assert [got[i] for i in range(len(texts))] == [(n, n or "") for n, _t in texts]
