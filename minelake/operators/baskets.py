@@ -114,7 +114,7 @@ def missing_and_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """AGG14: per column, missing count and exact median (long form).
 
     Exact medians go through ``operators.quantiles.exact_quantiles`` which
-    refines histogram buckets instead of collecting a whole column.
+    ranks grouped values instead of collecting a whole column.
     """
     from .quantiles import exact_quantiles
 

@@ -2,20 +2,17 @@
 
 Spark's exact ``percentile`` keeps a value->count map per group, so a global
 quantile of a high-cardinality column ends in one task holding the whole
-column. That is fine below ``small_rows`` and is used there. Above it the
-order statistics are found by histogram refinement:
+column. Here every size takes one path:
 
-1. each target rank starts with the bracket [min, max];
-2. one aggregate per pass buckets the rows that fall inside every open
-   bracket into ``buckets`` equal-width bins and returns count/min/max per
-   bin (output size: targets x buckets, independent of the data);
-3. the bin holding the target rank becomes the new bracket (its exact
-   data min/max), and the rows below it are added to the rank offset;
-4. once a bracket holds at most ``small_rows`` rows, a sort of just those
-   rows picks the exact value.
+1. one scan counts the non-null values of each column, which fixes the ranks;
+2. ``groupBy(column, value).count()`` with partial aggregates;
+3. a range-partitioned running sum of the counts (``plans.prefix``) gives each
+   distinct value its ranks, and a filter keeps the values at the wanted ranks
+   of all columns in one job.
 
-Every pass is a scan with a partial aggregate; nothing row-sized reaches the
-driver and no task holds more than ``small_rows`` values.
+Infinities and NaN are ordinary ordered keys (NaN is the largest, as in
+``percentile``). The driver gets at most two values per column and
+probability, and no task holds a whole column.
 """
 
 from __future__ import annotations
@@ -26,97 +23,46 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 1_000_000
-BUCKETS = 1024
-MAX_PASSES = 64
+from ..plans.prefix import prefix_sum
 
 
-def _targets(n: int, probs: Sequence[float]) -> list[tuple[int, int, float]]:
-    out = []
-    for p in probs:
-        h = (n - 1) * float(p)
-        r0 = int(math.floor(h))
-        r1 = min(r0 + 1, n - 1)
-        out.append((r0, r1, h - r0))
-    return out
-
-
-def _exact_small(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
-    aggs = [F.percentile(F.col(c).cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
-            .alias(c) for c in cols]
-    row = df.agg(*aggs).first()
-    return {c: (list(row[c]) if row[c] is not None else [None] * len(probs)) for c in cols}
-
-
-def _kth_values(df: DataFrame, col: str, ranks: Sequence[int], lo: float, hi: float,
-                n_rows: int, small_rows: int, buckets: int) -> dict[int, float]:
-    """Exact k-th smallest (0-based) non-null values of ``col`` for each rank."""
-    x = F.col(col).cast("double")
-    base = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    # bracket per rank: (lo, hi, rows strictly below lo, rows in bracket)
-    open_ = {r: (lo, hi, 0, n_rows) for r in ranks}
-    done: dict[int, float] = {}
-    for _ in range(MAX_PASSES):
-        for r, (blo, bhi, below, cnt) in list(open_.items()):
-            if blo == bhi:
-                done[r] = blo
-                del open_[r]
-            elif cnt <= small_rows:
-                v = (base.where((F.col("x") >= blo) & (F.col("x") <= bhi))
-                     .orderBy("x").offset(r - below).limit(1).first())
-                done[r] = v[0]
-                del open_[r]
-        if not open_:
-            break
-        items = list(open_.items())
-        exprs = []
-        for i, (r, (blo, bhi, _below, _cnt)) in enumerate(items):
-            width = (bhi - blo) / buckets
-            b = F.least(F.floor((F.col("x") - F.lit(blo)) / F.lit(width)).cast("int"),
-                        F.lit(buckets - 1))
-            exprs.append(F.when((F.col("x") >= blo) & (F.col("x") <= bhi),
-                                F.struct(F.lit(i).alias("t"), b.alias("b"))))
-        hist = (base.select(F.explode(F.array_compact(F.array(*exprs))).alias("tb"), "x")
-                .groupBy("tb.t", "tb.b")
-                .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                .collect())
-        per_t: dict[int, list] = {}
-        for row in hist:
-            per_t.setdefault(row["t"], []).append(row)
-        for i, (r, (_blo, _bhi, below, _cnt)) in enumerate(items):
-            acc = below
-            for row in sorted(per_t.get(i, []), key=lambda z: z["b"]):
-                if r < acc + row["n"]:
-                    open_[r] = (row["mn"], row["mx"], acc, row["n"])
-                    break
-                acc += row["n"]
-    if open_:
-        raise RuntimeError("quantile refinement did not converge")
-    return done
+def _interpolated(position: float, at: dict[int, float]) -> float:
+    """As ``percentile``: no arithmetic where both neighbours are one value."""
+    lower, higher = math.floor(position), math.ceil(position)
+    a, b = at[lower], at[higher]
+    if lower == higher or a == b or (math.isnan(a) and math.isnan(b)):
+        return a
+    return (higher - position) * a + (position - lower) * b
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    small_rows: int = SMALL_ROWS, buckets: int = BUCKETS) -> dict[str, list]:
+                    small_rows: int | None = None, buckets: int | None = None) -> dict[str, list]:
     """Exact linear-interpolated quantiles of each column, nulls ignored.
 
     Returns ``{col: [q(p) for p in probs]}``; all-null columns give ``None``.
+    ``small_rows`` and ``buckets`` are accepted for older callers and change nothing.
     """
-    cols = list(cols)
-    stats = df.agg(*[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
-                   *[F.min(F.col(c).cast("double")).alias(f"mn_{i}") for i, c in enumerate(cols)],
-                   *[F.max(F.col(c).cast("double")).alias(f"mx_{i}") for i, c in enumerate(cols)]
-                   ).first()
-    if all(stats[f"n_{i}"] <= small_rows for i in range(len(cols))):
-        return _exact_small(df, cols, probs)
-    out: dict[str, list] = {}
-    for i, c in enumerate(cols):
-        n = stats[f"n_{i}"]
-        if n == 0:
-            out[c] = [None] * len(probs)
-            continue
-        tg = _targets(n, probs)
-        ranks = sorted({r for t in tg for r in t[:2]})
-        vals = _kth_values(df, c, ranks, stats[f"mn_{i}"], stats[f"mx_{i}"], n,
-                           small_rows, buckets)
-        out[c] = [vals[r0] + frac * (vals[r1] - vals[r0]) for r0, r1, frac in tg]
-    return out
+    cols, probs = list(cols), [float(p) for p in probs]
+    if not cols:
+        return {}
+    xs = [F.col(c).cast("double") for c in cols]
+    counted = df.agg(*[F.count(x).alias(f"n_{i}") for i, x in enumerate(xs)]).first()
+    places = [[(counted[f"n_{i}"] - 1) * p for p in probs] if counted[f"n_{i}"] else [] for i in range(len(cols))]
+    ranks = [sorted({r for h in hs for r in (math.floor(h), math.ceil(h))}) for hs in places]
+    at: list[dict[int, float]] = [{} for _ in cols]
+    if any(ranks):
+        values = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), x.alias("x")) for i, x in enumerate(xs)])).alias("v"))
+        counts = (values.select("v.c", "v.x").where(F.col("x").isNotNull())
+                  .groupBy("c", "x").agg(F.count(F.lit(1)).alias("n")))
+        upto = prefix_sum(counts, ["c"], ["x"], F.col("n"), "upto")
+        wanted = F.lit(False)
+        for i, rs in enumerate(ranks):
+            if rs:
+                held = F.exists(F.array(*[F.lit(r).cast("long") for r in rs]),
+                                lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))
+                wanted = wanted | ((F.col("c") == i) & held)
+        for row in upto.where(wanted).select("c", "x", "n", "upto").collect():
+            for r in ranks[row["c"]]:
+                if row["upto"] - row["n"] <= r < row["upto"]:
+                    at[row["c"]][r] = row["x"]
+    return {c: [_interpolated(h, at[i]) for h in places[i]] or [None] * len(probs) for i, c in enumerate(cols)}

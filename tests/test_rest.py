@@ -222,3 +222,16 @@ def test_kv_fallback_attached_units(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _m) in enumerate(cases)], "i int, t string")
     got = {r["i"]: dict(r["m"]) for r in df.select("i", TX.kv_fallback(F.col("t")).alias("m")).collect()}
     assert [got[i] for i in range(len(cases))] == [m for _t, m in cases]
+
+
+def test_quantiles_of_non_finite_values(spark):
+    x = F.when(F.col("id") % 50 == 0, float("inf")).when(F.col("id") % 50 == 1, float("-inf")).when(F.col("id") % 50 == 2, float("nan"))
+    df = spark.range(0, 2000).select(x.otherwise(F.col("id") / 7).alias("x"), F.when(F.col("id") % 4 > 0, F.col("id")).alias("y"),
+                                     F.lit(None).cast("double").alias("z"))
+    probs = [0, 0.013, 0.1, 1 / 3, 0.5, 0.77, 0.96, 0.99, 1]
+    want = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, probs))).alias(c) for c in "xyz"]).first()
+    same = lambda a, b: a == b or (a is not None and math.isnan(a) and math.isnan(b))
+    for options in ({}, {"small_rows": 300, "buckets": 8}):
+        got = exact_quantiles(df, ["x", "y", "z"], probs, **options)
+        for c in "xyz":
+            assert all(same(u, v) for u, v in zip(got[c], want[c] or [None] * len(probs), strict=True))
