@@ -188,8 +188,7 @@ def tumour_analysis(spark: SparkSession, sf: str) -> DataFrame:
 
 _TUMOUR_BASE = f"""
 WITH s AS (SELECT {QS._KEYS}, l_quantity / 2.5 AS radius, l_extendedprice / 100 AS area,
-                  l_discount * 2 AS compactness, l_tax * 2 AS concavity, l_linestatus = 'O' AS o FROM lineitem
-           WHERE l_returnflag IN ('A', 'R')),
+                  l_discount * 2 AS compactness, l_tax * 2 AS concavity, l_linestatus = 'O' AS o FROM lineitem),
 c AS (SELECT *, CASE WHEN o THEN ['irregular', 'mass', 'spiculated'] ELSE ['circumscribed', 'cystic', 'mass', 'smooth'] END AS chars,
              (compactness IS NOT NULL)::INT + (concavity IS NOT NULL)::INT AS n_tex,
              4 AS n_m FROM s),
