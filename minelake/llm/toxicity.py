@@ -141,7 +141,7 @@ def _vectors(n: int, pairs, idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarra
     out = [(np.zeros(0, np.int64), np.zeros(0))] * n
     for _, _, row, term, count in pairs:
         rows, at = np.unique(row, return_index=True)
-        for r, s, e in zip(rows, at, [*at[1:], len(row)], strict=True):
+        for r, s, e in zip(rows, at, [*at, len(row)][1:], strict=True):
             out[r] = (term[s:e], _unit(term[s:e], count[s:e], idf))
     return out
 
