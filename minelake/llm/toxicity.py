@@ -44,7 +44,8 @@ STRENGTH = 22.0
 NEIGHBOURS, BLOCK, SOFT = 15, 32, 0.05
 EPS = 1e-9
 
-LETTERS = byte_table(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80)
+#: bytes of words, before A-Z is lower-cased
+LETTERS = byte_table(lambda b: 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80)
 
 
 def _pairs(texts: pa.Array, vocabulary: np.ndarray | None = None):
