@@ -1,8 +1,8 @@
 """Discretisation (FE1-FE5, FN10): fit edges with one aggregate, apply as a
 projection.
 
-Fitting needs only per-feature statistics (min/max, exact quantiles, or a
-1-D k-means), so the driver holds ``n_features x (n_bins+1)`` numbers. The
+Fitting needs only per-feature statistics (min/max, exact quantiles, or an
+exact 1-D k-means), so the driver holds ``n_features x (n_bins+1)`` numbers. The
 transform is a column expression (a sum of ``x >= edge`` tests), so it fuses
 into whole-stage codegen with no shuffle.
 """
@@ -15,7 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantiles
+from .lloyd1d import lloyd_1d, midpoints
+from .quantiles import exact_quantiles, finite
 
 EDGE_EPS = 1e-8
 
@@ -34,48 +35,54 @@ def _drop_close(edges: list[float]) -> list[float]:
     return out
 
 
+def _finite_ends(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Least and greatest finite value of every column that has one."""
+    xs = [finite(F.col(c).cast("double")) for c in cols]
+    row = df.agg(*[F.min(x).alias(f"mn_{i}") for i, x in enumerate(xs)], *[F.max(x).alias(f"mx_{i}") for i, x in enumerate(xs)]).first()
+    return {c: (row[f"mn_{i}"], row[f"mx_{i}"]) for i, c in enumerate(cols) if row[f"mn_{i}"] is not None}
+
+
+def _equal_width(low: float, high: float, n_bins: int) -> list[float]:
+    step = (high - low) / n_bins
+    return [low + k * step for k in range(n_bins)] + [high]
+
+
 def fit_uniform(df: DataFrame, cols: Sequence[str], n_bins: int) -> dict[str, list[float]]:
-    """FE1: equal-width edges from one min/max aggregate."""
-    row = df.agg(*[F.min(c).alias(f"mn_{i}") for i, c in enumerate(cols)],
-                 *[F.max(c).alias(f"mx_{i}") for i, c in enumerate(cols)]).first()
-    edges = {}
-    for i, c in enumerate(cols):
-        mn, mx = float(row[f"mn_{i}"]), float(row[f"mx_{i}"])
-        step = (mx - mn) / n_bins
-        e = [mn + k * step for k in range(n_bins)] + [mx]
-        edges[c] = e
-    return edges
+    """FE1: equal-width edges from one min/max aggregate over the finite values.
+
+    A constant column gets one bin, a column without a finite value no edges."""
+    ends = _finite_ends(df, cols)
+    return {c: (_equal_width(*ends[c], n_bins) if ends[c][0] < ends[c][1] else list(ends[c])) if c in ends else [] for c in cols}
+
+
+def _kept_edges(c: str, edges: list[float], n_bins: int) -> list[float]:
+    kept = _drop_close(edges)
+    if len(kept) - 1 != n_bins:
+        warnings.warn(f"bins whose width is too small in feature {c} are removed; "
+                      f"{len(kept) - 1} bins remain", UserWarning, stacklevel=3)
+    return kept
 
 
 def fit_quantile(df: DataFrame, cols: Sequence[str], n_bins: int) -> dict[str, list[float]]:
-    """FE2: exact quantile edges (linear), near-duplicate edges dropped."""
+    """FE2: exact quantile edges (linear), near-duplicate edges dropped.
+
+    Infinities and NaN count as ordered values; an all-null column has no edges."""
     probs = [k / n_bins for k in range(n_bins + 1)]
     q = exact_quantiles(df, cols, probs)
-    edges = {}
-    for c in cols:
-        e = _drop_close([float(v) for v in q[c]])
-        if len(e) - 1 != n_bins:
-            warnings.warn(f"bins whose width is too small in feature {c} are removed; "
-                          f"{len(e) - 1} bins remain", UserWarning, stacklevel=2)
-        edges[c] = e
-    return edges
-
-
-def fit_kmeans(df: DataFrame, cols: Sequence[str], n_bins: int, seed: int = 42) -> dict[str, list[float]]:
-    """FE3: 1-D k-means per feature; edges are midpoints of sorted centres."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    stats = df.agg(*[F.min(c).alias(f"mn_{i}") for i, c in enumerate(cols)],
-                   *[F.max(c).alias(f"mx_{i}") for i, c in enumerate(cols)]).first()
-    edges = {}
-    for i, c in enumerate(cols):
-        vec = VectorAssembler(inputCols=[c], outputCol="_v", handleInvalid="skip").transform(df.select(c))
-        model = KMeans(k=n_bins, featuresCol="_v", seed=seed, maxIter=50).fit(vec)
-        centres = sorted(float(x[0]) for x in model.clusterCenters())
-        mids = [(a + b) / 2 for a, b in zip(centres[:-1], centres[1:])]
-        edges[c] = [float(stats[f"mn_{i}"])] + mids + [float(stats[f"mx_{i}"])]
-    return edges
+    return {c: _kept_edges(c, [float(v) for v in q[c]], n_bins) if q[c][0] is not None else [] for c in cols}
+
+
+def fit_kmeans(df: DataFrame, cols: Sequence[str], n_bins: int) -> dict[str, list[float]]:
+    """FE3: 1-D k-means per feature over its finite values, started at the centres of the
+    equal-width bins; edges are the midpoints of the sorted centres, near-duplicates
+    dropped. A column without a finite value has no edges."""
+    ends = _finite_ends(df, cols)
+    starts = {}
+    for c, (low, high) in ends.items():
+        e = _equal_width(low, high, n_bins)
+        starts[c] = [(a + b) / 2 for a, b in zip(e[:-1], e[1:], strict=True)]
+    centres = lloyd_1d(df, cols, starts)
+    return {c: _kept_edges(c, [ends[c][0], *midpoints(centres[c]), ends[c][1]], n_bins) if c in ends else [] for c in cols}
 
 
 def fit_bins(df: DataFrame, cols: Sequence[str], n_bins: int = 3,
@@ -91,10 +98,13 @@ def fit_bins(df: DataFrame, cols: Sequence[str], n_bins: int = 3,
 
 def bin_expr(x: Column, edges: Sequence[float]) -> Column:
     """FE4: ordinal bin; an interior edge belongs to the upper bin; outside
-    values clamp to the first/last bin; null stays null."""
+    values clamp to the first/last bin (NaN is above all numbers); null stays null,
+    and without edges (a column without values) every bin is null."""
+    if not edges:
+        return F.lit(None).cast("int")
     inner = list(edges[1:-1])
     if not inner:
-        return F.when(x.isNull(), F.lit(None)).otherwise(F.lit(0))
+        return F.when(x.isNotNull(), F.lit(0))
     acc = sum((F.when(x >= F.lit(float(e)), F.lit(1)).otherwise(F.lit(0)) for e in inner[1:]),
               F.when(x >= F.lit(float(inner[0])), F.lit(1)).otherwise(F.lit(0)))
     return F.when(x.isNull(), F.lit(None).cast("int")).otherwise(acc.cast("int"))

@@ -1,8 +1,8 @@
 """Class-contrast analysis of sequential patterns (MIN9-MIN12, MIN21, SET2,
 SET3, JON6, JON7, FN14, AGG15-AGG18, SRT3, SRT4).
 
-Per-class mining is one miner run per class label (the class count is tiny
-and known); the comparison is one ``full_outer`` join on the pattern key.
+Sequences of a few single items are mined for all classes in one pass, others with one
+miner run per class label (the class count is tiny and known); the comparison is one ``full_outer`` join on the pattern key.
 """
 
 from __future__ import annotations
@@ -12,13 +12,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .seqmine import _key, gsp_compat, pattern_text, prefixspan
+from .seqmine import SHORT, _key, gsp_compat, pattern_text, prefixspan, short_patterns
 
 
 def mine_by_class(sequences: DataFrame, label_col: str, classes: Sequence[str],
                   seq_col: str = "sequence", min_support: float = 0.1, max_len: int = 5,
-                  engine: str = "prefixspan") -> DataFrame:
-    """MIN9: patterns per class, with a ``class`` column; supports are within-class."""
+                  engine: str = "prefixspan", longest: int | None = None) -> DataFrame:
+    """MIN9: patterns per class, with a ``class`` column; supports are within-class.
+
+    ``longest``: the sequences have single-item itemsets and at most so many of them; their
+    patterns are then counted for all classes in one pass (``seqmine.short_patterns``)."""
+    if longest is not None and longest <= SHORT and engine == "prefixspan":
+        some = sequences.where(F.col(label_col).isin(list(classes))).select(F.col(label_col).alias("class"), seq_col)
+        return short_patterns(some, "class", seq_col, min_support, max_len)
     miner = prefixspan if engine == "prefixspan" else gsp_compat
     parts = []
     for c in classes:
@@ -138,10 +144,10 @@ def four_way(patterns: DataFrame, class_a: str, class_b: str, min_difference: in
 
 
 def analyze(sequences: DataFrame, label_col: str, class_a: str, class_b: str,
-            min_support: float = 0.1, max_len: int = 5, engine: str = "prefixspan") -> dict[str, DataFrame]:
+            min_support: float = 0.1, max_len: int = 5, engine: str = "prefixspan", longest: int | None = None) -> dict[str, DataFrame]:
     """MIN12: the full analysis as named DataFrames (lazy except the mining)."""
     pats = mine_by_class(sequences, label_col, [class_a, class_b], min_support=min_support,
-                         max_len=max_len, engine=engine)
+                         max_len=max_len, engine=engine, longest=longest)
     cmp = compare_classes(pats, class_a, class_b)
     return {
         "class_patterns": pats,

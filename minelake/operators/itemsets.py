@@ -124,3 +124,18 @@ def rule_summary(rules: DataFrame, lift_threshold: float = 1.5) -> DataFrame:
                      F.avg("confidence").alias("avg_confidence"),
                      F.avg("lift").alias("avg_lift"),
                      F.count_if(F.col("lift") > lift_threshold).alias("n_high_lift"))
+
+
+def itemset_join(itemsets: DataFrame, items_col: str = "items") -> DataFrame:
+    """SET6/JON11: unions of two itemsets that differ in one item each (their symmetric
+    difference has two items), distinct, sorted.
+
+    Such sets are equal without one item, so each set is keyed by itself with one item
+    removed, once for every item: an equi-join in which every matching pair is a
+    result, instead of a test of all pairs.
+    """
+    sets = itemsets.select(F.array_sort(F.array_distinct(items_col)).alias("_s")).where(F.size("_s") > 0).distinct()
+    keyed = sets.select(F.explode("_s").alias("_x"), "_s").select("_x", F.array_remove("_s", F.col("_x")).alias("_key"))
+    a, b = keyed.alias("a"), keyed.alias("b")
+    joined = a.join(b, (F.col("a._key") == F.col("b._key")) & (F.col("a._x") < F.col("b._x")))
+    return joined.select(F.array_sort(F.concat("a._key", F.array("a._x", "b._x"))).alias(items_col)).distinct()

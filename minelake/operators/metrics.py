@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.joins import bounded_broadcast, shared_table
 from ..plans.prefix import ordered_index, prefix_sum
 
 
@@ -70,12 +71,12 @@ def auc_exact(df: DataFrame, label: str, score: str, positive) -> DataFrame:
 def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """AGG23: per-class precision/recall/F1/support plus accuracy, macro and
     weighted averages (sklearn's report rows)."""
-    true_n = df.groupBy(F.col(label).alias("cls")).agg(F.count(F.lit(1)).alias("support"))
-    pred_n = df.groupBy(F.col(pred).alias("cls")).agg(F.count(F.lit(1)).alias("predicted"))
-    tp = df.where(F.col(label) == F.col(pred)).groupBy(F.col(label).alias("cls")).agg(
-        F.count(F.lit(1)).alias("tp"))
-    per = (true_n.join(pred_n, "cls", "full_outer").join(tp, "cls", "left")
-           .fillna(0, subset=["support", "predicted", "tp"]))
+    # the rows are read once: everything follows from their k x k counts
+    pairs = shared_table(df.groupBy(F.col(label).alias("t"), F.col(pred).alias("p")).agg(F.count(F.lit(1)).alias("n")), "pairs")
+    both = pairs.select(F.explode(F.array(
+        F.struct(F.col("t").alias("cls"), F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted"), F.when(F.col("t") == F.col("p"), F.col("n")).alias("tp")),
+        F.struct(F.col("p").alias("cls"), F.lit(0).cast("long").alias("support"), F.col("n").alias("predicted"), F.lit(None).cast("long").alias("tp")))).alias("v"))
+    per = both.groupBy("v.cls").agg(F.sum("v.support").alias("support"), F.sum("v.predicted").alias("predicted"), F.coalesce(F.sum("v.tp"), F.lit(0)).alias("tp"))
     per = (per.withColumn("precision", _div0(F.col("tp"), F.col("predicted")))
            .withColumn("recall", _div0(F.col("tp"), F.col("support"))))
     per = per.withColumn("f1", _div0(2 * F.col("precision") * F.col("recall"),
@@ -127,9 +128,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Attach the balanced class weight to every row (broadcast of k rows)."""
+    """Attach the balanced class weight to every row (k rows, size-checked)."""
     w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(w), label)
+    return df.join(bounded_broadcast(w), label)
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: float = 0.2,
@@ -144,7 +145,7 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: floa
     d = df.withColumn("_ord", key)
     idx = ordered_index(d, [label], ["_ord", id_col], "_pos")
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    res = idx.join(F.broadcast(counts), label)
+    res = idx.join(bounded_broadcast(counts), label)
     n_test = F.round(F.col("_n") * F.lit(test_fraction))
     return res.withColumn(out, F.when(F.col("_pos") <= n_test, F.lit("test")).otherwise(F.lit("train"))) \
         .drop("_ord", "_pos", "_n")

@@ -8,14 +8,14 @@ balanced ``weightCol``, a grid through ``CrossValidator`` on a stratified
 Documented approximations to the reference's sklearn forest: ``max_depth``
 None maps to Spark's cap of 30; ``min_samples_split`` maps to
 ``minInstancesPerNode`` (ceil(split / 2)); per-bootstrap balanced weights
-become static balanced weights.
+are balanced per group of trees (``fit_multiclass``) or once (the grid).
 """
 
 from __future__ import annotations
 
-import itertools
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -26,8 +26,9 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.joins import shared_table
 from ..plans.prefix import ordered_index
-from .metrics import with_weights
+from .metrics import auc_exact, binary_prf, class_report, confusion, with_weights
 
 MAX_DEPTH_CAP = 30
 
@@ -91,8 +92,9 @@ def grid_search(df: DataFrame, features: Sequence[str], label: str, id_col: str,
     label classes in index order).
     """
     spark = df.sparkSession
-    classes = sorted(r[0] for r in df.select(label).distinct().collect())  # class labels only
-    pos_idx = classes.index(positive) if positive in classes else 0
+    positive = choose_positive(df, label, positive)
+    classes = sorted(r[0] for r in df.select(label).distinct().collect())  # at most three, as just checked
+    pos_idx = classes.index(positive)
     data = with_weights(df, label, "weight")
     data = stratified_folds(data, label, id_col, folds, seed)
     indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc")
@@ -184,26 +186,163 @@ def binary_vectors(df: DataFrame, items_col: str, vocabulary: Sequence[str], out
                                                                   lambda x: F.array_contains(vocab, x))))
 
 
-def fit_multiclass(df: DataFrame, features_col: str, label: str, n_trees: int = 50, seed: int = 42,
-                   weighted: bool = True):
-    """ML7: multi-class forest with balanced static weights."""
-    data = with_weights(df, label, "weight") if weighted else df.withColumn("weight", F.lit(1.0))
-    indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc")
-    rf = RandomForestClassifier(featuresCol=features_col, labelCol="label_idx", weightCol="weight",
-                                numTrees=n_trees, seed=seed)
-    model = Pipeline(stages=[indexer, rf]).fit(data)
-    classes = list(model.stages[0].labels)
-    return model, classes
+def poisson_weight(id_col: str, group: int, seed: int) -> Column:
+    """How often a bootstrap draws the row: Poisson(1) from a hash of its id, the group and the seed."""
+    u = F.pmod(F.xxhash64(F.col(id_col), F.lit(group), F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
+    p = total = math.exp(-1.0)
+    out = F.when(u < total, 0)
+    for k in range(1, 9):
+        p /= k
+        total += p
+        out = out.when(u < total, k)
+    return out.otherwise(9)
+
+
+class GroupedForest:
+    """Forests of equal size fitted on different bootstraps, one model: class probabilities
+    are their mean, which is the vote of all their trees."""
+
+    def __init__(self, models: Sequence, classes: Sequence[str]):
+        self.models, self.classes = list(models), list(classes)
+
+    @property
+    def n_trees(self) -> int:
+        return sum(m.getNumTrees for m in self.models)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = df
+        for i, m in enumerate(self.models):
+            own = m.copy().setProbabilityCol(f"_p{i}").setRawPredictionCol("").setPredictionCol("")
+            out = own.transform(out)
+        parts = [vector_to_array(f"_p{i}") for i in range(len(self.models))]
+        mean = F.array(*[sum((F.get(p, c) for p in parts[1:]), F.get(parts[0], c)) / len(parts) for c in range(len(self.classes))])
+        out = out.withColumn("_ml_probs", mean)
+        best = F.array_position("_ml_probs", F.array_max("_ml_probs")) - 1
+        return (out.withColumn("probability", array_to_vector("_ml_probs")).withColumn("prediction", best.cast("double"))
+                .drop("_ml_probs", *[f"_p{i}" for i in range(len(self.models))]))
 
 
-def predict_topk(model: PipelineModel, df: DataFrame, classes: Sequence[str], k: int = 5) -> DataFrame:
-    """ML9: top-k classes with probabilities and a reason code per row."""
+def fit_multiclass(df: DataFrame, features_col: str, label: str, n_trees: int = 50, seed: int = 42,
+                   weighted: bool = True, groups: int = 1, id_col: str | None = None, parallelism: int = 4):
+    """ML7: multi-class forest. Returns (model, classes).
+
+    With ``groups`` above 1 the trees are fitted in so many groups. A group sees its own Poisson
+    bootstrap of the rows (by ``id_col``) and class weights balanced inside that bootstrap, and
+    every tree resamples again within it; with one group the weights are balanced once. The data
+    are written once; the bootstrap totals of all groups and classes are one aggregate.
+    """
+    if groups <= 1:
+        data = with_weights(df, label, "weight") if weighted else df.withColumn("weight", F.lit(1.0))
+        indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc")
+        rf = RandomForestClassifier(featuresCol=features_col, labelCol="label_idx", weightCol="weight",
+                                    numTrees=n_trees, seed=seed)
+        model = Pipeline(stages=[indexer, rf]).fit(data)
+        return model, list(model.stages[0].labels)
+    if id_col is None or n_trees % groups:
+        raise ValueError("groups need id_col and a number of trees that they divide")
+    draws = [poisson_weight(id_col, g, seed).alias(f"_d{g}") for g in range(groups)]
+    data = shared_table(df.where(F.col(label).isNotNull()).select(features_col, label, *draws), "bootstraps")
+    totals = data.groupBy(label).agg(*[F.sum(f"_d{g}").alias(f"_d{g}") for g in range(groups)]).orderBy(label).collect()
+    classes = [r[label] for r in totals]
+    index = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1
+    data = data.withColumn("label_idx", index.cast("double"))
+
+    def fit_group(g: int):
+        drawn = [r[f"_d{g}"] for r in totals]
+        n, k = sum(drawn), sum(d > 0 for d in drawn)
+        balance = F.get(F.array(*[F.lit(n / (k * d) if weighted and d else 1.0) for d in drawn]), F.col("label_idx").cast("int"))
+        rows = data.withColumn("weight", F.col(f"_d{g}") * balance).where("weight > 0")
+        # every class keeps its index also where a bootstrap lacks it
+        rows = rows.withColumn("label_idx", F.col("label_idx").alias("label_idx", metadata=nominal_labels(classes)))
+        rf = RandomForestClassifier(featuresCol=features_col, labelCol="label_idx", weightCol="weight", numTrees=n_trees // groups, seed=seed + g)
+        return rf.fit(rows)
+
+    with ThreadPool(parallelism) as pool:
+        return GroupedForest(pool.map(fit_group, range(groups)), classes), classes
+
+
+def nominal_labels(classes: Sequence[str]) -> dict:
+    return {"ml_attr": {"type": "nominal", "vals": list(classes), "name": "label_idx"}}
+
+
+def reason_code(recognised: Column, ready: bool = True) -> Column:
+    """ML9: why there are (no) predictions: model_not_ready, no_recognized_symptoms or ok."""
+    if not ready:
+        return F.lit("model_not_ready")
+    return F.when(F.size(recognised) == 0, F.lit("no_recognized_symptoms")).otherwise(F.lit("ok"))
+
+
+def predict_topk(model, df: DataFrame, classes: Sequence[str], k: int = 5) -> DataFrame:
+    """ML9: top-k classes with probabilities and a reason code per row; without a model (None)
+    every row says so and has no predictions."""
+    if model is None:
+        return (df.withColumn("reason", reason_code(F.col("recognised"), ready=False))
+                .withColumn("predictions", F.lit(None).cast("array<struct<disease:string,probability:double>>")))
     out = model.transform(df)
-    reason = F.when(F.size("recognised") == 0, F.lit("no_recognized_symptoms")).otherwise(F.lit("ok"))
-    return (out.withColumn("reason", reason)
+    return (out.withColumn("reason", reason_code(F.col("recognised")))
             .withColumn("predictions", F.when(F.col("reason") == "ok", top_k_classes(F.col("probability"), classes, k))))
 
 
+def forest_probabilities(model, features: Column) -> Column:
+    """A fitted Spark forest as a row expression: class probabilities of an array of features.
+
+    The trees' nodes are constant arrays; a row walks every tree in ``aggregate`` folds, so a
+    prediction needs no vector column, no transformer and no join."""
+    feature, threshold, left, right, share = [], [], [], [], []
+    roots, depth, classes = [], 1, model.numClasses
+
+    def add(node, level: int) -> int:
+        nonlocal depth
+        depth = max(depth, level)
+        at = len(feature)
+        stats = list(node.impurityStats().stats())
+        total = sum(stats) or 1.0
+        share.extend(s / total for s in stats)
+        for column, value in ((feature, -1), (threshold, 0.0), (left, at), (right, at)):
+            column.append(value)
+        if node.subtreeDepth() > 0:
+            split = node.split()
+            if "Continuous" not in split.getClass().getSimpleName():
+                raise ValueError("only splits at a threshold are written as an expression")
+            feature[at], threshold[at] = split.featureIndex(), split.threshold()
+            left[at], right[at] = add(node.leftChild(), level + 1), add(node.rightChild(), level + 1)
+        return at
+
+    for tree in model.trees:
+        roots.append(add(tree._java_obj.rootNode(), 1))
+    constant = lambda values, kind: F.expr("array(" + ", ".join(f"CAST({v!r} AS {kind})" for v in values) + ")")
+    f, t, lo, hi, p = constant(feature, "int"), constant(threshold, "double"), constant(left, "int"), constant(right, "int"), constant(share, "double")
+    below = lambda n: F.get(features, F.get(f, n)) <= F.get(t, n)
+    walk = lambda root: F.aggregate(F.sequence(F.lit(1), F.lit(depth)), root, lambda n, _: F.when(
+        F.get(f, n) < 0, n).when(below(n), F.get(lo, n)).otherwise(F.get(hi, n)))
+    leaves = F.transform(constant(roots, "int"), walk)
+    zero = F.array_repeat(F.lit(0.0), classes)
+    votes = F.aggregate(leaves, zero, lambda acc, n: F.zip_with(acc, F.slice(p, n * classes + 1, classes), lambda a, b: a + b))
+    return F.transform(votes, lambda v: v / len(roots))
+
+
+def model_summary(model: PipelineModel, results: DataFrame, train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
+                  positive: str, classes: Sequence[str]) -> DataFrame:
+    """ML6: one table (section, name, value) of a fitted search: the best parameters, the scores on
+    train and test, the test confusion counts and report, and the importances."""
+    spark = train.sparkSession
+    rf = model.stages[-1]
+    rows = [("parameters", "n_estimators", float(rf.getNumTrees)), ("parameters", "max_depth", float(rf.getOrDefault("maxDepth"))),
+            ("parameters", "min_instances_per_node", float(rf.getOrDefault("minInstancesPerNode"))), ("parameters", "n_features", float(len(features)))]
+    best = results.orderBy(F.desc("mean_score"), "n_estimators", "max_depth").first()
+    rows += [("cross_validation", "mean_score", best["mean_score"]), ("cross_validation", "std_score", best["std_score"])]
+    p_pos = F.get(vector_to_array("probability"), list(classes).index(positive))
+    for name, part in (("train", train), ("test", test)):
+        p = shared_table(predict(model, part, features, classes).select(F.col(label).alias("y"), "predicted", p_pos.alias("p_pos")), "scored")
+        prf = binary_prf(p, "y", "predicted", positive).first()
+        rows += [(name, k, float(prf[k])) for k in ("precision", "recall", "f1", "accuracy")]
+        rows.append((name, "roc_auc", auc_exact(p, "y", "p_pos", positive).first()["auc"]))
+    rows += [("confusion", f"{r['label']} as {r['predicted']}", float(r["n"])) for r in confusion(p, "y", "predicted", classes).collect()]
+    rows += [("report", f"{r['row']} {k}", r[k]) for r in class_report(p, "y", "predicted").collect() for k in ("precision", "recall", "f1") if r[k] is not None]
+    rows += [("importance", r["feature"], r["importance"]) for r in feature_importances(model, features).collect()]
+    return spark.createDataFrame(rows, "section string, name string, value double")
+
+
 def map_to_features(m: Column, features: Sequence[str], canon) -> Column:
     """ML10: feature values from a measurement map matched on canonical keys."""
     from .text import _last_wins_map

@@ -1,29 +1,34 @@
 """Exact quantiles (linear interpolation, like ``percentile_cont``) at any size.
 
-Spark's exact ``percentile`` keeps a value->count map per group, so a global
-quantile of a high-cardinality column ends in one task holding the whole
-column. Here every size takes one path:
-
-1. one scan counts the non-null values of each column, which fixes the ranks;
-2. ``groupBy(column, value).count()`` with partial aggregates;
-3. a range-partitioned running sum of the counts (``plans.prefix``) gives each
-   distinct value its ranks, and a filter keeps the values at the wanted ranks
-   of all columns in one job.
-
-Infinities and NaN are ordinary ordered keys (NaN is the largest, as in
-``percentile``). The driver gets at most two values per column and
-probability, and no task holds a whole column.
+Spark's exact ``percentile`` keeps a value->count map per group, so a global quantile
+of a column with many values ends in one task that holds the column. Here no
+value is shuffled but a few near the wanted ranks:
+
+1. one scan counts the values of every column and builds a mergeable quantile sketch
+   (``percentile_approx``), which brackets each wanted rank between two values;
+2. one scan counts, for all brackets of all columns, the values below a bracket, at its
+   lower end and inside it, so that every rank is known to lie at an end or inside;
+3. brackets whose inside is small enough are read (a filter on the value and a grouped count),
+   larger ones are sketched again, inside themselves. An inside is some 0.1 % of its
+   bracket's rows, so even 10**12 rows take three rounds.
+
+A bracket that does not hold its rank (the sketch's error is a bound in theory) widens to the
+whole column. -Infinity, Infinity and NaN are counted apart and ordered as in
+``percentile`` (NaN is the largest). The driver gets the sketches' grid and at most
+``READ_ROWS`` distinct values a bracket.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.prefix import prefix_sum
+#: sketch accuracy (rank error 1 / ACCURACY), its grid, and what a bracket may hold to be read
+ACCURACY, GRID, READ_ROWS = 10_000, 1_000, 100_000
 
 
 def _interpolated(position: float, at: dict[int, float]) -> float:
@@ -35,34 +40,112 @@ def _interpolated(position: float, at: dict[int, float]) -> float:
     return (higher - position) * a + (position - lower) * b
 
 
+def finite(x: Column) -> Column:
+    """``x`` where it is a finite number, else null."""
+    return F.when(~F.isnan(x) & (x > float("-inf")) & (x < float("inf")), x)
+
+
+def _bracket(grid: Sequence[float], rank: int, n: int, accuracy: int) -> tuple[float, float]:
+    """Grid values around ``rank`` of n sorted values, twice the sketch's error allowed for."""
+    cells, slack = len(grid) - 1, 2 / accuracy
+    low = max(0, math.floor((rank / n - slack) * cells))
+    high = min(cells, math.ceil(((rank + 1) / n + slack) * cells))
+    return grid[low], grid[high]
+
+
+def _grids(df: DataFrame, xs: Sequence[Column], accuracy: int, cells: int) -> list[list[float]]:
+    probs = F.array(*[F.lit(k / cells) for k in range(cells + 1)])
+    row = df.agg(*[F.percentile_approx(x, probs, F.lit(accuracy)).alias(f"g_{i}") for i, x in enumerate(xs)]).first()
+    return [row[f"g_{i}"] for i in range(len(xs))]
+
+
+def _ranked(df: DataFrame, wanted: dict[tuple[int, int], tuple[float, float, int, int]], xs: Sequence[Column], ends: dict[int, tuple[float, float]],
+            accuracy: int, cells: int, read_rows: int) -> dict[tuple[int, int], float]:
+    """Value at each (column, rank); ``wanted`` gives its bracket (low, high)."""
+    found: dict[tuple[int, int], float] = {}
+    while wanted:
+        brackets = sorted({(c, *b) for (c, _), b in wanted.items()})
+        aggs = []
+        for j, (c, low, high) in enumerate(brackets):
+            x = xs[c]
+            aggs += [F.count_if(x < low).alias(f"b_{j}"), F.count_if(x == low).alias(f"l_{j}"),
+                     F.count_if((x > low) & (x < high)).alias(f"i_{j}"), F.count_if(x == high).alias(f"h_{j}")]
+        row = df.agg(*aggs).first()
+        inside: dict[int, list[int]] = {}
+        again: dict[tuple[int, int], tuple[float, float]] = {}
+        for (c, r), (low, high) in wanted.items():
+            j = bisect_left(brackets, (c, low, high))
+            first = row[f"b_{j}"]
+            mid = first + row[f"l_{j}"]
+            last = mid + row[f"i_{j}"]
+            if r < first or r >= last + row[f"h_{j}"] * (high > low):
+                if first <= r < mid:
+                    found[c, r] = low
+                else:
+                    again[c, r] = ends[c]
+            elif r < mid:
+                found[c, r] = low
+            elif r >= last:
+                found[c, r] = high
+            else:
+                inside.setdefault(j, []).append(r)
+        small = [j for j in inside if row[f"i_{j}"] <= read_rows]
+        large = [j for j in inside if row[f"i_{j}"] > read_rows]
+        if small:
+            cells_of = [F.when((xs[c] > low) & (xs[c] < high), F.struct(F.lit(j).alias("j"), xs[c].alias("x"))) for j in small for c, low, high in [brackets[j]]]
+            values = df.select(F.explode(F.filter(F.array(*cells_of), lambda v: v.isNotNull())).alias("v"))
+            held: dict[int, list] = {}
+            for v in values.groupBy("v.j", "v.x").agg(F.count(F.lit(1)).alias("n")).collect():
+                held.setdefault(v["j"], []).append((v["x"], v["n"]))
+            for j in small:
+                upto = row[f"b_{j}"] + row[f"l_{j}"]
+                ranks = sorted(inside[j], reverse=True)
+                for x, n in sorted(held[j]):
+                    upto += n
+                    while ranks and ranks[-1] < upto:
+                        found[brackets[j][0], ranks.pop()] = x
+        if large:
+            some = [F.when((xs[c] > low) & (xs[c] < high), xs[c]) for j in large for c, low, high in [brackets[j]]]
+            for j, grid in zip(large, _grids(df, some, accuracy, cells), strict=True):
+                for r in inside[j]:
+                    again[brackets[j][0], r] = _bracket(grid, r - row[f"b_{j}"] - row[f"l_{j}"], row[f"i_{j}"], accuracy)
+        wanted = again
+    return found
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    small_rows: int | None = None, buckets: int | None = None) -> dict[str, list]:
+                    accuracy: int = ACCURACY, cells: int = GRID, read_rows: int = READ_ROWS) -> dict[str, list]:
     """Exact linear-interpolated quantiles of each column, nulls ignored.
 
-    Returns ``{col: [q(p) for p in probs]}``; all-null columns give ``None``.
-    ``small_rows`` and ``buckets`` are accepted for older callers and change nothing.
+    Returns ``{col: [q(p) for p in probs]}``; all-null columns and empty tables give ``None``.
     """
     cols, probs = list(cols), [float(p) for p in probs]
     if not cols:
         return {}
     xs = [F.col(c).cast("double") for c in cols]
-    counted = df.agg(*[F.count(x).alias(f"n_{i}") for i, x in enumerate(xs)]).first()
-    places = [[(counted[f"n_{i}"] - 1) * p for p in probs] if counted[f"n_{i}"] else [] for i in range(len(cols))]
-    ranks = [sorted({r for h in hs for r in (math.floor(h), math.ceil(h))}) for hs in places]
+    fs = [finite(x) for x in xs]
+    grid_probs = F.array(*[F.lit(k / cells) for k in range(cells + 1)])
+    aggs = []
+    for i, (x, f) in enumerate(zip(xs, fs, strict=True)):
+        aggs += [F.count(x).alias(f"n_{i}"), F.count(f).alias(f"f_{i}"), F.count_if(x == float("-inf")).alias(f"m_{i}"), F.count_if(x == float("inf")).alias(f"p_{i}"),
+                 F.min(f).alias(f"mn_{i}"), F.max(f).alias(f"mx_{i}"), F.percentile_approx(f, grid_probs, F.lit(accuracy)).alias(f"g_{i}")]
+    row = df.agg(*aggs).first()
+    places, wanted, ends = [], {}, {}
     at: list[dict[int, float]] = [{} for _ in cols]
-    if any(ranks):
-        values = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), x.alias("x")) for i, x in enumerate(xs)])).alias("v"))
-        counts = (values.select("v.c", "v.x").where(F.col("x").isNotNull())
-                  .groupBy("c", "x").agg(F.count(F.lit(1)).alias("n")))
-        upto = prefix_sum(counts, ["c"], ["x"], F.col("n"), "upto")
-        wanted = F.lit(False)
-        for i, rs in enumerate(ranks):
-            if rs:
-                held = F.exists(F.array(*[F.lit(r).cast("long") for r in rs]),
-                                lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))
-                wanted = wanted | ((F.col("c") == i) & held)
-        for row in upto.where(wanted).select("c", "x", "n", "upto").collect():
-            for r in ranks[row["c"]]:
-                if row["upto"] - row["n"] <= r < row["upto"]:
-                    at[row["c"]][r] = row["x"]
+    for i in range(len(cols)):
+        n, nf, minus, plus = (row[f"{k}_{i}"] for k in "nfmp")
+        places.append([(n - 1) * p for p in probs] if n else [])
+        ends[i] = (row[f"mn_{i}"], row[f"mx_{i}"])
+        for r in {r for h in places[i] for r in (math.floor(h), math.ceil(h))}:
+            k = r - minus
+            if k < 0:
+                at[i][r] = float("-inf")
+            elif k >= nf:
+                at[i][r] = float("inf") if k < nf + plus else float("nan")
+            elif k in (0, nf - 1):
+                at[i][r] = ends[i][k > 0]
+            else:
+                wanted[i, k] = _bracket(row[f"g_{i}"], k, nf, accuracy)
+    for (i, k), x in _ranked(df, wanted, fs, ends, accuracy, cells, read_rows).items():
+        at[i][k + row[f"m_{i}"]] = x
     return {c: [_interpolated(h, at[i]) for h in places[i]] or [None] * len(probs) for i, c in enumerate(cols)}

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.joins import bounded_broadcast
+
 
 def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """AGG19: (f1, f2, r) for every ordered pair, diagonal included.
@@ -54,18 +56,16 @@ def match_columns(scores: DataFrame, columns: Sequence[str], key: str = "feature
     """JON9: base feature -> every column whose lowercase name contains it;
     a column reached by several features keeps the highest score.
 
-    Both sides are schema-sized (features x columns), so the substring test
-    runs on the driver over names only; the result is a small table.
+    A name contains a feature where the feature is one of its substrings, so each column
+    name (schema-sized) gives its substrings and the match is an equi-join.
     """
-    spark = scores.sparkSession
-    feats = [(r[key], r[score]) for r in scores.select(key, score).collect()]
-    best: dict[str, float] = {}
-    for col in columns:
-        for f, s in feats:
-            if f and f.lower() in col.lower():
-                if col not in best or s > best[col]:
-                    best[col] = s
-    return spark.createDataFrame(sorted(best.items()), "column string, score double")
+    names = scores.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    low = F.lower("column")
+    parts = F.flatten(F.transform(F.sequence(F.lit(1), F.length(low)), lambda i: F.transform(
+        F.sequence(F.lit(1), F.length(low) - i + 1), lambda n: F.substring(low, i, n))))
+    parted = names.where(F.length("column") > 0).select("column", F.explode(F.array_distinct(parts)).alias("_part"))
+    wanted = scores.select(F.lower(F.col(key)).alias("_part"), F.col(score).alias("score"))
+    return parted.join(bounded_broadcast(wanted), "_part").groupBy("column").agg(F.max("score").alias("score"))
 
 
 def greedy_select(spark: SparkSession, scores: Sequence[tuple[str, float]], corr: dict[tuple[str, str], float],

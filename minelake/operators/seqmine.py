@@ -22,8 +22,8 @@ semi-joins on array keys:
   itemset extension fires).
 
 No candidate pairs are enumerated and the data are scanned only by
-PrefixSpan. ``pattern_support`` (MIN3/MIN4) counts any given patterns with
-the greedy containment fold, joined to sequences on the pattern's first item.
+PrefixSpan. ``pattern_support`` (MIN3/MIN4) counts any given patterns by walking one
+trie of them along every distinct sequence.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import bounded_broadcast, shared_table
 
 
 def _key(c: Column) -> Column:
@@ -94,6 +94,31 @@ def prefixspan(sequences: DataFrame, seq_col: str = "sequence", min_support: flo
             .withColumn("n_itemsets", F.size("pattern")))
 
 
+#: most items of a sequence whose subsequences are listed
+SHORT = 12
+
+
+def short_patterns(sequences: DataFrame, by: str, seq_col: str = "sequence", min_support: float = 0.1, max_len: int = 5) -> DataFrame:
+    """``by`` and the columns of ``prefixspan``: frequent patterns of every group, one pass for all.
+
+    For sequences of at most ``SHORT`` single-item itemsets. Equal sequences of a group
+    are counted first (partial aggregates), so what follows grows with the
+    distinct sequences: each lists its distinct subsequences once (position masks, fewer
+    than 2**SHORT), which are added up by group and pattern.
+    """
+    counted = sequences.groupBy(by, F.flatten(seq_col).alias("_items")).agg(F.count(F.lit(1)).alias("_c"))
+    totals = counted.groupBy(by).agg(F.sum("_c").alias("_n"))
+    masks = F.sequence(F.lit(1), (F.lit(2) ** F.size("_items") - 1).cast("int"))
+    wanted = F.filter(masks, lambda m: F.bit_count(m) <= max_len)
+    listed = F.array_distinct(F.transform(wanted, lambda m: F.filter("_items", lambda _x, i: F.getbit(m, i) == 1)))
+    pats = (counted.where(F.size("_items") > 0).select(by, "_c", F.explode(listed).alias("_p"))
+            .groupBy(by, "_p").agg(F.sum("_c").alias("freq")))
+    support = F.col("freq") / F.col("_n").cast("double")
+    return (pats.join(F.broadcast(totals), by).withColumn("support", support).where(F.col("support") >= min_support)
+            .select(by, F.transform("_p", lambda x: F.array(x)).alias("pattern"), "freq", "support",
+                    F.size("_p").alias("level"), F.size("_p").alias("n_itemsets")))
+
+
 def _compat_next(level_k: DataFrame, cand: DataFrame) -> DataFrame:
     """Level k+1 of the compat miner from level k and the (k+1)-item patterns."""
     lk = level_k.select("pattern").withColumn("_pk", _key(F.col("pattern")))
@@ -166,24 +191,82 @@ def gsp_compat(sequences: DataFrame, seq_col: str = "sequence", min_support: flo
     return out
 
 
+#: bytes of pattern text in one trie (a pass over the sequences each)
+TRIE_BYTES = 16 << 20
+
+
+def _walk(trie):
+    """Adds up, per pattern, the weights of the sequences that hold it.
+
+    A node is (pattern numbers that end here, children by the first item of their itemset). A
+    sequence walks the trie once: the earliest end of a prefix serves all patterns under it."""
+    def run(batches):
+        import pyarrow as pa
+
+        held: dict[int, int] = {}
+        for batch in batches:
+            for sequence, weight in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sets = [frozenset(s or ()) for s in sequence or ()]
+                places: dict[str, list[int]] = {}
+                for i, s in enumerate(sets):
+                    for x in s:
+                        places.setdefault(x, []).append(i)
+                todo = [(trie.value, 0)]
+                while todo:
+                    (ends, children), at = todo.pop()
+                    for e in ends:
+                        held[e] = held.get(e, 0) + weight
+                    if at < len(sets):  # an empty itemset is held by any
+                        todo += [(child, at + 1) for _, child in children.get(None, ())]
+                    for first in children.keys() & places.keys() if len(children) < len(places) else [x for x in places if x in children]:
+                        for items, child in children[first]:
+                            for i in places[first]:
+                                if i >= at and items <= sets[i]:
+                                    todo.append((child, i + 1))
+                                    break
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.int64())], names=["_p", "freq"])
+    return run
+
+
+def _trie(patterns) -> tuple:
+    """The root of (number, pattern) rows; an empty itemset in a pattern is held by any."""
+    root: tuple = ([], {})
+    nodes = {(): root}
+    for number, pattern in patterns:
+        path: tuple = ()
+        for s in pattern:
+            items = frozenset(s)
+            step = path + (items,)
+            if step not in nodes:
+                nodes[step] = ([], {})
+                nodes[path][1].setdefault(min(items, default=None), []).append((items, nodes[step]))
+            path = step
+        nodes[path][0].append(number)
+    return root
+
+
 def pattern_support(sequences: DataFrame, patterns: DataFrame, seq_col: str = "sequence",
-                    pattern_col: str = "pattern") -> DataFrame:
-    """MIN4/JON10: support of each given pattern by the MIN3 fold.
+                    pattern_col: str = "pattern", trie_bytes: int = TRIE_BYTES) -> DataFrame:
+    """MIN3/MIN4/JON10: support of each given pattern, by greedy containment.
 
-    Patterns (a bounded candidate table) are keyed by their first item and
-    joined to the sequences' distinct items, so a sequence meets only the
-    patterns that can start in it; no cross join.
+    Equal sequences are counted first (partial aggregates). All patterns form one trie, which
+    is broadcast and walked once per distinct sequence; a task sends one count per pattern it
+    met. Patterns of more than ``trie_bytes`` of text make several tries, a pass each, so what is
+    broadcast is bounded. Null and empty sequences hold the empty pattern alone and count as rows.
     """
-    from ..plans.parallel import spread
-
-    seqs = spread(sequences.select(F.col(seq_col).alias("_seq")))
-    n = seqs.count()
-    pats = (patterns.select(F.col(pattern_col).alias("pattern"))
-            .withColumn("_first", F.element_at(F.element_at("pattern", 1), 1)))
-    seq_items = seqs.select("_seq", F.explode(F.array_distinct(F.flatten("_seq"))).alias("_first"))
-    hits = (seq_items.join(bounded_broadcast(pats), "_first")
-            .where(contains_pattern(F.col("_seq"), F.col("pattern")))
-            .groupBy("pattern").agg(F.count(F.lit(1)).alias("freq")))
-    return (pats.select("pattern").join(hits, "pattern", "left")
-            .withColumn("freq", F.coalesce("freq", F.lit(0)).cast("long"))
+    spark = sequences.sparkSession
+    distinct = shared_table(sequences.groupBy(F.col(seq_col).alias("_seq")).agg(F.count(F.lit(1)).alias("_c")), "sequences")
+    n = distinct.agg(F.sum("_c")).first()[0] or 0
+    numbered = shared_table(patterns.select(F.col(pattern_col).alias("pattern")).distinct().withColumn("_p", F.monotonically_increasing_id()), "patterns")
+    size = numbered.agg(F.sum(F.length(_key(F.col("pattern"))) + 16)).first()[0] or 0
+    parts = -(-size // trie_bytes)
+    counts = None
+    for k in range(parts):
+        some = numbered.where(F.pmod(F.xxhash64(_key(F.col("pattern"))), F.lit(parts)) == k)
+        trie = spark.sparkContext.broadcast(_trie([(r["_p"], r["pattern"]) for r in some.collect()]))
+        part = distinct.mapInArrow(_walk(trie), "_p long, freq long").groupBy("_p").agg(F.sum("freq").alias("freq"))
+        counts = part if counts is None else counts.unionByName(part)
+    if counts is None:
+        counts = spark.createDataFrame([], "_p long, freq long")
+    return (numbered.join(counts, "_p", "left").select("pattern", F.coalesce("freq", F.lit(0)).cast("long").alias("freq"))
             .withColumn("support", F.col("freq") / F.lit(float(max(n, 1)))))

@@ -13,11 +13,11 @@ only per-(query, candidate) winners and the per-query top ``limit`` remain.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as LX
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import bounded_broadcast, shared_table
 
 
 def followup_limit(n_known: Column, threshold: int = LX.MIN_ITEMS_FOR_CONFIDENCE) -> Column:
@@ -26,36 +26,37 @@ def followup_limit(n_known: Column, threshold: int = LX.MIN_ITEMS_FOR_CONFIDENCE
 
 
 def pair_table(records: DataFrame) -> DataFrame:
-    """(k, c) -> best record holding both k and c (support desc, rec_order asc)."""
-    recs = records.select(F.array_distinct("items").alias("items"), "support", "group", "rec_order")
+    """(k, c) -> ``best``: the record holding both (support desc, rec_order asc), as an
+    order key (-support, rec_order)."""
+    recs = records.select(F.array_distinct("items").alias("items"), F.struct((-F.col("support")).alias("neg"), "rec_order").alias("key"))
     pairs = (recs.select("*", F.explode("items").alias("k"))
-             .select("*", F.explode("items").alias("c")).where(F.col("k") != F.col("c")))
-    best = pairs.groupBy("k", "c").agg(
-        F.max_by(F.struct("support", "group", "rec_order", "items"),
-                 F.struct(F.col("support"), -F.col("rec_order"))).alias("b"))
-    return best.select("k", "c", "b.support", "b.group", "b.rec_order", "b.items")
+             .select("key", "k", F.explode("items").alias("c")).where(F.col("k") != F.col("c")))
+    return pairs.groupBy("k", "c").agg(F.min("key").alias("best"))
 
 
 def suggest(queries: DataFrame, query_key: str, known_col: str, records: DataFrame,
             limit: Column | int | None = None) -> DataFrame:
     """Top suggestions per query: (query, rank, candidate, display_name,
-    support, group, trigger). ``records``: (items, support, group, rec_order);
-    ``limit`` defaults to the follow-up rule on the number of known items."""
-    table = bounded_broadcast(pair_table(records))
-    from ..plans.parallel import spread
-
-    q = spread(queries.select(query_key, F.array_distinct(F.col(known_col)).alias("_known")))
-    q = q.withColumn("_n_known", F.size("_known"))
-    q_items = q.select(query_key, "_known", "_n_known", F.explode("_known").alias("k"))
-    cands = (q_items.join(table, "k")
-             .where(~F.array_contains(F.col("_known"), F.col("c"))))
-    w_c = Window.partitionBy(query_key, "c").orderBy(F.desc("support"), "rec_order")
-    top = cands.withColumn("_r", F.row_number().over(w_c)).where(F.col("_r") == 1).drop("_r")
-    lim = followup_limit(F.col("_n_known")) if limit is None else (
-        F.lit(limit) if isinstance(limit, int) else limit)
-    w_q = Window.partitionBy(query_key).orderBy(F.desc("support"), "c")
-    ranked = top.withColumn("rank", F.row_number().over(w_q)).where(F.col("rank") <= lim)
-    return ranked.select(query_key, "rank", F.col("c").alias("candidate"),
-                         F.replace("c", F.lit("_"), F.lit(" ")).alias("display_name"),
-                         "support", "group",
-                         F.filter("items", lambda x: F.array_contains(F.col("_known"), x)).alias("trigger"))
+    support, group, trigger). ``records``: (items, support, group, rec_order), rec_order unique;
+    ``limit`` defaults to the follow-up rule on the number of known items.
+
+    Queries are dealt out by key once, as their key and known items; every later step is an
+    aggregate within a query on that partitioning: the least order key per candidate
+    (16 bytes a pair, no arrays), then one sorted list per query, cut to its limit. Records
+    come back by their order number for the winners alone.
+    """
+    recs = shared_table(records.select("items", "support", "group", "rec_order"), "records")
+    table = bounded_broadcast(pair_table(recs))
+    q = queries.select(F.col(query_key).alias("_q"), F.array_distinct(F.col(known_col)).alias("_known")).repartition("_q")
+    lim = followup_limit(F.size("_known")) if limit is None else (F.lit(limit) if isinstance(limit, int) else limit)
+    pairs = q.select("_q", F.explode("_known").alias("k")).join(table, "k").groupBy("_q", "c").agg(F.min("best").alias("best"))
+    order = F.struct(F.col("best.neg").alias("neg"), "c", F.col("best.rec_order").alias("rec_order"))
+    lists = pairs.groupBy("_q").agg(F.array_sort(F.collect_list(order)).alias("cands"))
+    found = q.join(lists, "_q").select("_q", "_known", lim.alias("_lim"), F.filter("cands", lambda s: ~F.array_contains(F.col("_known"), s["c"])).alias("cands"))
+    top = found.select("_q", "_known", F.posexplode(F.expr("slice(cands, 1, _lim)")).alias("_at", "_s"))
+    named = recs.select("rec_order", "support", "group", "items")
+    won = top.select("_q", "_known", (F.col("_at") + 1).cast("int").alias("rank"), F.col("_s.c").alias("c"), F.col("_s.rec_order").alias("rec_order")).join(named, "rec_order")
+    return won.select(F.col("_q").alias(query_key), "rank", F.col("c").alias("candidate"),
+                      F.replace("c", F.lit("_"), F.lit(" ")).alias("display_name"),
+                      "support", "group",
+                      F.filter("items", lambda x: F.array_contains(F.col("_known"), x)).alias("trigger"))

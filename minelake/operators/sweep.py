@@ -26,9 +26,9 @@ SWEEP_SCHEMA = "sweep string, config_order int, strategy string, n_bins int, min
 
 
 def analysis_counts(sequences: DataFrame, label_col: str, class_a: str, class_b: str,
-                    min_support: float, max_len: int, cap: int = 10) -> dict[str, float]:
+                    min_support: float, max_len: int, cap: int = 10, longest: int | None = None) -> dict[str, float]:
     """One full analysis reduced to its summary counts (full and capped at 10)."""
-    pats = mine_by_class(sequences, label_col, [class_a, class_b], min_support=min_support, max_len=max_len)
+    pats = mine_by_class(sequences, label_col, [class_a, class_b], min_support=min_support, max_len=max_len, longest=longest)
     cmp = compare_classes(pats, class_a, class_b)
     row = cmp.agg(F.count_if(F.col("status") == "common").alias("common"),
                   F.count_if(F.col("status") == f"unique_{class_a}").alias("ua"),
@@ -45,10 +45,10 @@ def analysis_counts(sequences: DataFrame, label_col: str, class_a: str, class_b:
 
 def support_sweep(sequences: DataFrame, label_col: str, class_a: str, class_b: str,
                   thresholds: Sequence[float] = (0.05, 0.1, 0.15, 0.2, 0.25),
-                  max_len: int = 5, cap: int = 10) -> DataFrame:
+                  max_len: int = 5, cap: int = 10, longest: int | None = None) -> DataFrame:
     """MIN15: counts per support threshold from one mining run at the lowest."""
     t0 = min(thresholds)
-    pats = mine_by_class(sequences, label_col, [class_a, class_b], min_support=t0, max_len=max_len)
+    pats = mine_by_class(sequences, label_col, [class_a, class_b], min_support=t0, max_len=max_len, longest=longest)
     cmp = compare_classes(pats, class_a, class_b)
     sa, sb = F.col("support_a"), F.col("support_b")
     aggs = []
@@ -73,7 +73,7 @@ def support_sweep(sequences: DataFrame, label_col: str, class_a: str, class_b: s
 
 def config_sweep(spark: SparkSession, name: str, configs: Sequence[dict],
                  build: Callable[[dict], DataFrame], label_col: str, class_a: str, class_b: str,
-                 share_key: Callable[[dict], tuple] | None = None) -> DataFrame:
+                 share_key: Callable[[dict], tuple] | None = None, longest: int | None = None) -> DataFrame:
     """MIN14/MIN16: run the pipeline per config; configs with the same
     ``share_key`` reuse one result. Input errors become rows with ``error`` set."""
     cache: dict[tuple, dict | str] = {}
@@ -84,7 +84,7 @@ def config_sweep(spark: SparkSession, name: str, configs: Sequence[dict],
             try:
                 seqs = build(cfg)
                 cache[key] = analysis_counts(seqs, label_col, class_a, class_b,
-                                             cfg.get("min_support", 0.1), cfg.get("max_len", 5))
+                                             cfg.get("min_support", 0.1), cfg.get("max_len", 5), longest=longest)
             except ValueError as e:  # an input error is a result row; any other failure is raised
                 cache[key] = f"{type(e).__name__}: {e}"
         res = cache[key]

@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import shared_table
+
 _PID = "_ml_pid"
 _LOCAL = "_ml_local"
 _TOTAL = "_ml_total"
@@ -41,12 +42,9 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 .withColumn(_PID, F.spark_partition_id()))
     w = (Window.partitionBy(_PID, *keys).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # Persisted so both branches below see one range partitioning: a second
+    # Written so that both branches below see one range partitioning: a second
     # evaluation would sample its own bounds and give other partition ids.
-    # Lost blocks are rebuilt from the same shuffle dependency, so the ids
-    # stay stable when executors go away.
-    local = ranged.withColumn(_LOCAL, F.sum("_ml_val").over(w)).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    local = shared_table(ranged.withColumn(_LOCAL, F.sum("_ml_val").over(w)), "prefix")
     chunks = local.groupBy(_PID, *keys).agg(F.sum("_ml_val").alias(_TOTAL))
     w_off = (Window.partitionBy(*keys).orderBy(_PID)
              .rowsBetween(Window.unboundedPreceding, -1))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import baskets as B
 from ..operators import containment as C
 from ..operators import itemsets as I
-from .joins import bounded_broadcast
+from .joins import shared_table
 from .registry import joined, query, r6, read
 
 BRAND_MIN_SUPPORT = 0.001
@@ -75,9 +75,7 @@ def itemset_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _coverage(spark: SparkSession, sf: str) -> DataFrame:
-    profiles = customer_profiles(spark, sf)
-    pairs = C.contained_pairs(_top(brand_itemsets(spark, sf), 20), profiles, "custkey")
-    return C.coverage_counts(pairs, profiles, "custkey")
+    return C.contained_counts(_top(brand_itemsets(spark, sf), 20), customer_profiles(spark, sf), "custkey")
 
 
 @query("coverage_counts", _BASE + "SELECT custkey, n_itemsets FROM cov")
@@ -92,10 +90,7 @@ SELECT CAST(count(*) FILTER (WHERE n_itemsets >= 5) AS BIGINT) AS n_groups_ge_5,
 """)
 def coverage_summary(spark: SparkSession, sf: str) -> DataFrame:
     """AGG10/MIN20: groups with >= 5 of the top-20, and the spread."""
-    cov = _coverage(spark, sf)
-    return cov.agg(F.count_if(F.col("n_itemsets") >= 5).alias("n_groups_ge_5"),
-                   F.max("n_itemsets").alias("max_itemsets"),
-                   r6(F.avg("n_itemsets")).alias("avg_itemsets"))
+    return C.groups_with_at_least(_coverage(spark, sf), 5).withColumn("avg_itemsets", r6("avg_itemsets"))
 
 
 @query("presence_matrix", _BASE + """,
@@ -107,10 +102,10 @@ LEFT JOIN pairs p ON p.items = t.items AND p.custkey = g.custkey
 """)
 def presence_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """JON5: top-10 triples x top-10 customers by coverage, pivoted, as long rows."""
-    top_groups = [r["custkey"] for r in _coverage(spark, sf)
-                  .orderBy(F.desc("n_itemsets"), "custkey").limit(10).collect()]
-    top10 = _top(brand_itemsets(spark, sf), 10)
-    pairs = C.contained_pairs(top10, customer_profiles(spark, sf), "custkey")
+    top20 = shared_table(_top(brand_itemsets(spark, sf), 20), "top-itemsets")
+    pairs = shared_table(C.contained_pairs(top20, customer_profiles(spark, sf), "custkey").select("custkey", "items"), "pairs")
+    most = pairs.groupBy("custkey").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "custkey").limit(10).collect()
+    top_groups, top10 = [r["custkey"] for r in most], _top(top20, 10)
     grid = C.presence_matrix(pairs, top10, "custkey", top_groups)
     long = C.pivot_to_long(grid, "itemset", "present", "custkey")
     return long.select("itemset", "custkey", F.col("present").cast("int").alias("present"))
@@ -136,9 +131,8 @@ GROUP BY custkey ORDER BY n_itemsets DESC, custkey LIMIT 15
 def itemsets_per_group_top15(spark: SparkSession, sf: str) -> DataFrame:
     """AGG11: itemsets per group before the top-3 cut, top 15 groups."""
     its = brand_itemsets(spark, sf).where((F.col("size") == 3) & (F.col("support") > EXPORT_MIN_SUPPORT))
-    pairs = C.contained_pairs(its, customer_profiles(spark, sf), "custkey")
-    return (pairs.groupBy("custkey").agg(F.count(F.lit(1)).alias("n_itemsets"))
-            .orderBy(F.desc("n_itemsets"), "custkey").limit(15))
+    counts = C.contained_counts(its, customer_profiles(spark, sf), "custkey")
+    return counts.where("n_itemsets > 0").orderBy(F.desc("n_itemsets"), "custkey").limit(15)
 
 
 @query("group_report_top10", _BASE + """,
@@ -153,15 +147,31 @@ WHERE group_rank <= 10""")
 def group_report_top10(spark: SparkSession, sf: str) -> DataFrame:
     """MIN19/WIN2: the ten customers holding most of the top-20 triples, the size of
     their baskets and their three best triples."""
-    profiles = customer_profiles(spark, sf)
-    pairs = C.contained_pairs(_top(brand_itemsets(spark, sf), 20), profiles, "custkey")
-    pairs = bounded_broadcast(pairs.select("custkey", joined("items").alias("items"), "support"))
-    counts = C.coverage_counts(pairs, profiles, "custkey")
+    profiles = shared_table(customer_profiles(spark, sf), "profiles")
+    top20 = shared_table(_top(brand_itemsets(spark, sf), 20), "top-itemsets")
+    counts = C.contained_counts(top20, profiles, "custkey")
     sizes = profiles.select("custkey", F.size("items").cast("long").alias("n_items"))
-    ten = counts.orderBy(F.desc("n_itemsets"), "custkey").limit(10)
+    ten = shared_table(counts.orderBy(F.desc("n_itemsets"), "custkey").limit(10), "ten")
+    pairs = C.contained_pairs(top20, profiles.join(F.broadcast(ten.select("custkey")), "custkey"), "custkey")
+    pairs = pairs.select("custkey", joined("items").alias("items"), "support")
     ten = ten.withColumn("group_rank", F.row_number().over(Window.orderBy(F.desc("n_itemsets"), "custkey")))
     best = Window.partitionBy("custkey").orderBy(F.desc("support"), "items")
     detail = pairs.withColumn("rank", F.row_number().over(best)).where("rank <= 3")
     return (ten.join(sizes, "custkey").join(detail, "custkey", "left")
             .select(F.col("group_rank").cast("int").alias("group_rank"), "custkey", "n_itemsets", "n_items",
                     F.col("rank").cast("int").alias("rank"), "items", r6("support").alias("support")))
+
+
+JOIN_MIN_SUPPORT = 0.015
+
+
+@query("itemset_join", _BASE + f""",
+pr AS (SELECT a.item AS i, b.item AS j FROM ob a JOIN ob b ON a.bid = b.bid AND a.item < b.item
+       GROUP BY 1, 2 HAVING count(*) / (SELECT n FROM n) >= {JOIN_MIN_SUPPORT}),
+un AS (SELECT DISTINCT list_sort(list_distinct([x.i, x.j, y.i, y.j])) AS s FROM pr x JOIN pr y ON (x.i, x.j) < (y.i, y.j) WHERE len(list_distinct([x.i, x.j, y.i, y.j])) = 3)
+SELECT array_to_string(s, ',') AS items FROM un""")
+def itemset_join(spark: SparkSession, sf: str) -> DataFrame:
+    """SET6/JON11: unions of two frequent brand pairs that differ in one brand each."""
+    its = brand_itemsets(spark, sf)
+    pairs = its.where((F.col("size") == 2) & (F.col("support") >= JOIN_MIN_SUPPORT))
+    return I.itemset_join(pairs).select(joined("items").alias("items"))

@@ -51,13 +51,13 @@ def io_feature_loader(spark: SparkSession, sf: str) -> DataFrame:
     return IO.cleaning_loader(raw)
 
 
-@query("io_itemsets", QI._SUBSETS + "SELECT items, round(support, 6) AS support FROM its WHERE size >= 2")
+@query("io_itemsets", QI._SUBSETS + "SELECT lower(items) AS items, round(support, 6) AS support FROM its WHERE size >= 2")
 def io_itemsets(spark: SparkSession, sf: str) -> DataFrame:
-    """SNK1/SRC6: mined itemsets as CSV, read back, sets under two items dropped."""
+    """SNK1/SRC6: mined itemsets as CSV, read back with items in feature form, sets under two items dropped."""
     path = _folder(spark, "itemsets")
     IO.write_table(QI.order_itemsets(spark, sf).select("items", "support"), path, fmt="csv")
     back = IO.read_csv(spark, path, schema="items string, support double")
-    sets = back.select(F.split("items", ",").alias("items"), "support").where(F.size("items") >= 2)
+    sets = IO.read_itemsets(back.select(F.split("items", ",").alias("itemset"), "support", F.lit(None).cast("string").alias("disease")))
     return sets.select(joined("items").alias("items"), r6("support").alias("support"))
 
 

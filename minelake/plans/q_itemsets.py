@@ -325,7 +325,7 @@ rules AS (
          CASE WHEN conf >= 1 THEN CAST('inf' AS DOUBLE) ELSE round((1 - sc) / (1 - conf), 6) END AS conviction,
          CASE WHEN zden = 0 THEN 0.0 ELSE round(lev / zden, 6) END AS zhangs_metric,
          round(0.5 * (s / sa + s / sc), 6) AS kulczynski,
-         conf / sc AS lift_raw
+         conf / sc AS lift_raw, conf AS conf_raw
   FROM m WHERE conf >= {RULE_MIN_CONFIDENCE}
 )
 """
@@ -360,6 +360,13 @@ def rules_top_lift(spark: SparkSession, sf: str) -> DataFrame:
     return _fmt_rules(I.top_rules(order_rules(spark, sf), "lift", 10))
 
 
+@query("rules_top_confidence", _RULES_BASE + f"SELECT {_RULE_COLS} FROM rules "
+       "ORDER BY conf_raw DESC, antecedents, consequents LIMIT 10")
+def rules_top_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    """SRT2: top-10 rules by confidence."""
+    return _fmt_rules(I.top_rules(order_rules(spark, sf), "confidence", 10))
+
+
 @query("rule_summary", _RULES_BASE + """
 SELECT CAST(count(*) AS BIGINT) AS n_rules, round(avg(confidence_raw), 6) AS avg_confidence,
        round(avg(lift_raw), 6) AS avg_lift, CAST(count(*) FILTER (WHERE lift_raw > 1.5) AS BIGINT) AS n_high_lift

@@ -114,7 +114,7 @@ trig AS (SELECT pr.qid, pr.rec_order, string_agg(ri.item, ',' ORDER BY ri.item)
          FROM pr JOIN ri ON ri.rec_order = pr.rec_order JOIN q ON q.qid = pr.qid AND q.item = ri.item GROUP BY 1, 2),
 rk AS (SELECT best.*, qn.n_known, row_number() OVER (PARTITION BY best.qid ORDER BY support DESC, candidate) AS rank
        FROM best JOIN qn USING (qid))
-SELECT rk.qid AS basket_id, CAST(rank AS INTEGER) AS rank, candidate, round(support, 6) AS support,
+SELECT rk.qid AS basket_id, CAST(rank AS INTEGER) AS rank, candidate, replace(candidate, '_', ' ') AS display_name, round(support, 6) AS support,
        CAST(custkey AS VARCHAR) AS "group", trig.trigger
 FROM rk JOIN trig ON trig.qid = rk.qid AND trig.rec_order = rk.rec_order
 WHERE rank <= greatest(3, 5 - n_known + 2)""")
@@ -127,5 +127,5 @@ def followup_suggestions(spark: SparkSession, sf: str) -> DataFrame:
                .groupBy(F.col("l_orderkey").alias("basket_id"))
                .agg(F.sort_array(F.collect_set("p_brand")).alias("known")))
     s = SG.suggest(queries, "basket_id", "known", suggestion_records(spark, sf))
-    return s.select("basket_id", F.col("rank").cast("int").alias("rank"), "candidate", r6("support").alias("support"),
+    return s.select("basket_id", F.col("rank").cast("int").alias("rank"), "candidate", "display_name", r6("support").alias("support"),
                     "group", F.array_join(F.array_sort("trigger"), ",").alias("trigger"))

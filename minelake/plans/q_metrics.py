@@ -150,3 +150,12 @@ def strat_split_counts(spark: SparkSession, sf: str) -> DataFrame:
     """ML1: stratified 80/20 split by hash order; rows per (class, split)."""
     s = M.stratified_split(read(spark, sf, "labels"), "quality", "doc_id", 0.2, seed=42)
     return s.groupBy("quality", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("strat_split_members", """
+SELECT doc_id, quality, CASE WHEN row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id)
+                                  <= round(count(*) OVER (PARTITION BY quality) * 0.2) THEN 'test' ELSE 'train' END AS split FROM labels""")
+def strat_split_members(spark: SparkSession, sf: str) -> DataFrame:
+    """ML1: which rows of a stratified 80/20 split, in md5 order, are held out."""
+    s = M.stratified_split(read(spark, sf, "labels"), "quality", "doc_id", 0.2, order=F.md5(F.col("doc_id").cast("string").cast("binary")))
+    return s.select("doc_id", "quality", "split")

@@ -8,15 +8,15 @@ rows-only checks, selection tables are SQL-checked.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import contrast as CT
 from ..operators import metrics as M
 from ..operators import models as ML
+from ..operators import rank as RK
 from ..operators import select as SL
-from ..operators import text as TX
+from ..operators import tumour as TU
 from . import q_metrics as QM
 from . import q_patterns as QP
 from . import q_sequences as QS
@@ -65,6 +65,33 @@ def corr_pairs_over_threshold(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("f1", "f2", r6("r").alias("r"))
 
 
+def _psi_sql(n: str) -> str:
+    x = f"({n}::DOUBLE + 6.0)"
+    steps = " + ".join(f"1.0 / ({n}::DOUBLE + {i}.0)" for i in range(6))
+    return f"(ln({x}) - 1.0 / (2.0 * {x}) - 1.0 / (12.0 * {x} ** 2) + 1.0 / (120.0 * {x} ** 4) - 1.0 / (252.0 * {x} ** 6) - ({steps}))"
+
+
+KNN = 3
+_KNN_SPANS = ", ".join(f"greatest({f'x - lag(x, {j}) OVER c' if j else '0.0'}, {f'lead(x, {KNN - j}) OVER c - x' if j < KNN else '0.0'}) + "
+                       f"0 * ({f'lag(x, {j}) OVER c' if j else '0.0'} + {f'lead(x, {KNN - j}) OVER c' if j < KNN else '0.0'})" for j in range(KNN + 1))
+
+
+KNN_FEATS = ["total_quantity", "total_price", "avg_discount", "o_totalprice"]
+
+
+@query("rank_mutual_info_knn", f"""{_OF.rstrip()}, lx AS ({" UNION ALL ".join(f"SELECT '{f}' AS feature, n_lines >= 4 AS cls, round({f}, 6) AS x FROM of" for f in KNN_FEATS)}),
+d AS (SELECT *, list_min(list_filter([{_KNN_SPANS}], lambda s: s IS NOT NULL)) AS r, count(*) OVER (PARTITION BY feature, cls) AS n_c,
+        count(*) OVER (PARTITION BY feature, cls, x) AS same FROM lx WINDOW c AS (PARTITION BY feature, cls ORDER BY x)),
+e AS (SELECT *, r * (1.0 - 1e-10) AS inside FROM d),
+m AS (SELECT *, count(*) OVER (PARTITION BY feature ORDER BY x RANGE BETWEEN inside PRECEDING AND inside FOLLOWING) AS m FROM e)
+SELECT feature, round(greatest(0.0, {_psi_sql('count(*)')} + avg(CASE WHEN r > 0 THEN {_psi_sql(KNN)} ELSE {_psi_sql('(same - 1)')} END)
+       - avg({_psi_sql('n_c')}) - avg({_psi_sql('m')})), 6) AS score FROM m GROUP BY feature""")
+def rank_mutual_info_knn(spark: SparkSession, sf: str) -> DataFrame:
+    """FE6: nearest-neighbour mutual information of the per-order features and the class of large orders."""
+    of = order_features(spark, sf).select((F.col("n_lines") >= 4).alias("large"), *[F.round(f, 6).alias(f) for f in KNN_FEATS])
+    return RK.mutual_info_knn(of, KNN_FEATS, "large", KNN).select("feature", r6("score").alias("score"))
+
+
 GROUP_THRESHOLD = 0.7
 _FEATURE_ROWS = ", ".join(f"({i}, '{f}')" for i, f in enumerate(ORDER_FEATS))
 
@@ -96,7 +123,7 @@ def class_feature_scores(spark: SparkSession, sf: str):
     return a, b
 
 
-@query("combined_scores", QP._CLASS_BASE + """,
+_COMBINED = QP._CLASS_BASE + """,
 fi AS (SELECT class, split_part(unnest(string_split(replace(replace(pattern, '{', ''), '}', ''), ' → ')), '_', 1) AS feature,
               support FROM pats),
 fs AS (SELECT class, feature, sum(support) AS score FROM fi GROUP BY 1, 2),
@@ -106,13 +133,33 @@ comb AS (SELECT coalesce(a.feature, b.feature) AS feature, coalesce(a.score, 0)
          ON a.feature = b.feature),
 cols AS (SELECT * FROM (VALUES ('l_quantity'), ('l_extendedprice'), ('l_discount'), ('l_tax')) AS c(col))
 SELECT col AS "column", round(max(score), 6) AS score FROM cols JOIN comb ON contains(lower(col), lower(feature))
-GROUP BY col""")
+GROUP BY col"""
+
+
+def _combined(spark: SparkSession, sf: str, method: str) -> DataFrame:
+    a, b = class_feature_scores(spark, sf)
+    return SL.match_columns(SL.combine_scores(a, b, method), NUM_COLS).select("column", r6("score").alias("score"))
+
+
+@query("combined_scores", _COMBINED)
 def combined_scores(spark: SparkSession, sf: str) -> DataFrame:
     """FE13/JON8/JON9: class scores combined (sum), matched to columns."""
-    a, b = class_feature_scores(spark, sf)
-    comb = SL.combine_scores(a, b, "sum")
-    m = SL.match_columns(comb, NUM_COLS)
-    return m.select("column", r6("score").alias("score"))
+    return _combined(spark, sf, "sum")
+
+
+_SUM = "coalesce(a.score, 0) + coalesce(b.score, 0) AS score"
+
+
+@query("combined_scores_mean", _COMBINED.replace(_SUM, "(coalesce(a.score, 0) + coalesce(b.score, 0)) / 2 AS score"))
+def combined_scores_mean(spark: SparkSession, sf: str) -> DataFrame:
+    """FE13: class scores combined by their mean."""
+    return _combined(spark, sf, "mean")
+
+
+@query("combined_scores_max", _COMBINED.replace(_SUM, "greatest(coalesce(a.score, 0), coalesce(b.score, 0)) AS score"))
+def combined_scores_max(spark: SparkSession, sf: str) -> DataFrame:
+    """FE13: class scores combined by the greater one."""
+    return _combined(spark, sf, "max")
 
 
 @query("select_features")
@@ -129,6 +176,27 @@ def select_features(spark: SparkSession, sf: str) -> DataFrame:
             .unionByName(rem.select("feature", "score", F.lit("removed").alias("status"), "correlated_with")))
 
 
+SELECT_THRESHOLD = 0.7
+
+
+@query("select_order_features", "WITH RECURSIVE " + _OF.removeprefix("WITH ").rstrip() + f""",
+c AS ({_CORR_SQL.removeprefix(_OF)}),
+sc AS (SELECT f1 AS feature, abs(r) AS score, row_number() OVER (ORDER BY abs(r) DESC, f1) AS i FROM c WHERE f2 = 'total_price'),
+g AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS kept, CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS DOUBLE) AS score, CAST(NULL AS VARCHAR) AS hit
+      UNION ALL
+      SELECT sc.i, CASE WHEN h.hit IS NULL THEN list_append(g.kept, sc.feature) ELSE g.kept END, sc.feature, sc.score, h.hit
+      FROM g JOIN sc ON sc.i = g.i + 1
+      LEFT JOIN LATERAL (SELECT min_by(f2, list_position(g.kept, f2)) AS hit FROM c WHERE c.f1 = sc.feature AND list_contains(g.kept, c.f2) AND abs(c.r) > {SELECT_THRESHOLD}) h ON TRUE)
+SELECT feature, round(score, 6) AS score, CASE WHEN hit IS NULL THEN 'selected' ELSE 'removed' END AS status, hit AS correlated_with FROM g WHERE feature IS NOT NULL""")
+def select_order_features(spark: SparkSession, sf: str) -> DataFrame:
+    """FE14: greedy redundancy filter of the per-order features, scored by |r| with the total price."""
+    corr = SL.correlation_long(order_features(spark, sf), ORDER_FEATS).withColumn("r", r6("r")).collect()
+    scores = [(r["f1"], abs(r["r"])) for r in corr if r["f2"] == "total_price"]
+    sel, rem = SL.greedy_select(spark, scores, {(r["f1"], r["f2"]): r["r"] for r in corr}, SELECT_THRESHOLD)
+    return (sel.select("feature", r6("score").alias("score"), F.lit("selected").alias("status"), F.lit(None).cast("string").alias("correlated_with"))
+            .unionByName(rem.select("feature", r6("score").alias("score"), F.lit("removed").alias("status"), "correlated_with")))
+
+
 # ------------------------------------------------------------------ models
 
 MODEL_FEATURES = QS.FEATS
@@ -188,17 +256,41 @@ def _doc_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("disease_topk")
 def disease_topk(spark: SparkSession, sf: str) -> DataFrame:
-    """ML7/ML8/ML9/SRT6: multi-class forest on binary word vectors; top-3
-    classes with probabilities and a reason code for held-out rows (rows-only)."""
+    """ML7/ML8/ML9/SRT6: 600 trees on binary word vectors, in 20 groups with class weights balanced
+    in each group's bootstrap; top-3 classes with probabilities and a reason code for held-out
+    rows (rows-only)."""
     vocab = sorted({w for ws in QM.LANG_MARKERS.values() for w in ws})
     vec = ML.binary_vectors(_doc_tokens(spark, sf), "toks", vocab)
     split = M.stratified_split(vec, "lang", "doc_id", 0.2, seed=42)
-    model, classes = ML.fit_multiclass(split.where(F.col("split") == "train"), "features", "lang", n_trees=20)
+    model, classes = ML.fit_multiclass(split.where(F.col("split") == "train"), "features", "lang", n_trees=600, groups=20, id_col="doc_id")
     pred = ML.predict_topk(model, split.where(F.col("split") == "test"), classes, k=3)
     top = F.transform("predictions", lambda s: F.format_string("%s:%.3f", s["disease"], s["probability"]))
     return pred.select("doc_id", "lang", "reason", F.array_join(top, ",").alias("top3"))
 
 
+_MARKER_WORDS = sorted({w for ws in QM.LANG_MARKERS.values() for w in ws})
+
+
+@query("disease_reasons", f"""
+WITH t AS (SELECT doc_id, list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), lambda x: x IN ({", ".join(repr(w) for w in _MARKER_WORDS)}))) AS found FROM documents)
+SELECT doc_id, array_to_string(list_sort(found), ',') AS recognised, CASE WHEN len(found) = 0 THEN 'no_recognized_symptoms' ELSE 'ok' END AS reason,
+       'model_not_ready' AS reason_without_model FROM t""")
+def disease_reasons(spark: SparkSession, sf: str) -> DataFrame:
+    """ML8/ML9: the recognised items of every text and its reason code, with and without a fitted model."""
+    vec = ML.binary_vectors(_doc_tokens(spark, sf), "toks", _MARKER_WORDS)
+    none = ML.predict_topk(None, vec, [], 3).where("predictions IS NULL")
+    return none.select("doc_id", F.array_join(F.array_sort("recognised"), ",").alias("recognised"), ML.reason_code(F.col("recognised")).alias("reason"),
+                       F.col("reason").alias("reason_without_model"))
+
+
+@query("model_summary")
+def model_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """ML6: parameters, cross-validation, train and test scores, confusion, report and importances of
+    the best forest, one long table (rows-only)."""
+    model, results, classes, train, test = _grid(spark, sf)
+    return ML.model_summary(model, results, train, test, MODEL_FEATURES, "label", QP.CLASS_A, classes)
+
+
 @query("tumour_predict")
 def tumour_predict(spark: SparkSession, sf: str) -> DataFrame:
     """ML10/ML11/TX9: rendered measurement texts -> model when every model
@@ -218,18 +310,7 @@ def tumour_predict(spark: SparkSession, sf: str) -> DataFrame:
                        F.concat(F.lit("texture_mean: "), F.col("l_extendedprice").cast("string")),
                        F.concat(F.lit("concave points_se="), F.col("l_discount").cast("string")),
                        F.when(F.col("l_linenumber") != 1, F.concat(F.lit("area worst "), F.col("l_tax").cast("string"))))
-    t = TX.add_measurements(li.select(*QS.KEYS, text.alias("text")), "text", "m")
-    t = t.withColumn("vals", ML.map_to_features(F.col("m"), feats, TX.canonical_key))
-    complete = F.forall("vals", lambda v: v.isNotNull())
-    full = t.where(complete).withColumn("features", array_to_vector("vals"))
-    scored = model.stages[-1].transform(full)
-    labels = F.array(*[F.lit(c) for c in classes])
-    probs = ML.vector_to_array("probability")
-    pred_lbl = F.element_at(labels, F.col("prediction").cast("int") + 1)
-    by_model = scored.select(*QS.KEYS, F.lit("model").alias("method"),
-                             F.when(pred_lbl == "M", "Malignant").otherwise("Benign").alias("label"),
-                             F.element_at(probs, F.col("prediction").cast("int") + 1).alias("probability"))
-    p, label, prob = TX.heuristic_score(F.col("m"))
-    by_rule = t.where(~complete).select(*QS.KEYS, F.lit("heuristic").alias("method"), label.alias("label"),
-                                        prob.alias("probability"))
-    return by_model.unionByName(by_rule)
+    t = TU.tumour_results(li.select(*QS.KEYS, text.alias("text")), "text", model.stages[-1], feats, classes)
+    return t.select(*QS.KEYS, "method", F.col("predicted_class").alias("label"), "probability", "confidence", "primary_findings",
+                    F.array_join("recommendations", " | ").alias("recommendations"), F.to_json("measurements").alias("measurements"),
+                    F.array_join("characteristics", ",").alias("characteristics"))

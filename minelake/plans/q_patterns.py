@@ -9,6 +9,8 @@ lists every distinct sequence's subsequences by position masks and counts them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,17 +129,18 @@ def class_sequences(spark: SparkSession, sf: str) -> DataFrame:
 def class_pattern_table(spark: SparkSession, sf: str, min_support: float = CLASS_MIN_SUPPORT,
                         max_len: int = MAX_LEN) -> DataFrame:
     return CT.mine_by_class(class_sequences(spark, sf), "label", [CLASS_A, CLASS_B],
-                            min_support=min_support, max_len=max_len)
+                            min_support=min_support, max_len=max_len, longest=len(QS.FEATS))
 
 
-_CLASS_BASE = QS._bins_sql("quantile") + "," + QS._MI + f""",
-ll AS ({QS._LAB_LONG}),
+def _class_base(strategy: str = "quantile", n_bins: int = QS.N_BINS, min_support: float = CLASS_MIN_SUPPORT) -> str:
+    return QS._bins_sql(strategy, n=n_bins) + "," + QS._MI + f""",
+ll AS ({QS._lab_long(n_bins)}),
 it AS (SELECT rid, label, list(ll.feature || '_' || lab ORDER BY rnk) AS items FROM ll JOIN mir USING (feature)
        WHERE rnk <= {min(QS.TOP_K, QS.MAX_LEN)} GROUP BY rid, label),
 nc AS (SELECT label, count(*) AS n FROM ft GROUP BY label),
 {_subsequences('it', 'label', 'cp')},
 pats AS (SELECT cp.label AS class, {_braced('pat')} AS pattern, freq, freq / nc.n AS support, len(pat) AS level
-         FROM cp JOIN nc ON nc.label = cp.label WHERE freq / nc.n >= {CLASS_MIN_SUPPORT}),
+         FROM cp JOIN nc ON nc.label = cp.label WHERE freq / nc.n >= {min_support}),
 cla AS (SELECT * FROM pats WHERE class = '{CLASS_A}'), clb AS (SELECT * FROM pats WHERE class = '{CLASS_B}'),
 cmp AS (
   SELECT coalesce(cla.pattern, clb.pattern) AS pattern, cla.support AS sa, clb.support AS sb,
@@ -148,6 +151,9 @@ cmp AS (
 """
 
 
+_CLASS_BASE = _class_base()
+
+
 def _fmt_class(df: DataFrame) -> DataFrame:
     return df.select("class", SM.pattern_text("pattern").alias("pattern"), "freq",
                      r6("support").alias("support"), F.col("level").cast("int").alias("level"))
@@ -260,7 +266,7 @@ SUPPORT_THRESHOLDS = (0.05, 0.1, 0.15, 0.2, 0.25)
 _SWEEP_VALUES = ", ".join(f"({i}, {t})" for i, t in enumerate(SUPPORT_THRESHOLDS))
 
 
-@query("sweep_support", _CLASS_BASE + f""",
+_SWEEP_SUPPORT_SQL = _CLASS_BASE + f""",
 th AS (SELECT * FROM (VALUES {_SWEEP_VALUES}) AS v(config_order, t)),
 c2 AS (SELECT th.config_order, th.t,
               count(*) FILTER (WHERE sa >= th.t) AS ta, count(*) FILTER (WHERE sb >= th.t) AS tb,
@@ -273,7 +279,10 @@ UNPIVOT (value FOR metric IN (ta AS 'total_patterns_a', tb AS 'total_patterns_b'
                               ua AS 'unique_a', ub AS 'unique_b'))
 UNION ALL SELECT CAST(config_order AS INTEGER), t, 'discriminative_top10', CAST(least(c, 10) AS DOUBLE) FROM c2
 UNION ALL SELECT CAST(config_order AS INTEGER), t, 'unique_a_top10', CAST(least(ua, 10) AS DOUBLE) FROM c2
-UNION ALL SELECT CAST(config_order AS INTEGER), t, 'unique_b_top10', CAST(least(ub, 10) AS DOUBLE) FROM c2""")
+UNION ALL SELECT CAST(config_order AS INTEGER), t, 'unique_b_top10', CAST(least(ub, 10) AS DOUBLE) FROM c2"""
+
+
+@query("sweep_support", _SWEEP_SUPPORT_SQL)
 def sweep_support(spark: SparkSession, sf: str) -> DataFrame:
     """MIN15: support sweep, mined once at the lowest threshold."""
     s = SW.support_sweep(class_sequences(spark, sf), "label", CLASS_A, CLASS_B, SUPPORT_THRESHOLDS,
@@ -295,7 +304,7 @@ def sweep_bins_table(spark: SparkSession, sf: str) -> DataFrame:
     return SW.config_sweep(
         spark, "bins", _bins_configs(),
         lambda c: QS.global_sequences(spark, sf, strategy=c["strategy"], n_bins=c["n_bins"]),
-        "label", CLASS_A, CLASS_B)
+        "label", CLASS_A, CLASS_B, longest=len(QS.FEATS))
 
 
 def sweep_ranking_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -304,13 +313,7 @@ def sweep_ranking_table(spark: SparkSession, sf: str) -> DataFrame:
         return fn(spark, sf, top_k=c["top_k"], max_len=c["max_len"])
 
     return SW.config_sweep(spark, "ranking", _rank_configs(), build, "label", CLASS_A, CLASS_B,
-                           share_key=lambda c: (c["ranking_method"], min(c["top_k"], c["max_len"])))
-
-
-@query("sweep_bins")
-def sweep_bins(spark: SparkSession, sf: str) -> DataFrame:
-    """MIN14: 3 strategies x 3/5/7 bins (rows-only)."""
-    return sweep_bins_table(spark, sf)
+                           share_key=lambda c: (c["ranking_method"], min(c["top_k"], c["max_len"])), longest=len(QS.FEATS))
 
 
 _SWEEP_SUPPORT = 0.1
@@ -334,7 +337,26 @@ _SWEEP_LONG = " UNION ALL ".join(f"SELECT method, '{m}' AS metric, CAST({e} AS D
 _SWEEP_CONFIGS = ", ".join(f"({4 * i + j}, '{m}', {k})" for i, m in enumerate(("mutual_info", "zscore")) for j, k in enumerate((5, 10, 15, 20)))
 
 
-@query("sweep_ranking", _CLASS_BASE + "," + QS._Z + f""",
+def _sweep_bins_sql(order: int, strategy: str, n_bins: int) -> str:
+    return _class_base(strategy, n_bins, _SWEEP_SUPPORT) + f""",
+{_sweep_counts('one', 'it')},
+al AS (SELECT * FROM one_n),
+lo AS ({_SWEEP_LONG})
+SELECT 'bins' AS sweep, CAST({order} AS INTEGER) AS config_order, '{strategy}' AS strategy, CAST({n_bins} AS INTEGER) AS n_bins,
+       CAST({_SWEEP_SUPPORT} AS DOUBLE) AS min_support, 'mutual_info' AS ranking_method, CAST(10 AS INTEGER) AS top_k, metric, value,
+       CAST(NULL AS VARCHAR) AS error FROM lo"""
+
+
+_SWEEP_BINS = " UNION ALL ".join(f"SELECT * FROM ({_sweep_bins_sql(i, c['strategy'], c['n_bins'])})" for i, c in enumerate(_bins_configs()))
+
+
+@query("sweep_bins", _SWEEP_BINS)
+def sweep_bins(spark: SparkSession, sf: str) -> DataFrame:
+    """MIN14: 3 strategies x 3/5/7 bins."""
+    return sweep_bins_table(spark, sf)
+
+
+_SWEEP_RANKING = _CLASS_BASE + "," + QS._Z + f""",
 zi AS (SELECT rid, label, list(feature || '_' || {QS._LABELS}[bin + 1] ORDER BY rn) AS items FROM zl
        WHERE rn <= {QS.MAX_LEN} GROUP BY rid, label),
 {_sweep_counts('mutual_info', 'it')},
@@ -345,17 +367,34 @@ cf AS (SELECT * FROM (VALUES {_SWEEP_CONFIGS}) AS v(config_order, method, top_k)
 SELECT 'ranking' AS sweep, CAST(config_order AS INTEGER) AS config_order, 'quantile' AS strategy, CAST(3 AS INTEGER) AS n_bins,
        CAST({_SWEEP_SUPPORT} AS DOUBLE) AS min_support, method AS ranking_method, CAST(top_k AS INTEGER) AS top_k, metric, value,
        CAST(NULL AS VARCHAR) AS error
-FROM cf JOIN lo USING (method)""")
+FROM cf JOIN lo USING (method)"""
+
+
+@query("sweep_ranking", _SWEEP_RANKING)
 def sweep_ranking(spark: SparkSession, sf: str) -> DataFrame:
     """MIN16: 2 ranking methods x top-k 5/10/15/20, shared by effective length."""
     return sweep_ranking_table(spark, sf)
 
 
-@query("best_config")
+_BEST_CONFIG = f"""WITH every AS (
+  SELECT 'support' AS sweep, config_order, 'quantile' AS strategy, 3 AS n_bins, min_support, 'mutual_info' AS ranking_method,
+         CAST(NULL AS INTEGER) AS top_k, metric, value FROM ({_SWEEP_SUPPORT_SQL})
+  UNION ALL SELECT * EXCLUDE (error) FROM ({_SWEEP_BINS})
+  UNION ALL SELECT * EXCLUDE (error) FROM ({_SWEEP_RANKING})),
+scored AS (SELECT * EXCLUDE (metric, value), sum(value) AS score FROM every
+  WHERE metric = 'discriminative_top10' OR (sweep <> 'support' AND metric IN ('unique_a_top10', 'unique_b_top10')) GROUP BY ALL)
+SELECT sweep, config_order, strategy, CAST(n_bins AS INTEGER) AS n_bins, min_support, ranking_method, top_k, score,
+       CASE sweep WHEN 'bins' THEN printf('Best binning strategy: %s with %d bins', strategy, n_bins)
+                  WHEN 'support' THEN 'Best support threshold: ' || CAST(min_support AS VARCHAR)
+                  ELSE printf('Best ranking method: %s with top %d features', ranking_method, top_k) END AS rationale
+FROM scored WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY sweep ORDER BY score DESC, config_order) = 1"""
+
+
+@query("best_config", _BEST_CONFIG)
 def best_config(spark: SparkSession, sf: str) -> DataFrame:
-    """MIN17: best configuration per sweep with its rationale (rows-only)."""
+    """MIN17: best configuration per sweep with its rationale."""
     sup = SW.support_sweep(class_sequences(spark, sf), "label", CLASS_A, CLASS_B, SUPPORT_THRESHOLDS,
-                           max_len=MAX_LEN)
+                           max_len=MAX_LEN, longest=len(QS.FEATS))
     allsw = sup.unionByName(sweep_bins_table(spark, sf)).unionByName(sweep_ranking_table(spark, sf))
     return SW.best_configuration(allsw)
 
@@ -374,21 +413,26 @@ def class_top_patterns(spark: SparkSession, sf: str) -> DataFrame:
             .select("class", "pattern", "freq", F.col("rank").cast("int").alias("rank")))
 
 
-@query("strategy_summary")
+STRATEGIES = ("uniform", "quantile", "kmeans")
+
+
+@query("strategy_summary", " UNION ALL ".join(
+    f"SELECT class, n_patterns, strategy FROM ({_class_base(st)} SELECT class, CAST(count(*) AS BIGINT) AS n_patterns, '{st}' AS strategy FROM pats GROUP BY class)"
+    for st in STRATEGIES))
 def strategy_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """MIN21: patterns per (binning strategy, class) (rows-only)."""
+    """MIN21: patterns per (binning strategy, class)."""
     per = {s: CT.mine_by_class(QS.global_sequences(spark, sf, strategy=s), "label", [CLASS_A, CLASS_B],
-                               min_support=CLASS_MIN_SUPPORT, max_len=MAX_LEN)
-           for s in ("uniform", "quantile", "kmeans")}
+                               min_support=CLASS_MIN_SUPPORT, max_len=MAX_LEN, longest=len(QS.FEATS))
+           for s in STRATEGIES}
     return CT.strategy_summary(per, "label")
 
 
 @query("strategy_class_sequences", " UNION ALL ".join(
     f"(SELECT '{st}' AS strategy, label AS class, CAST(count(*) AS BIGINT) AS n_sequences, round(avg({_LENGTH}), 6) AS avg_length FROM ("
-    f"{QS._bins_sql(st)} SELECT * FROM b) GROUP BY label)" for st in ("uniform", "quantile")))
+    f"{QS._bins_sql(st)} SELECT * FROM b) GROUP BY label)" for st in STRATEGIES))
 def strategy_class_sequences(spark: SparkSession, sf: str) -> DataFrame:
     """MIN21: sequences per (binning strategy, class) and their mean length."""
     parts = [QS.global_sequences(spark, sf, strategy=st).groupBy(F.col("label").alias("class"))
              .agg(F.count(F.lit(1)).alias("n_sequences"), r6(F.avg(F.size("sequence"))).alias("avg_length"))
-             .select(F.lit(st).alias("strategy"), "class", "n_sequences", "avg_length") for st in ("uniform", "quantile")]
-    return parts[0].unionByName(parts[1])
+             .select(F.lit(st).alias("strategy"), "class", "n_sequences", "avg_length") for st in STRATEGIES]
+    return reduce(DataFrame.unionByName, parts)

@@ -47,22 +47,52 @@ _FT = ("ft AS MATERIALIZED (SELECT row_number() OVER () AS rid, l_orderkey, l_li
 _KEYS = ", ".join(KEYS)
 
 
-def _edges_sql(strategy: str) -> str:
+def _equal_width_sql(n: int, low: str, high: str) -> str:
+    return "[" + ", ".join(f"{low} + {k} * (({high} - {low}) / {n})" for k in range(n)) + f", {high}]"
+
+
+def _kmeans_sql(n: int) -> str:
+    """CTEs up to ``ed``: Lloyd's rounds on (value, count) groups as a recursive query."""
+    long = " UNION ALL ".join(f"SELECT '{f}' AS f, {f}::DOUBLE AS x FROM ft WHERE isfinite({f}::DOUBLE)" for f in FEATS)
+    mids = [f"round((cs[{j}] + cs[{j + 1}]) / 2, 9)" for j in range(1, n)]
+    inside = [" AND ".join([f"x > {m}" for m in mids[max(0, j - 1):j]] + [f"x <= {m}" for m in mids[j:j + 1]]) or "TRUE" for j in range(n)]
+    moved = ", ".join(f"coalesce(sum(x * n) FILTER (WHERE {w}) / sum(n) FILTER (WHERE {w}), cs[{j + 1}])" for j, w in enumerate(inside))
+    starts = ", ".join(f"(w[{k}] + w[{k + 1}]) / 2" for k in range(1, n + 1))
+    shift = " + ".join(f"pow(new[{j}] - cs[{j}], 2)" for j in range(1, n + 1))
+    edges = ", ".join(f"round((cs[{j}] + cs[{j + 1}]) / 2, 9)" for j in range(1, n))
+    return f"""g AS MATERIALIZED (SELECT f, x, count(*)::DOUBLE AS n FROM ({long}) GROUP BY ALL),
+ks AS MATERIALIZED (SELECT f, min(x) AS low, max(x) AS high, {_equal_width_sql(n, 'min(x)', 'max(x)')} AS w,
+  1e-4 * greatest(0, sum(x * x * n) / sum(n) - pow(sum(x * n) / sum(n), 2)) AS tol FROM g GROUP BY f),
+st AS (SELECT f, 0 AS it, [{starts}] AS cs, 'inf'::DOUBLE AS shift, tol FROM ks UNION ALL
+  SELECT f, it + 1, new, {shift}, tol FROM (
+    SELECT st.f, it, tol, cs, [{moved}] AS new FROM st JOIN g ON g.f = st.f WHERE it < 300 AND shift > tol GROUP BY st.f, it, tol, cs)),
+ke AS (SELECT f, [low, {edges}, high] AS e FROM (SELECT f, max_by(cs, it) AS cs FROM st GROUP BY f) JOIN ks USING (f)),
+ed AS (SELECT {", ".join(f"(SELECT e FROM ke WHERE f = '{f}') AS e_{f}" for f in FEATS)})"""
+
+
+def _edges_sql(strategy: str, n: int = N_BINS) -> str:
+    if strategy == "kmeans":
+        return _kmeans_sql(n)
     if strategy == "quantile":
-        parts = ", ".join(f"quantile_cont({f}, [0, 1/3, 2/3, 1]) AS e_{f}" for f in FEATS)
-        return f"ed AS (SELECT {parts} FROM ft)"
-    parts = ", ".join(f"[min({f}), min({f}) + 1 * ((max({f}) - min({f})) / 3), "
-                      f"min({f}) + 2 * ((max({f}) - min({f})) / 3), max({f})] AS e_{f}" for f in FEATS)
+        probs = ", ".join(["0", *(f"{k}/{n}" for k in range(1, n)), "1"])
+        parts = ", ".join(f"quantile_cont({f}, [{probs}]) AS e_{f}" for f in FEATS)
+    else:
+        parts = ", ".join(f"{_equal_width_sql(n, f'min({f})', f'max({f})')} AS e_{f}" for f in FEATS)
     return f"ed AS (SELECT {parts} FROM ft)"
 
 
-def _bins_sql(strategy: str, every: bool = False) -> str:
+def _bins_sql(strategy: str, every: bool = False, n: int = N_BINS) -> str:
     ft = _FT.replace(" WHERE l_returnflag IN ('A', 'R')", "") if every else _FT
-    cols = ", ".join(f"CAST(({f} >= e_{f}[2])::INT + ({f} >= e_{f}[3])::INT AS INTEGER) AS {f}" for f in FEATS)
-    return f"WITH {ft}, {_edges_sql(strategy)}, b AS (SELECT rid, {_KEYS}, label, {cols} FROM ft, ed)\n"
+    # equal edges are one edge
+    cols = ", ".join(f"CAST(len(list_filter(list_sort(list_distinct(e_{f}))[2:-2], lambda e: {f} >= e)) AS INTEGER) AS {f}" for f in FEATS)
+    return f"WITH RECURSIVE {ft}, {_edges_sql(strategy, n)}, b AS MATERIALIZED (SELECT rid, {_KEYS}, label, {cols} FROM ft, ed)\n"
 
 
-_LABELS = "['low', 'medium', 'high']"
+def _labels_sql(n: int) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in BN.bin_labels(n)) + "]"
+
+
+_LABELS = _labels_sql(N_BINS)
 _LONG = " UNION ALL ".join(
     f"SELECT rid, {_KEYS}, label, '{f}' AS feature, {f} AS bin FROM b" for f in FEATS)
 _MI = f"""lb AS ({_LONG}),
@@ -108,13 +138,11 @@ def bin_labels(spark: SparkSession, sf: str) -> DataFrame:
     return BN.apply_labels(ft, edges, N_BINS).select(*KEYS, *FEATS)
 
 
-@query("bins_kmeans")
+@query("bins_kmeans", _bins_sql("kmeans", every=True) + f"SELECT {_KEYS}, {', '.join(FEATS)} FROM b")
 def bins_kmeans(spark: SparkSession, sf: str) -> DataFrame:
-    """FE3: 1-D k-means bins; rows per (feature, bin) with counts (rows-only check)."""
+    """FE3/FE4: exact 1-D k-means ordinal bins."""
     _ft, _e, b = binned(spark, sf, "kmeans", every=True)
-    pairs = ", ".join(f"'{f}', {f}" for f in FEATS)
-    return (b.select(F.expr(f"stack({len(FEATS)}, {pairs}) AS (feature, bin)"))
-            .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
+    return b.select(*KEYS, *FEATS)
 
 
 # ------------------------------------------------------------------ ranking
@@ -187,8 +215,11 @@ def row_sequences(spark: SparkSession, sf: str, top_k: int = TOP_K, max_len: int
     return RK.sequences_per_row(ranked, FEATS, "ranked", suffix="_label")
 
 
-_LAB_LONG = " UNION ALL ".join(
-    f"SELECT rid, {_KEYS}, label, '{f}' AS feature, {_LABELS}[{f} + 1] AS lab FROM b" for f in FEATS)
+def _lab_long(n: int = N_BINS) -> str:
+    return " UNION ALL ".join(f"SELECT rid, {_KEYS}, label, '{f}' AS feature, {_labels_sql(n)}[{f} + 1] AS lab FROM b" for f in FEATS)
+
+
+_LAB_LONG = _lab_long()
 
 
 @query("seq_global", _bins_sql("quantile", every=True) + "," + _MI + f""",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicons as LX
 from ..operators import session as SS
 from ..operators import text as TX
+from ..operators import tumour as TU
 from . import q_sequences as QS
 from .registry import query, r6, read
 
@@ -175,9 +176,7 @@ def tumour_texts(spark: SparkSession, sf: str) -> DataFrame:
 def tumour_analysis(spark: SparkSession, sf: str) -> DataFrame:
     """TX9 pieces: measurements, characteristics, insights, risk, heuristic."""
     t = TX.add_measurements(tumour_texts(spark, sf), "text", "m", standardise=True)
-    terms = F.coalesce(TX.lexicon_terms(F.col("text"), LX.CHARACTERISTIC_CATEGORIES), F.array().cast("array<string>"))
-    j = t.withColumn("terms", terms)
-    j = j.withColumn("chars", F.array_sort(TX.standardise_characteristics(F.col("terms"))))
+    j = t.withColumn("chars", TU.characteristics(F.col("text")))
     insights, risk = TX.risk_insights(F.col("m"), F.col("chars"))
     p, label, prob = TX.heuristic_score(F.col("m"))
     conf = TX.completeness_confidence(F.cardinality("m"), F.size("chars"), prob)
@@ -239,6 +238,74 @@ def heuristic_score(spark: SparkSession, sf: str) -> DataFrame:
                     r6("probability").alias("probability"), r6("confidence").alias("confidence"))
 
 
+_PERCENT = "printf('%.0f%%', 100 * probability)"
+
+
+@query("tumour_table", _TUMOUR_BASE + f""",
+h AS (SELECT *, greatest(0.05, least(0.95, 1.0 / (1.0 + exp(-0.02 * (total - 15.0))))) AS p FROM r),
+l AS (SELECT *, CASE WHEN p >= 0.5 THEN 'Malignant' ELSE 'Benign' END AS predicted_class, CASE WHEN p >= 0.5 THEN p ELSE 1 - p END AS probability FROM h)
+SELECT {QS._KEYS}, 'breast_cancer' AS analysis_type, 'heuristic' AS method, predicted_class, round(probability, 6) AS probability,
+       round(greatest(least(0.95, (n_m + len(chars)) * 0.1 + 0.4), probability), 6) AS confidence,
+       'Analyzed ' || n_m || ' measurements and ' || len(chars) || ' characteristics → predicted class ' || predicted_class || ' (' || {_PERCENT} || ' probability)' AS primary_findings,
+       'Prediction summary: ' || predicted_class || ' (' || {_PERCENT} || ' probability). LLM explanation unavailable because the language model is not configured.' AS explanation,
+       CAST(n_m AS INTEGER) AS n_measurements, round(radius, 6) AS radius, round(area, 6) AS area, array_to_string(chars, ',') AS characteristics,
+       CAST(risk AS INTEGER) AS risk_factors FROM l""")
+def tumour_table(spark: SparkSession, sf: str) -> DataFrame:
+    """TX9: the tumour result of every text in one row, without a fitted model (every row by rule)."""
+    t = TU.tumour_results(tumour_texts(spark, sf), "text")
+    return t.select(*QS.KEYS, "analysis_type", "method", "predicted_class", r6("probability").alias("probability"), r6("confidence").alias("confidence"),
+                    "primary_findings", F.element_at("recommendations", 1).alias("explanation"), F.size("measurements").alias("n_measurements"),
+                    r6(F.element_at("measurements", F.lit("radius"))).alias("radius"), r6(F.element_at("measurements", F.lit("area"))).alias("area"),
+                    F.array_join("characteristics", ",").alias("characteristics"), F.col("risk_factors").cast("int").alias("risk_factors"))
+
+
+# ------------------------------------------------------------------ two passes, aliases, standard terms
+
+@query("two_pass_extraction", f"""
+SELECT {QS._KEYS}, round(CASE WHEN l_linenumber = 1 THEN l_quantity / 2.5 ELSE l_quantity END, 6) AS radius, round(l_extendedprice / 100, 6) AS area,
+       round(l_tax, 6) AS texture, CAST(3 AS INTEGER) AS n_measurements,
+       CASE WHEN l_linestatus = 'O' THEN 'circumscribed,cystic,irregular,mass,smooth' ELSE 'circumscribed,cystic,mass,smooth' END AS characteristics FROM lineitem""")
+def two_pass_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """SET5: a report text and a structured note per row, extracted apart; terms are united, and a
+    measurement of the note overrides that of the report."""
+    li = read(spark, sf, "lineitem")
+    report = F.concat(F.lit("tumor radius "), (F.col("l_quantity") / 2.5).cast("string"), F.lit("; area "), (F.col("l_extendedprice") / 100).cast("string"),
+                      F.lit("; smooth circumscribed cystic lesion"))
+    note = F.concat_ws("; ", F.when(F.col("l_linenumber") != 1, F.concat(F.lit("radius: "), F.col("l_quantity").cast("string"))),
+                       F.concat(F.lit("texture = "), F.col("l_tax").cast("string")), F.when(F.col("l_linestatus") == "O", F.lit("irregular mass")))
+    t = TX.add_measurements(li.select(*QS.KEYS, report.alias("report"), note.alias("note")), "report", "m1")
+    t = TX.add_measurements(t, "note", "m2").withColumn("m", TX.override_measurements(F.col("m1"), F.col("m2")))
+    terms = [TX.lexicon_terms(F.col(c), LX.CHARACTERISTIC_CATEGORIES) for c in ("report", "note")]
+    chars = F.array_sort(TX.standardise_characteristics(TX.union_terms(*terms)))
+    value = lambda k: r6(F.element_at("m", F.lit(k))).alias(k)
+    return t.select(*QS.KEYS, value("radius"), value("area"), value("texture"), F.size("m").alias("n_measurements"), F.array_join(chars, ",").alias("characteristics"))
+
+
+@query("measurement_aliases", f"""
+SELECT {QS._KEYS}, round(CASE WHEN l_linenumber % 3 = 0 THEN l_quantity WHEN l_linenumber % 3 = 1 THEN l_extendedprice / 2 ELSE l_quantity / 4 END, 6) AS radius,
+       round(CASE WHEN l_linenumber % 2 = 0 THEN l_discount ELSE l_tax END, 6) AS perimeter, round(l_tax, 6) AS fractal_dimension FROM lineitem""")
+def measurement_aliases(spark: SparkSession, sf: str) -> DataFrame:
+    """FN18: size, diameter, circumference and fractal become radius, perimeter and fractal_dimension;
+    size beats diameter beats radius."""
+    li = read(spark, sf, "lineitem")
+    named = lambda name, c, when=None: (lambda t: t if when is None else F.when(when, t))(F.concat(F.lit(f"{name}: "), c.cast("string")))
+    third, odd = F.col("l_linenumber") % 3, F.col("l_linenumber") % 2
+    text = F.concat_ws("; ", named("size", F.col("l_quantity"), third == 0), named("diameter", F.col("l_extendedprice"), third != 2),
+                       named("radius", F.col("l_quantity") / 4), named("circumference", F.col("l_discount"), odd == 0),
+                       named("perimeter", F.col("l_tax")), named("fractal", F.col("l_tax")))
+    t = TX.add_measurements(li.select(*QS.KEYS, text.alias("text")), "text", "m", standardise=True)
+    return t.select(*QS.KEYS, *[r6(F.element_at("m", F.lit(k))).alias(k) for k in ("radius", "perimeter", "fractal_dimension")])
+
+
+@query("standard_terms", f"""
+WITH h AS (SELECT DISTINCT d.doc_id, lex.term FROM documents d JOIN {_lex_values(TAG_LEXICON)} ON {_ww('lower(d.text)', 'lex.term')})
+SELECT DISTINCT doc_id, coalesce(m.v, h.term) AS item FROM h LEFT JOIN (VALUES {_TAG_MAP}) AS m(k, v) ON m.k = h.term""")
+def standard_terms(spark: SparkSession, sf: str) -> DataFrame:
+    """TX2: extracted terms through the synonym table, lower case, distinct per document."""
+    hits = TX.lexicon_hits(read(spark, sf, "documents"), "doc_id", "text", TAG_LEXICON)
+    return TX.standardise_terms(hits, "doc_id", synonyms=TAG_SYNONYMS)
+
+
 # ------------------------------------------------------------------ session state
 
 def user_turn_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -282,7 +349,7 @@ def session_fold(spark: SparkSession, sf: str) -> DataFrame:
 @query("session_stream", _SESSION_SQL)
 def session_stream(spark: SparkSession, sf: str) -> DataFrame:
     """ST1 stream: the same turns, delivered in three ranges of turn numbers, through
-    ``applyInPandasWithState``; equals the fold."""
+    one running ``transformWithStateInPandas`` query; equals the fold."""
     from ..streaming.session_stream import run_file_stream
 
     turns = user_turn_items(spark, sf)

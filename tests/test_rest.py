@@ -4,6 +4,7 @@ H11 redundancy filter, lookups, prefix sums, quantiles, IO round trips."""
 import math
 import os
 import tempfile
+from collections import Counter
 
 import pytest
 from pyspark.sql import Window
@@ -115,12 +116,24 @@ def test_prefix_sums_with_hot_key(spark):
 
 def test_quantile_refinement_equals_exact(spark):
     df = spark.range(0, 20000).select(((F.col("id") * 7919) % 10007 / 3.0).alias("x"),
-                                      F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id").cast("double")).alias("y"))
-    probs = [0, 0.1, 1 / 3, 0.5, 2 / 3, 0.99, 1]
-    a = exact_quantiles(df, ["x", "y"], probs)
-    b = exact_quantiles(df, ["x", "y"], probs, small_rows=300, buckets=8)
-    for c in ("x", "y"):
-        assert all(math.isclose(u, v, rel_tol=0, abs_tol=1e-9) for u, v in zip(a[c], b[c]))
+                                      F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id").cast("double")).alias("y"),
+                                      (F.col("id") % 2).cast("double").alias("two"), F.lit(7).alias("one"))
+    probs = [0, 0.1, 1 / 3, 0.4999, 0.5, 2 / 3, 0.99, 1]
+    cols = ["x", "y", "two", "one"]
+    want = df.agg(*[F.percentile(c, F.array(*map(F.lit, probs))).alias(c) for c in cols]).first()
+    for options in ({}, {"accuracy": 50, "cells": 25, "read_rows": 30}):
+        got = exact_quantiles(df, cols, probs, **options)
+        for c in cols:
+            assert all(math.isclose(u, v, rel_tol=0, abs_tol=1e-9) for u, v in zip(got[c], want[c], strict=True))
+    assert exact_quantiles(df.where("1 = 0"), ["x"], [0.5]) == {"x": [None]}
+
+
+def test_bracket_that_misses_its_rank_widens(spark):
+    from minelake.operators import quantiles as Q
+
+    df = spark.range(0, 1000).select(F.col("id").cast("double").alias("x"))
+    wanted = {(0, 700): (10.0, 20.0), (0, 5): (300.0, 400.0), (0, 15): (10.0, 20.0)}
+    assert Q._ranked(df, wanted, [F.col("x")], {0: (0.0, 999.0)}, 50, 20, 30) == {(0, 700): 700.0, (0, 5): 5.0, (0, 15): 15.0}
 
 
 def test_stratified_split_counts(spark):
@@ -168,17 +181,25 @@ def test_measurement_last_match_wins(spark):
     assert m[1] == {"radius": 4.0}  # size beats diameter beats radius (name order)
 
 
-def test_top_contained_batched_equals_direct(spark):
+def test_containment_by_masks(spark):
     from minelake.operators import containment as C
 
-    rows = [(g, sorted({chr(97 + (g * 7 + j * 3) % 11) for j in range(2 + g % 5)})) for g in range(60)]
+    rows = [(g, sorted({f"i{(g * 7 + j * 3) % 150:03d}" for j in range(2 + g % 90)})) for g in range(60)] + [(60, []), (61, ["zz"]), (None, ["i000", "i003"])]
     groups = spark.createDataFrame(rows, "gid int, items array<string>")
-    its = [(sorted({chr(97 + (i * 5 + j) % 11) for j in range(1 + i % 3)}), 1.0 / (1 + i % 17)) for i in range(90)]
-    itemsets = spark.createDataFrame(its, "items array<string>, support double").dropDuplicates(["items"])
-    key = lambda df: sorted((r["gid"], ",".join(r["items"]), r["rank"]) for r in df.collect())
-    direct = C.top_per_group(C.contained_pairs(itemsets, groups, "gid"), "gid", 3)
-    batched = C.top_contained_per_group(itemsets, groups, "gid", 3, first_batch=4, direct_max_itemsets=0)
-    assert key(batched) == key(direct)
+    its = {tuple(sorted({f"i{(i * 5 + j * 3) % 150:03d}" for j in range(1 + i % 4)})): 1.0 / (1 + i % 17) for i in range(400)}
+    itemsets = spark.createDataFrame([(list(k), v) for k, v in its.items()], "items array<string>, support double")
+    held = {g: sorted((-v, ",".join(k)) for k, v in its.items() if set(k) <= set(x)) for g, x in rows}
+    pairs = C.contained_pairs(itemsets, groups, "gid")
+    assert Counter((r["gid"], ",".join(r["items"])) for r in pairs.collect()) == Counter((g, t) for g, hs in held.items() for _, t in hs)
+    assert {r["gid"]: r["n_itemsets"] for r in C.contained_counts(itemsets, groups, "gid").collect()} == {g: len(hs) for g, hs in held.items()}
+    want = sorted((str(g), t, i + 1) for g, hs in held.items() for i, (_, t) in enumerate(hs[:3]))
+    for options in ({}, {"chunk": 40, "batch": 4}, {"chunk": 7, "batch": 64}):  # one chunk, and groups that go on to later ones
+        top = C.top_contained_per_group(itemsets, groups, "gid", 3, **options)
+        assert sorted((str(r["gid"]), ",".join(r["items"]), r["rank"]) for r in top.collect()) == want
+    none = itemsets.where("1 = 0")
+    assert C.contained_pairs(none, groups, "gid").count() == 0 and C.top_contained_per_group(none, groups, "gid").count() == 0
+    assert {r["n_itemsets"] for r in C.contained_counts(none, groups, "gid").collect()} == {0}
+    assert C.top_contained_per_group(itemsets, groups.where("1 = 0"), "gid").count() == 0
 
 
 def test_tumour_rules_read_every_row(spark):
@@ -231,7 +252,78 @@ def test_quantiles_of_non_finite_values(spark):
     probs = [0, 0.013, 0.1, 1 / 3, 0.5, 0.77, 0.96, 0.99, 1]
     want = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, probs))).alias(c) for c in "xyz"]).first()
     same = lambda a, b: a == b or (a is not None and math.isnan(a) and math.isnan(b))
-    for options in ({}, {"small_rows": 300, "buckets": 8}):
+    for options in ({}, {"accuracy": 50, "cells": 25, "read_rows": 30}):
         got = exact_quantiles(df, ["x", "y", "z"], probs, **options)
         for c in "xyz":
             assert all(same(u, v) for u, v in zip(got[c], want[c] or [None] * len(probs), strict=True))
+
+
+def brute_lloyd(values, n_bins):
+    """Plain Lloyd from the equal-width centres: nearest centre, ties to the smaller."""
+    low, high = min(values), max(values)
+    step = (high - low) / n_bins
+    edges = [low + k * step for k in range(n_bins)] + [high]
+    centres = [(a + b) / 2 for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    mean = sum(values) / len(values)
+    limit = 1e-4 * sum((v - mean) ** 2 for v in values) / len(values)
+    for _ in range(300):
+        groups = [[] for _ in centres]
+        for v in values:
+            groups[min(range(n_bins), key=lambda j: (abs(v - centres[j]), j))].append(v)
+        new = [sum(g) / len(g) if g else c for g, c in zip(groups, centres, strict=True)]
+        shift = sum((a - b) ** 2 for a, b in zip(new, centres, strict=True))
+        centres = new
+        if shift <= limit:
+            break
+    return sorted(centres)
+
+
+def test_kmeans_bins_against_plain_lloyd(spark):
+    from minelake.operators import bins as BN
+    from minelake.operators.lloyd1d import lloyd_1d
+
+    rows = [(k, float((k * k * 37) % 1009) / 8, 2.0 ** (k % 20), None if k % 5 else float(k % 3)) for k in range(2000)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double")
+    for n in (3, 5):
+        edges = BN.fit_kmeans(df, ["a", "b", "c"], n)
+        for i, c in enumerate(["a", "b", "c"], 1):
+            values = [r[i] for r in rows if r[i] is not None]
+            centres = brute_lloyd(values, n)
+            mids = [(x + y) / 2 for x, y in zip(centres[:-1], centres[1:], strict=True)]
+            want = BN._drop_close([min(values), *[round(m, 9) for m in mids], max(values)])
+            assert all(math.isclose(x, y, abs_tol=1e-6) for x, y in zip(edges[c], want, strict=True))
+    # the cells only save reading: few and many give the same centres
+    start = {"a": [10.0, 60.0, 110.0]}
+    few, many = (lloyd_1d(df, ["a"], start, cells=k)["a"] for k in (2, 500))
+    assert all(math.isclose(x, y, abs_tol=1e-9) for x, y in zip(few, many, strict=True))
+
+
+def test_bins_of_empty_and_non_finite_columns(spark):
+    from minelake.operators import bins as BN
+
+    rows = [(float(k), None, float("inf") if k == 3 else float("-inf") if k == 4 else float("nan") if k == 5 else float(k), 7.0) for k in range(12)]
+    df = spark.createDataFrame(rows, "x double, none double, odd double, same double")
+    cols = ["x", "none", "odd", "same"]
+    for strategy in ("uniform", "quantile", "kmeans"):
+        edges = BN.fit_bins(df, cols, 3, strategy)
+        assert edges["none"] == [] and BN.fit_bins(df.where("1 = 0"), cols, 3, strategy) == {c: [] for c in cols}
+        out = BN.apply_bins(df, edges, "_bin").collect()
+        assert {r["none_bin"] for r in out} == {None} and {r["same_bin"] for r in out} == {0}
+        assert [r["x_bin"] for r in sorted(out, key=lambda r: r["x"])] == [0] * 4 + [1] * 4 + [2] * 4
+        odd = {k: r["odd_bin"] for k, r in enumerate(sorted(out, key=lambda r: r["x"]))}
+        assert odd[4] == 0 and odd[3] == odd[5] == len(edges["odd"]) - 2
+        if strategy != "quantile":  # fitted on the finite values
+            assert edges["odd"][0] == 0 and edges["odd"][-1] == 11
+
+
+def test_short_patterns_equal_prefixspan(spark):
+    from minelake.operators import contrast as CT
+
+    rows = [(("a", "b")[k % 2], [[x] for x in ("p", "q", "r", "p", "s")[k % 3:2 + k % 4]]) for k in range(200)] + [("a", []), (None, [["p"]]), ("c", [["p"]])]
+    df = spark.createDataFrame(rows, "y string, sequence array<array<string>>")
+    key = lambda d: sorted((r["class"], str(r["pattern"]), r["freq"], round(r["support"], 9), r["level"], r["n_itemsets"]) for r in d.collect())
+    for support, length in ((0.05, 5), (0.2, 2)):
+        want = CT.mine_by_class(df, "y", ["a", "b"], min_support=support, max_len=length)
+        got = CT.mine_by_class(df, "y", ["a", "b"], min_support=support, max_len=length, longest=5)
+        assert key(got) == key(want) and got.count() > 3
+    assert CT.mine_by_class(df.where("1 = 0"), "y", ["a"], longest=5).count() == 0
