@@ -12,7 +12,7 @@ Template. A turn is ``<|role|>`` + the role + newline + content + ``<|end|>`` +
 newline. Inside texts and roles ``&``, ``<`` and ``[`` are written ``&amp;``,
 ``&lt;`` and ``&#91;``, so no control string of this or another template
 (``</s>``, ``[INST]``, ``<|...|>``) survives, and unescaping in the opposite order
-restores every text. The loss mask covers the content of the ``loss_role`` turns.
+restores every text. A line feed, which ends the role, is written ``&#10;`` inside roles. The loss mask covers the content of the ``loss_role`` turns.
 
 Output per conv_id: n_turns, formatted, turn_starts and loss_spans (turn, start,
 length), both in code points of the conversation, attachments (turn, index, kind, uri, tokens),
@@ -46,6 +46,14 @@ def unescape(c: Column) -> Column:
     return c
 
 
+def escape_role(c: Column) -> Column:
+    return F.replace(escape(c), F.lit("\n"), F.lit("&#10;"))
+
+
+def unescape_role(c: Column) -> Column:
+    return unescape(F.replace(c, F.lit("&#10;"), F.lit("\n")))
+
+
 def text_part(text: Column) -> Column:
     return F.array(F.struct(F.lit("text").alias("kind"), text.alias("text"), F.lit(None).cast("string").alias("uri"), F.lit(None).cast("long").alias("units")))
 
@@ -72,7 +80,7 @@ def format_chats(rows: DataFrame, parts: str | None = None, loss_role: str = "as
     rows = rows.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
                        F.coalesce(content, F.array().cast(f"array<{PART}>")).alias("parts"))
     files, text = _visit(F.col("parts"))
-    head = F.concat(F.lit(OPEN), escape(F.col("role")), F.lit("\n"))
+    head = F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n"))
     rows = (rows.withColumn("content", text).withColumn("files", files).drop("parts").withColumn("head", head)
             .withColumn("piece", F.concat("head", "content", F.lit(CLOSE))))
     order = Window.partitionBy("conv_id").orderBy(*(F.col(c).asc_nulls_first() for c in ("turn", "role", "content")))
@@ -96,7 +104,7 @@ def read_back(chats: DataFrame) -> DataFrame:
     chats = chats.withColumn("cut", F.explode(F.array(F.struct(F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))).alias("pieces")))))
     pieces = F.col("cut.pieces")
     turns = F.transform(pieces, lambda p: F.struct(
-        unescape(F.substring_index(F.substr(p, F.lit(len(OPEN) + 1)), "\n", 1)).alias("role"),
+        unescape_role(F.substring_index(F.substr(p, F.lit(len(OPEN) + 1)), "\n", 1)).alias("role"),
         unescape(F.substr(p, F.instr(p, "\n") + 1)).alias("text")))
     # spans are absolute; each is cut from its own piece, so long conversations stay linear
     span = lambda s: unescape(F.substr(F.get(pieces, s["turn"]), (s["start"] - F.get("turn_starts", s["turn"]) + 1).cast("int"), s["length"].cast("int")))

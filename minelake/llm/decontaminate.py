@@ -7,11 +7,12 @@ fewer words is one window); each document's normalised text is scanned once, and
 matches map back to words and to character offsets of the original text.
 
 The windows travel by broadcast only up to ``BLOCK_BYTES`` of item text: a larger
-benchmark is cut into blocks by item hash, each with its own automaton and scan,
-whose hits are merged by document. Automata are kept per Python worker.
+benchmark is cut into blocks by text hash, each with its own automaton and scan,
+whose hits are merged by document; the driver holds one block at a time. Automata are
+kept per Python worker.
 
 Null or empty texts have no words and no windows. Items that repeat an item_id
-count as one item; null item_ids are ignored. Rows that repeat a doc_id stay apart
+count as one item, as do all items without one, under the name ``NO_ID``. Rows that repeat a doc_id stay apart
 rows. Extra columns are ignored.
 """
 
@@ -19,13 +20,19 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from minelake.llm.common import written
 
 WIDTH = 10
+#: the name of benchmark rows without item_id
+NO_ID = "null"
 BLOCK_BYTES = 4 << 20
 
 _SEPARATORS = bytes(b for b in range(128) if not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122))
@@ -100,14 +107,15 @@ def _scan(block, width: int):
     return run
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str, str]]]:
-    items = benchmark.where("item_id IS NOT NULL").select(
-        F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
+    """Blocks of (item name, text) of about ``block_bytes``, dealt by hash; the driver holds one at a time."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit(NO_ID)).alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    items = written(items.distinct(), "items")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
-    at = F.pmod(F.xxhash64("item_id"), F.lit(n))
-    # a block is about block_bytes: the size checked above, dealt by hash
-    return [sorted((r.item_id, r.text) for r in items.where(at == k).collect()) for k in range(n)]
+    at = F.pmod(F.xxhash64("text"), F.lit(n))
+    for k in range(n):
+        yield sorted((r.item_id, r.text) for r in items.where(at == k).collect())
 
 
 def _merge(batches):
@@ -123,30 +131,45 @@ def _merge(batches):
             ("doc_id", pa.int64()), ("t", pa.int64()), ("n_words", pa.int64()), ("words", _SPANS), ("items", pa.list_(pa.string())), ("spans", _SPANS)]))
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, keep: list[str] | None = None) -> DataFrame:
-    """Per row: doc_id, n_words, n_hit, n_items, items (sorted strings), items_sha256,
-    contaminated, spans (merged character intervals of hits in the original text);
-    with ``keep`` those columns of ``docs`` and contaminated instead."""
+def _scans(docs: DataFrame, benchmark: DataFrame, width: int, block_bytes: int) -> list:
+    """The scan of every block, over a broadcast of it."""
+    out = []
+    for items in _blocks(benchmark, block_bytes):
+        name = hashlib.sha256(repr((width, items)).encode()).hexdigest()
+        out.append(_scan(docs.sparkSession.sparkContext.broadcast((name, items)), width))
+    return out
+
+
+def _hits(docs: DataFrame, scans: list) -> DataFrame:
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
-    blocks = [(hashlib.sha256(repr((width, items)).encode()).hexdigest(), items) for items in _blocks(benchmark, block_bytes)]
-    block = lambda b: _scan(docs.sparkSession.sparkContext.broadcast(b), width)
-    if keep and len(blocks) == 1:
+    found = [rows.mapInArrow(s, HITS) for s in scans]
+    if len(found) == 1:
+        return found[0]
+    union = reduce(DataFrame.unionByName, [s.withColumn("block", F.lit(k)) for k, s in enumerate(found)])
+    return union.groupBy("doc_id", "t", "n_words").agg(
+        F.sum((F.col("block") == 0).cast("int")).alias("copies"), *(F.collect_set(c).alias(c) for c in ("words", "items", "spans"))).mapInArrow(_merge, HITS)
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` without a hit, whole. Rows travel as one struct, so no column name can clash."""
+    scans = _scans(docs, benchmark, width, block_bytes)
+    text = F.col("text").cast("string")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    if len(scans) == 1:
         # one scan: the row travels with its hits
-        row = F.struct(*[F.col(c) for c in keep]).alias("row")
-        whole = docs.select(F.col("doc_id").cast("long"), F.lit(0).cast("long").alias("t"), text.alias("text"), row)
-        hits = whole.mapInArrow(block(blocks[0]), f"{HITS}, row {whole.schema['row'].dataType.simpleString()}")
-        return hits.select("row.*", (F.size("words") > 0).alias("contaminated"))
-    scans = [rows.mapInArrow(block(b), HITS) for b in blocks]
-    hits = scans[0]
-    if len(scans) > 1:
-        union = reduce(DataFrame.unionByName, [s.withColumn("block", F.lit(k)) for k, s in enumerate(scans)])
-        hits = union.groupBy("doc_id", "t", "n_words").agg(
-            F.sum((F.col("block") == 0).cast("int")).alias("copies"), *(F.collect_set(c).alias(c) for c in ("words", "items", "spans"))).mapInArrow(_merge, HITS)
-    if keep:
-        bad = hits.where(F.size("words") > 0).select(F.col("doc_id").alias("bad_id"), F.col("t").alias("bad_t")).distinct()
-        same = F.col("doc_id").cast("long").eqNullSafe(F.col("bad_id")) & (F.xxhash64(text) == F.col("bad_t"))
-        return docs.join(bad, same, "left").select(*keep, F.col("bad_t").isNotNull().alias("contaminated"))
+        whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("t"), text.alias("text"), row)
+        hits = whole.mapInArrow(scans[0], T.StructType([*T.StructType.fromDDL(HITS).fields, whole.schema["row"]]))
+        return hits.where(F.size("words") == 0).select("row.*")
+    bad = _hits(docs, scans).where(F.size("words") > 0).select(F.col("doc_id").alias("bad_id"), F.col("t").alias("bad_t")).distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("key"), F.xxhash64(text).alias("t"), row)
+    return rows.join(bad, F.col("key").eqNullSafe(F.col("bad_id")) & (F.col("t") == F.col("bad_t")), "left_anti").select("row.*")
+
+
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Per row: doc_id, n_words, n_hit, n_items, items (sorted strings), items_sha256,
+    contaminated, spans (merged character intervals of hits in the original text)."""
+    hits = _hits(docs, _scans(docs, benchmark, width, block_bytes))
     n_hit = F.aggregate("words", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
     return hits.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items",

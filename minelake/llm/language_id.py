@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_N, ALPHABET = 3, 62
 FIT_ROWS, LANDMARKS = 300, 40
@@ -165,5 +166,5 @@ def predict(docs: DataFrame, model: dict | None, keep: list[str]) -> DataFrame:
     if model is None:
         return docs.select(*kept, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     rows = docs.select(F.lit(0).alias("row"), F.col("text").cast("string").alias("scored_text"), *kept)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:]]
-    return rows.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model)), ", ".join([*fields, "lang_pred string", "score double"]))
+    out = T.StructType([*rows.schema.fields[2:], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model)), out)

@@ -23,8 +23,8 @@ Scale. Groups of copies never expand into pairs:
 * Only texts of documents in a shared bucket are shuffled for the check.
 
 Null or empty text, or no words: an empty set (n_shingles 0), linked with nothing.
-Rows that repeat a doc_id: each row is its own document for n_shingles; they share
-the component of the doc_id. Null doc_id rows: component null, kept true.
+Rows that repeat a doc_id: each row is its own document for n_shingles and for links; all
+share the component of the doc_id, which joins what any of them is linked with. Null doc_id rows: component null, kept true.
 """
 
 from __future__ import annotations
@@ -98,11 +98,11 @@ def _profile(rows: int, bands: int):
                 total = np.concatenate([[U(0)], np.cumsum(mix64(h), dtype=U)])
                 other = np.concatenate([[U(0)], np.cumsum(mix64(h ^ U(0x94D049BB133111EB)), dtype=U)])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, j - i), pa.array(np.diff(bounds)),
+                    [ids.slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(np.diff(bounds)),
                      pa.array(signed(total[bounds[1:]] - total[bounds[:-1]])), pa.array(signed(other[bounds[1:]] - other[bounds[:-1]])),
                      pa.ListArray.from_arrays(np.arange(0, key.size + 1, bands, dtype=np.int32), pa.array(signed(key.ravel()))),
                      pa.array([bitmap(h[s:e]) for s, e in zip(bounds[:-1], bounds[1:])], pa.binary())],
-                    names=["doc_id", "n_shingles", "f1", "f2", "keys", "bits"])
+                    names=["doc_id", "t", "n_shingles", "f1", "f2", "keys", "bits"])
     return run
 
 
@@ -175,26 +175,43 @@ def _across(threshold_pct: int):
 
 def near_duplicates(docs: DataFrame, threshold_pct: int = 75, rows: int = ROWS, bands: int = BANDS, centres: int = 2) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = written(texts.mapInArrow(_profile(rows, bands), "doc_id long, n_shingles long, f1 long, f2 long, keys array<long>, bits binary"), "profiles")
-    # equal sets: one representative
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t"))
+    profile = written(texts.mapInArrow(_profile(rows, bands), "doc_id long, t long, n_shingles long, f1 long, f2 long, keys array<long>, bits binary"), "profiles")
+    # a node is a doc_id; where a doc_id repeats with several sets, each further set is a node of its own
     sets = profile.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = written(sets.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("top")), "classes")
-    member = sets.join(classes, ["f1", "f2", "n_shingles"]).select("doc_id", "rep", F.col("n_shingles").alias("n"), "keys", "bits")
-    banded = (member.where("doc_id = rep").select(F.col("doc_id").alias("id"), "n", F.explode("keys").alias("key")))
+    own = F.struct("f1", "f2")
+    several = written(sets.groupBy("doc_id").agg(F.min(own).alias("lo"), F.max(own).alias("hi")).where("lo <> hi").select("doc_id", "lo"), "several")
+    repeats = several.limit(1).count() > 0
+    if repeats:
+        extra = F.xxhash64("doc_id", "f1", "f2", "n_shingles")
+        sets = sets.join(several, "doc_id", "left").withColumn("node", F.when(F.col("lo").isNull() | (F.col("lo") == own), F.col("doc_id")).otherwise(extra)).drop("lo")
+    else:
+        sets = sets.withColumn("node", F.col("doc_id"))
+    # equal sets: one representative, of a row whose text is known by its hash t
+    classes = sets.groupBy("f1", "f2", "n_shingles").agg(F.min(F.struct("node", "t")).alias("at"))
+    classes = written(classes.select("f1", "f2", "n_shingles", F.col("at.node").alias("rep"), F.col("at.t").alias("rep_t")), "classes")
+    member = sets.join(classes, ["f1", "f2", "n_shingles"]).select("doc_id", "t", "node", "rep", "rep_t", F.col("n_shingles").alias("n"), "keys", "bits")
+    lead = member.where("node = rep AND t = rep_t").select(F.col("node").alias("id"), "doc_id", "t", "n", "keys", "bits")
+    banded = lead.select("id", "doc_id", "t", "n", F.explode("keys").alias("key"))
     shared = banded.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
-    bucket = written(banded.join(shared, "key").distinct(), "buckets")
-    inside = written(texts.join(bucket.select(F.col("id").alias("doc_id")).distinct(), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")), "bucket-texts")
+    found = written(banded.join(shared, "key").distinct(), "buckets")
+    bucket = found.select("id", "n", "key")
+    inside = written(texts.join(found.select("id", "doc_id", "t").distinct(), ["doc_id", "t"]).groupBy("id").agg(F.min("text").alias("text")), "bucket-texts")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        left = inside.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-        right = inside.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+        left = inside.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
+        right = inside.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
         near = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
         return near.mapInArrow(_linked(threshold_pct), "a long, b long")
 
-    bitmaps = member.where("doc_id = rep").select(F.col("doc_id").alias("id"), "n", "bits")
+    bitmaps = lead.select("id", "n", "bits").dropDuplicates(["id"])
     sized = f"100 * least(n, m) >= {threshold_pct} * greatest(n, m)"
-    links = tried = label = None
+    links = docs.sparkSession.createDataFrame([], "a long, b long")
+    if repeats:  # the sets of one doc_id belong together
+        other, first = (member.where(w).select("doc_id", F.col("rep").alias(c)) for w, c in (("node <> doc_id", "a"), ("node = doc_id", "b")))
+        links = written(other.join(first, "doc_id").select("a", "b").distinct(), "sets-of-one")
+    tried = label = None
     for turn in range(centres + 1):
         if label is None:
             at = bucket.withColumn("c", F.col("id"))
@@ -223,11 +240,14 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = 75, rows: int = ROWS,
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         new = written(confirmed(pairs), "links")
-        links = new if links is None else links.union(new)
+        links = links.union(new)
         tried = pairs if tried is None else tried.union(pairs)
         label = written(components(links), "components")
     whole = member.groupBy("doc_id").agg(F.min("rep").alias("rep")).join(label.withColumnRenamed("id", "rep"), "rep", "left")
     whole = whole.select("doc_id", F.coalesce("component", "rep").alias("c"))
+    if repeats:  # a component's smallest node may be no doc_id then
+        least = whole.groupBy("c").agg(F.min("doc_id").alias("least"))
+        whole = whole.join(least, "c").select("doc_id", F.col("least").alias("c"))
     return (profile.select("doc_id", "n_shingles").join(whole, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))

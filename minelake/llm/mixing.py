@@ -72,14 +72,6 @@ def _plan(sizes: DataFrame, weights, max_epochs, bins: int, seed: int) -> DataFr
                     F.coalesce("cut.bin", F.lit(-1)).alias("cut_bin"), F.coalesce("cut.part", F.lit(0.0)).alias("part")))
 
 
-def _planned(docs: DataFrame, weights, max_epochs, bins, seed) -> DataFrame:
-    """``docs`` with size, bin and its source's plan."""
-    rows = docs.withColumn("mix_size", word_count(F.col("text"))).withColumn("mix_bin", draw(seed, bins))
-    sizes = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
-    plan = written(_plan(sizes, weights, max_epochs, bins, seed), "mix")
-    return rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source")), "left").drop("plan_source")
-
-
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS, bins: int = BINS, seed: int = SEED) -> DataFrame:
     """doc_id, size, source_size, target, taken per row."""
     sizes = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
@@ -92,13 +84,18 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS,
 
 def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX_EPOCHS, bins: int = BINS, seed: int = SEED) -> DataFrame:
     """The mix itself: the columns of ``docs``, a row per repetition; a fractional
-    repetition holds the leading words of its text, joined by one space."""
-    rows = _planned(docs, weights, max_epochs, bins, seed)
-    again = (F.col("mix_bin") < F.col("cut_bin")).cast("int")
-    part = F.when(F.col("mix_bin") == F.col("cut_bin"), F.floor(F.col("mix_size") * F.col("part"))).otherwise(F.lit(0)).cast("int")
+    repetition holds the leading words of its text, joined by one space. Rows travel
+    as one struct beside the working columns, so no column name can clash."""
+    sizes = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
+    plan = written(_plan(sizes, weights, max_epochs, bins, seed), "mix")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), word_count(F.col("text")).alias("size"),
+                       draw(seed, bins).alias("bin"), F.col("source").alias("row_source"))
+    rows = rows.join(plan, F.col("row_source").eqNullSafe(F.col("plan_source")), "left")
+    again = (F.col("bin") < F.col("cut_bin")).cast("int")
+    part = F.when(F.col("bin") == F.col("cut_bin"), F.floor(F.col("size") * F.col("part"))).otherwise(F.lit(0)).cast("int")
     kinds = F.concat(F.array_repeat(F.lit(-1), (F.col("whole") + again).cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    text = F.when(F.col("mix_words") < 0, F.col("text")).otherwise(F.array_join(F.slice(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), 1, F.greatest("mix_words", F.lit(1))), " "))
-    rows = rows.withColumn("mix_words", F.explode(kinds)).withColumn("text", text)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("mix_words") < 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return rows.select(*docs.columns)
+    whole = F.col("row.text")
+    text = F.when(F.col("words") < 0, whole).otherwise(F.array_join(F.slice(F.regexp_extract_all(whole, F.lit(_WORD), F.lit(0)), 1, F.greatest("words", F.lit(1))), " "))
+    rows = rows.select("row", F.explode(kinds).alias("words")).select("row", "words", text.alias("text"))
+    made = {"text": F.col("text"), "n_chars": F.when(F.col("words") < 0, F.col("row")["n_chars"]).otherwise(F.length("text").cast("long"))} if "n_chars" in docs.columns else {"text": F.col("text")}
+    return rows.select(*[made.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

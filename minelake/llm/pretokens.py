@@ -1,10 +1,14 @@
 """Exact fast encoding through per-worker caches of pre-tokens.
 
 A byte-pair model encodes each pre-token on its own, so the ids of a text are
-the ids of its pre-tokens in order. For texts of Latin-1 characters without
-special strings, pre-tokens are cut with one compiled pattern and looked up in
-a dictionary; a miss asks the tokenizer's model. Any other text goes through the
-library whole. Both give the library's ids.
+the ids of its pre-tokens in order. Pre-tokens are looked up in a dictionary; a miss
+asks the tokenizer's model. Texts of Latin-1 characters are cut with one compiled
+pattern, any other text with the file's own normaliser and pre-tokenizer. Only a text that
+holds one of the file's special strings goes through the library whole. All three give
+the library's ids.
+
+Null is no text here (callers pass ""); equal texts give equal pre-tokens; a cache holds a
+bounded number of pre-tokens whatever the texts.
 """
 
 from __future__ import annotations
@@ -52,14 +56,22 @@ class Misses(dict):
             self.update(self.first)
 
 
-def plain(text: str, specials: list[str]) -> bool:
-    """Whether the pattern path gives the library's pre-tokens."""
-    if not text.isascii():
+class Cutter:
+    """text -> its pre-tokens (of the normalised text), or None where the library must encode it whole."""
+
+    def __init__(self, tok, specials: list[str], pattern: re.Pattern, lower: bool):
+        self.tok, self.specials, self.pattern, self.lower = tok, specials, pattern, lower
+
+    def __call__(self, text: str) -> list[str] | None:
+        if any(s in text for s in self.specials):
+            return None
         try:
-            text.encode("latin-1")
+            text.isascii() or text.encode("latin-1")
         except UnicodeEncodeError:
-            return False
-    return not any(s in text for s in specials)
+            if self.tok.normalizer is not None:
+                text = self.tok.normalizer.normalize_str(text)
+            return [text[s:e] for _, (s, e) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
+        return self.pattern.findall(text.lower() if self.lower else text)
 
 
 def load(path: str):

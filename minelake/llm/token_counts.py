@@ -4,7 +4,8 @@ First tier: a compact table of frequent pre-token lengths, broadcast. It is
 gathered from the whole corpus without shuffling pre-tokens: each task counts
 its own and reports only those with a share of at least 1 / ``SHARE`` of its
 pre-tokens (at most ``SHARE`` rows a task); the ``TABLE`` most frequent are
-encoded once. Second tier: a cache per Python worker for everything else.
+encoded once. Second tier: a cache per Python worker for everything else. Both serve every
+text, of whatever script; only a text that holds a special string of the file is encoded whole.
 Counts never depend on either table's content. Memory is bounded by ``TABLE``
 and the cache limit.
 
@@ -20,20 +21,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minelake.llm.pretokens import BYTE_LEVEL, Misses, load, plain
+from minelake.llm.pretokens import BYTE_LEVEL, Cutter, Misses, load
 
 SHARE, TABLE = 4096, 32768
 
 _worker: dict = {}
 
 
-def _frequent(specials: list[str]):
+def _frequent(path: str):
     def run(batches):
+        cut = _tiers(path, None)[1]
         seen, total, floor = Counter(), 0, 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                if text and plain(text, specials):
-                    found = BYTE_LEVEL.findall(text)
+                found = cut(text) if text else None
+                if found:
                     total += len(found)
                     seen.update(found)
                     if len(seen) > 300_000:  # lossy counting: drop what is rare so far
@@ -46,25 +48,24 @@ def _frequent(specials: list[str]):
 
 
 def _tiers(path: str, table):
-    """The worker's tokenizer, special strings and look-up, kept between tasks."""
-    key, words, lengths = table
+    """The worker's tokenizer, cutter and look-up, kept between tasks."""
+    key, words, lengths = table or (None, "", b"")
     if _worker.get("key") != (path, key):
         tok, model, specials = load(path)
         first = dict(zip(words.split("\x00"), lengths)) if words else {}
-        _worker.update(key=(path, key), got=(tok, specials, Misses(model, len, first)))
+        _worker.update(key=(path, key), got=(tok, Cutter(tok, specials, BYTE_LEVEL, False), Misses(model, len, first)))
     return _worker["got"]
 
 
 def _count(path: str, table):
     def run(batches):
-        tok, specials, cache = _tiers(path, table.value)
+        tok, cut, cache = _tiers(path, table.value)
         for batch in batches:
             n = []
             for text in batch.column(1).to_pylist():
-                if not text:
-                    n.append(0)
-                elif plain(text, specials):
-                    n.append(sum(map(cache.__getitem__, BYTE_LEVEL.findall(text))))
+                found = cut(text) if text else []
+                if found is not None:
+                    n.append(sum(map(cache.__getitem__, found)))
                     cache.trim()
                 else:
                     n.append(len(tok.encode(text, add_special_tokens=False).ids))
@@ -75,9 +76,9 @@ def _count(path: str, table):
 def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) per row."""
     spark = docs.sparkSession
-    tok, model, specials = load(path)
+    _, model, _ = load(path)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    top = (docs.select(text.alias("text")).mapInArrow(_frequent(specials), "w string, c long")
+    top = (docs.select(text.alias("text")).mapInArrow(_frequent(path), "w string, c long")
            .where("w NOT LIKE '%\\0%'").groupBy("w").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "w").limit(TABLE))
     words = [r.w for r in top.select("w").collect()]  # at most TABLE pre-tokens
     lengths = Misses(model, len)

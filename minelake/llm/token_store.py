@@ -7,12 +7,14 @@ Layout of a store (one folder, any file system pyarrow can write):
   4. Shards follow ascending doc_id and hold at most ``SHARD_IDS`` ids (a longer
   document is a shard of its own).
 * ``index-<part>-<attempt>.npz``: minimal perfect hash index of the keys of one
-  hash partition; per key number a 32-bit fingerprint, shard, offset and length.
+  hash partition; per key number a 32-bit fingerprint, shard, offset and length. Keys
+  whose 64-bit hashes are equal are listed themselves.
 * a manifest of shards and index parts, and the catalogue of keys, as Parquet
   that Spark commits. A file of a failed or repeated attempt is in no manifest.
 
 A key is (doc_id, occurrence): rows that repeat a doc_id count up from 0 in text
-hash order, null doc_id is a key of its own. Null text has only the end id.
+hash order, null doc_id is a key of its own. A keyed read opens its index part and the byte
+ranges of its documents (the whole shard where they are half of it or more). Null text has only the end id.
 Extra columns are ignored.
 
 Scale: one shuffle of the texts (by doc_id ranges); ids go from the task to its
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 
 from minelake.llm import perfect_hash
 from minelake.llm.common import U, mix64, shared_folder, written
-from minelake.llm.pretokens import LOWER_WORDS, Misses, load, plain
+from minelake.llm.pretokens import LOWER_WORDS, Cutter, Misses, load
 
 SHARD_IDS = 4 << 20
 INDEX_KEYS = 50_000
@@ -52,15 +54,10 @@ def _pack(size: int, ids: int) -> bytes:
     return _HEADER.pack(MAGIC, size, ids)
 
 
-def _ids(data: bytes, name: str) -> np.ndarray:
-    magic, size, total = _HEADER.unpack_from(data)
-    if magic != MAGIC or len(data) != _HEADER.size + size * total:
-        raise ValueError(f"damaged shard {name}")
-    return np.frombuffer(data, "<u2" if size == 2 else "<u4", offset=_HEADER.size)
-
-
 def _open(folder: str):
+    """pyarrow's file system of a folder; Hadoop's names of a store mean the same store."""
     folder = re.sub("^file:/+", "/", folder)
+    folder = re.sub("^s3[an]:", "s3:", folder)
     return (pafs.LocalFileSystem(), folder) if folder.startswith("/") else pafs.FileSystem.from_uri(folder)
 
 
@@ -77,20 +74,40 @@ def _get(folder: str, name: str) -> bytes:
         return f.read()
 
 
+def _get_ids(folder: str, name: str, offsets: list[int], counts: list[int]) -> list[np.ndarray]:
+    """The ids of some documents of a shard: byte ranges of it, or all of it where they are most of it."""
+    system, path = _open(folder)
+    with system.open_input_file(f"{path}/{name}") as f:
+        total_bytes = f.size()
+        magic, size, total = _HEADER.unpack(f.read(_HEADER.size))
+        if magic != MAGIC or total_bytes != _HEADER.size + size * total:
+            raise ValueError(f"damaged shard {name}")
+        kind = "<u2" if size == 2 else "<u4"
+        if 2 * sum(counts) >= total:
+            ids = np.frombuffer(f.read(), kind)
+            return [ids[o:o + n] for o, n in zip(offsets, counts, strict=True)]
+        out = []
+        for o, n in zip(offsets, counts, strict=True):
+            f.seek(_HEADER.size + o * size)
+            out.append(np.frombuffer(f.read(n * size), kind))
+        return out
+
+
 def encoder(path: str, lower_words: bool):
     """text -> id bytes of the tokenizer file, and the bytes per id."""
     if _worker.get("path") != path:
         tok, model, specials = load(path)
         size = 2 if tok.get_vocab_size() <= 1 << 16 else 4
         cache = Misses(model, lambda found: b"".join([t.id.to_bytes(size, "little") for t in found]))
-        _worker.update(path=path, got=(tok, specials, size, cache))
-    tok, specials, size, cache = _worker["got"]
+        _worker.update(path=path, got=(tok, Cutter(tok, specials, LOWER_WORDS, True), size, cache))
+    tok, cut, size, cache = _worker["got"]
     kind = "<u2" if size == 2 else "<u4"
 
     def encode(text: str) -> bytes:
-        if lower_words and plain(text, specials):
+        found = cut(text) if lower_words else None
+        if found is not None:
             cache.trim()
-            return b"".join(map(cache.__getitem__, LOWER_WORDS.findall(text.lower())))
+            return b"".join(map(cache.__getitem__, found))
         return np.array(tok.encode(text, add_special_tokens=False).ids, kind).tobytes()
 
     return encode, size
@@ -152,11 +169,15 @@ def _with_part(parts: int):
 def _build_index(folder: str):
     def run(table: pa.Table) -> pa.Table:
         keys = np.ascontiguousarray(table["key"].to_numpy()).view(U)
-        sizes, bits = perfect_hash.build(keys)
-        at = np.empty(len(keys), np.int64)
-        at[perfect_hash.lookup(keys, sizes, bits)] = np.arange(len(keys))
+        found, rest = perfect_hash.build(keys)
+        at = np.full(len(keys), -1, np.int64)
+        placed = np.setdiff1d(np.arange(len(keys)), rest)
+        at[found.lookup(keys[placed])] = placed
+        at[len(placed):] = rest  # keys with equal hashes: numbered after the others, told apart by themselves
+        again = table.select(["doc_id", "occurrence"]).take(pa.array(rest))
         buf = io.BytesIO()
-        np.savez(buf, sizes=sizes, bits=np.packbits(bits), fingerprint=(mix64(keys) >> U(32)).astype(np.uint32)[at],
+        np.savez(buf, sizes=found.sizes, words=found.words, samples=found.samples, fingerprint=(mix64(keys) >> U(32)).astype(np.uint32)[at],
+                 rest=np.array(json.dumps(list(zip(*(again[c].to_pylist() for c in ("doc_id", "occurrence")), strict=True)))),
                  **{c: table[c].to_numpy()[at] for c in ("part", "shard", "offset", "n")})
         part = table["index_part"][0].as_py()
         name = f"index-{part:06d}-{uuid.uuid4().hex[:8]}.npz"
@@ -170,8 +191,13 @@ def _find(folder: str):
     def run(table: pa.Table) -> pa.Table:
         index = np.load(io.BytesIO(_get(folder, table["index_file"][0].as_py())))
         keys = np.ascontiguousarray(table["key"].to_numpy()).view(U)
-        bits = np.unpackbits(index["bits"], count=int(index["sizes"].sum())).astype(bool)
-        at = perfect_hash.lookup(keys, index["sizes"], bits)
+        held = perfect_hash.Hash(index["sizes"], index["words"], index["samples"])
+        at = held.lookup(keys)
+        rest = {tuple(k): i for i, k in enumerate(json.loads(str(index["rest"])))}
+        if rest:
+            first = len(index["fingerprint"]) - len(rest)
+            for i, k in enumerate(zip(table["doc_id"].to_pylist(), table["occurrence"].to_pylist(), strict=True)):
+                at[i] = first + rest[k] if k in rest else at[i]
         known = (at >= 0) & (index["fingerprint"][at] == (mix64(keys) >> U(32)).astype(np.uint32))
         out = {c: pa.array(index[c][at], mask=~known) for c in ("part", "shard", "offset", "n")}
         return pa.table({"doc_id": table["doc_id"], "occurrence": table["occurrence"], **out})
@@ -179,13 +205,11 @@ def _find(folder: str):
 
 
 def _payload(folder: str, with_ids: bool):
-    """Read a shard once and cut out the documents asked for."""
+    """Cut the documents asked for out of their shard."""
     def run(table: pa.Table) -> pa.Table:
-        name = table["file"][0].as_py()
-        ids = _ids(_get(folder, name), name)
         crc, lists = [], []
-        for offset, n in zip(table["offset"].to_pylist(), table["n"].to_pylist()):
-            own = ids[offset:offset + n].astype("<u4")
+        for own in _get_ids(folder, table["file"][0].as_py(), table["offset"].to_pylist(), table["n"].to_pylist()):
+            own = own.astype("<u4")
             crc.append(zlib.crc32(own.tobytes()))
             lists.append(own if with_ids else None)
         out = {c: table[c] for c in ("doc_id", "occurrence", "start")} | {"n_tokens": table["n"].cast(pa.int64()), "ids_crc32": pa.array(crc, pa.int64())}

@@ -130,13 +130,13 @@ def test_components_of_a_long_path(spark):
 
 def test_decontaminate(spark, docs, none):
     rx = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    bench = spark.createDataFrame([(1, " ".join(f"Word{k}" for k in range(20, 45))), (2, "short, ONE!"), (3, None), (10, "..."), (None, "y"),
+    bench = spark.createDataFrame([(1, " ".join(f"Word{k}" for k in range(20, 45))), (2, "short, ONE!"), (3, None), (10, "..."), (None, "Y"),
                                    (20, " ".join(f"word{k}" for k in range(30, 42)))], "item_id long, text string")
     windows = {}
-    for r in bench.where("item_id IS NOT NULL").collect():
+    for r in bench.collect():  # a row without item_id is an item too
         w = rx.findall(lower(r.text))
         for k in range(max(1, len(w) - 9) if w else 0):
-            windows.setdefault(tuple(w[k:k + 10]), set()).add(str(r.item_id))
+            windows.setdefault(tuple(w[k:k + 10]), set()).add(str(r.item_id if r.item_id is not None else decontaminate.NO_ID))
     want = []
     for r in docs.collect():
         w, hit, items = rx.findall(lower(r.text)), set(), set()
@@ -149,7 +149,7 @@ def test_decontaminate(spark, docs, none):
     for size in (1 << 20, 100):
         rows = decontaminate.benchmark_hits(docs, bench, block_bytes=size).collect()
         assert Counter((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in rows) == Counter(want)
-        clean = decontaminate.benchmark_hits(docs, bench, block_bytes=size, keep=docs.columns).where("NOT contaminated").drop("contaminated")
+        clean = decontaminate.clean_documents(docs.withColumn("bad_id", F.lit(1)), bench, block_bytes=size).drop("bad_id")
         assert clean.columns == docs.columns and clean.count() == sum(not w[-1] for w in want)
     hit = [r for r in decontaminate.benchmark_hits(docs, bench).collect() if r.doc_id == 8][0]
     assert [tuple(s) for s in hit.spans] == [(0, 9)]
@@ -211,9 +211,105 @@ def test_token_store_round_trip(spark, docs, none):
 
 
 def test_perfect_hash_is_minimal():
-    keys = np.unique(np.random.default_rng(1).integers(0, 2**63, 20_000).astype(np.uint64))
-    sizes, bits = perfect_hash.build(keys)
-    assert sorted(perfect_hash.lookup(keys, sizes, bits)) == list(range(len(keys)))
+    keys = common.mix64(np.arange(5000, dtype=np.uint64))
+    found, rest = perfect_hash.build(keys)
+    assert len(rest) == 0 and sorted(found.lookup(keys)) == list(range(len(keys)))
+    none, rest = perfect_hash.build(keys[:0])
+    assert len(rest) == 0 and none.lookup(keys[:5]).tolist() == [-1] * 5
+
+
+def test_perfect_hash_of_equal_keys_ends():
+    keys = np.array([5, 5, 7, 9, 9, 9], np.uint64)
+    found, rest = perfect_hash.build(keys)
+    assert sorted(rest.tolist()) == [0, 1, 3, 4, 5] and found.lookup(keys[2:3]).tolist() == [0]
+
+
+def test_keys_with_equal_hashes_are_told_apart(spark, monkeypatch):
+    """Every key of the store hashes alike: the index falls back to the keys themselves."""
+    from minelake.llm import token_store
+
+    folder = common.shared_folder(spark, "equal")
+    n = 50
+    table = pa.table({"doc_id": pa.array([None, *range(1, n)], pa.int64()), "occurrence": [k % 3 for k in range(n)], "index_part": [0] * n,
+                      "key": [77 if k % 2 else k for k in range(n)], "part": [0] * n, "shard": [k for k in range(n)], "offset": [10 * k for k in range(n)], "n": [k for k in range(n)]})
+    built = token_store._build_index(folder)(table)
+    asked = table.select(["doc_id", "occurrence", "key"]).append_column("index_file", pa.array([built["index_file"][0].as_py()] * n))
+    found = token_store._find(folder)(asked)
+    assert found["shard"].to_pylist() == list(range(n)) and found["offset"].to_pylist() == [10 * k for k in range(n)]
+    unknown = pa.table({"doc_id": pa.array([1000], pa.int64()), "occurrence": [0], "key": [77], "index_file": [built["index_file"][0].as_py()]})
+    assert token_store._find(folder)(unknown)["shard"].to_pylist() == [None]
+
+
+def test_keyed_read_opens_byte_ranges(spark, docs, monkeypatch):
+    store = write_tokens(docs, WORD_FILE, 1)
+    every = {(r.doc_id, r.occurrence): r for r in store.fetch(store.catalogue, with_ids=True).collect()}
+    one = store.catalogue.where("doc_id = 8")
+    got = store.fetch(one, with_ids=True).collect()
+    assert len(got) == 1 and got[0] == every[(8, 0)]
+    from minelake.llm import token_store
+
+    place = store.find(one).join(store.shards, ["part", "shard"]).first()
+    read = []
+    real = token_store._open
+
+    class Counted:
+        def __init__(self, f):
+            self.f = f
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            self.f.close()
+
+        def read(self, n=None):
+            data = self.f.read(n)
+            read.append(len(data))
+            return data
+
+        def __getattr__(self, name):
+            return getattr(self.f, name)
+
+    class System:
+        def open_input_file(self, path):
+            return Counted(real(store.folder)[0].open_input_file(path))
+
+    monkeypatch.setattr(token_store, "_open", lambda folder: (System(), real(folder)[1]))
+    ids = token_store._get_ids(store.folder, place.file, [place.offset], [place.n])
+    assert ids[0].tolist() == got[0].ids and sum(read) == 16 + 2 * place.n
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=60))
+def test_cut_pre_tokens_of_any_script(text):
+    for path, pattern, low in ((WORD_FILE, pretokens.LOWER_WORDS, True), (BYTE_FILE, pretokens.BYTE_LEVEL, False)):
+        if (path, "cut") not in _loaded:
+            tok, model, specials = pretokens.load(path)
+            _loaded[path, "cut"] = tok, pretokens.Cutter(tok, specials, pattern, low), pretokens.Misses(model, lambda found: [t.id for t in found])
+        tok, cut, ids = _loaded[path, "cut"]
+        found = cut(text)
+        if found is not None:
+            assert [i for w in found for i in ids[w]] == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_roles_with_line_feeds(spark):
+    rows = [(1, 0, "us\ner", "hi"), (1, 1, "a&#10;b\n", "x\ny"), (1, 2, "\n", ""), (2, 0, "&amp;\n&lt;", "&#10;")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    back = chat_format.read_back(chat_format.format_chats(df)).collect()
+    got = {(r.conv_id, k): (t.role, t.text) for r in back for k, t in enumerate(r.turns)}
+    assert got == {(c, t): (role, text) for c, t, role, text in rows}
+
+
+def test_a_doc_id_with_two_texts_keeps_both_links(spark):
+    a, z = (" ".join(f"{p}{k}" for k in range(50)) for p in "az")
+    rows = [(5, a), (5, z), (6, a + " one"), (7, z + " one"), (8, " ".join(f"q{k}" for k in range(50))), (9, z), (5, None)]
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {5: 5, 6: 5, 7: 5, 8: 8, 9: 5}
+    assert [r.kept for r in got if r.doc_id == 7] == [False] and len(got) == len(rows)
+    # a repeated doc_id whose second set is the smaller node, and one that bridges two groups
+    rows = [(50, z), (50, a), (40, a + " one"), (60, z + " one")]
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.component_id, r.kept) for r in got} == {40: (40, True), 50: (40, False), 60: (40, False)}
 
 
 def test_mixing(spark, docs, none):

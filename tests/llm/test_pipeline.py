@@ -36,3 +36,18 @@ def test_edge_rows_and_empty_docs(spark, docs, none):
             out = stage(spark, table, SF)
             assert out.count() >= 0
             assert name == "token_ids" or out.columns == table.columns
+
+
+def test_extra_columns_of_any_name_come_back(spark, docs):
+    """Names that stages use for themselves, as extra columns of documents."""
+    from pyspark.sql import functions as F
+
+    names = ["score", "lang_pred", "target", "part", "whole", "source_size", "cut_bin", "mix_size", "mix_bin", "contaminated", "row", "words", "size", "bin",
+             "hits", "bad_id", "component_id", "kept", "plan_source", "row_source", "doc", "a name"]
+    table = docs.select("doc_id", "text", "lang", "source", "n_chars", "t", "keys", *[F.lit(k).alias(n) for k, n in enumerate(names)])
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, table, SF)
+        assert out.columns == table.columns, name
+        rows = out.select(*[F.col(f"`{n}`") for n in names]).distinct().collect()
+        assert [tuple(r) for r in rows] == [tuple(range(len(names)))], name
+    assert pipeline.STAGES[-1][1](spark, table, SF).count() == table.count()
