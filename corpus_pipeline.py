@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minelake.llm.common import read, ship, written
-from minelake.llm.decontaminate import benchmark_hits
+from minelake.llm.decontaminate import clean_documents
 from minelake.llm.language_id import predict, train
 from minelake.llm.minhash_dedup import near_duplicates
 from minelake.llm.mixing import mixed_documents
@@ -34,8 +34,10 @@ LEAST_SCORE = 0.34
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    scored = predict(docs, train(docs.where(~held_out())), docs.columns)
-    return scored.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    # the row travels as one struct: no column name can clash with the working ones
+    rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    scored = predict(rows, train(docs.where(~held_out())), ["doc"])
+    return scored.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +48,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    hits = benchmark_hits(docs, read(spark, sf_dir, "benchmark"), keep=docs.columns)
-    return hits.where("NOT contaminated").select(*docs.columns)
+    return clean_documents(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
