@@ -70,7 +70,8 @@ def _neighbour_radius(long: DataFrame, k: int, bucket_rows: int) -> DataFrame:
     back = [F.lit(0.0)] + [F.col("x") - F.lag("x", j).over(w) for j in range(1, k + 1)]
     ahead = [F.lit(0.0)] + [F.lead("x", j).over(w) - F.col("x") for j in range(1, k + 1)]
     dealt = dealt.select("*", F.array(*back).alias("_back"), F.array(*ahead).alias("_ahead")).where(F.col("_bucket") == F.col("_own"))
-    dealt = dealt.join(bounded_broadcast(per), [dealt[c].eqNullSafe(per[c]) for c in keys]).select(dealt["*"], "_n_c").where("_n_c > 1")
+    per = bounded_broadcast(per.select(F.col("feature").alias("_pf"), F.col("_cls").alias("_pc"), "_n_c"))
+    dealt = dealt.join(per, (F.col("feature") == F.col("_pf")) & (F.col("_cls") == F.col("_pc"))).drop("_pf", "_pc").where("_n_c > 1")
     many = F.least(F.lit(k), F.col("_n_c") - 1).cast("int")
     # the many-th nearest: j behind and the rest ahead, the least of the greater distances
     spans = F.transform(F.sequence(F.lit(0), many), lambda j: F.greatest(F.get("_back", j), F.get("_ahead", many - j)) +

@@ -282,17 +282,22 @@ def two_pass_extraction(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("measurement_aliases", f"""
-SELECT {QS._KEYS}, round(CASE WHEN l_linenumber % 3 = 0 THEN l_quantity WHEN l_linenumber % 3 = 1 THEN l_extendedprice / 2 ELSE l_quantity / 4 END, 6) AS radius,
-       round(CASE WHEN l_linenumber % 2 = 0 THEN l_discount ELSE l_tax END, 6) AS perimeter, round(l_tax, 6) AS fractal_dimension FROM lineitem""")
+SELECT {QS._KEYS}, CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber % 3 = 0 THEN round(l_quantity, 6) WHEN l_linenumber % 3 = 1 THEN round(l_extendedprice / 2, 6)
+         ELSE round(l_quantity / 4, 6) END AS radius,
+       round(CASE WHEN l_linenumber = 7 THEN l_discount ELSE l_tax END, 6) AS perimeter, CASE WHEN l_linenumber <> 7 THEN round(l_tax, 6) END AS fractal_dimension FROM lineitem""")
 def measurement_aliases(spark: SparkSession, sf: str) -> DataFrame:
-    """FN18: size, diameter, circumference and fractal become radius, perimeter and fractal_dimension;
-    size beats diameter beats radius."""
+    """FN18: size, diameter, fractal and (in texts of free pairs) circumference become radius,
+    fractal_dimension and perimeter; size beats diameter beats radius."""
     li = read(spark, sf, "lineitem")
-    named = lambda name, c, when=None: (lambda t: t if when is None else F.when(when, t))(F.concat(F.lit(f"{name}: "), c.cast("string")))
-    third, odd = F.col("l_linenumber") % 3, F.col("l_linenumber") % 2
-    text = F.concat_ws("; ", named("size", F.col("l_quantity"), third == 0), named("diameter", F.col("l_extendedprice"), third != 2),
-                       named("radius", F.col("l_quantity") / 4), named("circumference", F.col("l_discount"), odd == 0),
-                       named("perimeter", F.col("l_tax")), named("fractal", F.col("l_tax")))
+    third = F.col("l_linenumber") % 3
+
+    def named(name, c, when=None):
+        text = F.concat(F.lit(f"{name}: "), c.cast("string"))
+        return text if when is None else F.when(when, text)
+
+    rule = F.concat_ws("; ", named("size", F.col("l_quantity"), third == 0), named("diameter", F.col("l_extendedprice"), third != 2),
+                       named("radius", F.col("l_quantity") / 4), named("perimeter", F.col("l_tax")), named("fractal", F.col("l_tax")))
+    text = F.when(F.col("l_linenumber") == 7, named("circumference", F.col("l_discount"))).otherwise(rule)
     t = TX.add_measurements(li.select(*QS.KEYS, text.alias("text")), "text", "m", standardise=True)
     return t.select(*QS.KEYS, *[r6(F.element_at("m", F.lit(k))).alias(k) for k in ("radius", "perimeter", "fractal_dimension")])
 
