@@ -31,8 +31,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from minelake.llm.common import written
+
 MAX_N, ALPHABET = 3, 62
-FIT_ROWS, LANDMARKS = 300, 40
+FIT_ROWS, LANDMARKS, FIT_BLOCK = 300, 40, 256
 RIDGE, SHARPNESS = 1.0, 6.0
 
 
@@ -116,10 +118,15 @@ def fit(rows: list[tuple[str, str]]) -> dict | None:
     spectrum, vectors = np.linalg.eigh((land @ land.T).astype(np.float64))
     ok = spectrum > 1e-6 * spectrum.max()
     whiten = vectors[:, ok] / np.sqrt(spectrum[ok])
-    x, norm = matrix([t for t, _ in rows], used)
-    z = ((x / norm[:, None]) @ land.T).astype(np.float64) @ whiten
-    y = np.array([[1.0 if lang == other else -1.0 for other in langs] for _, lang in rows])
-    w = np.linalg.solve(z.T @ z + RIDGE * np.eye(z.shape[1]), z.T @ y)
+    # normal equations, added up in blocks: the driver holds one block of the n-gram matrix
+    left, right = RIDGE * np.eye(whiten.shape[1]), np.zeros((whiten.shape[1], len(langs)))
+    for s in range(0, len(rows), FIT_BLOCK):
+        block = rows[s:s + FIT_BLOCK]
+        x, norm = matrix([t for t, _ in block], used)
+        z = ((x / norm[:, None]) @ land.T).astype(np.float64) @ whiten
+        left += z.T @ z
+        right += z.T @ np.array([[1.0 if lang == other else -1.0 for other in langs] for _, lang in block])
+    w = np.linalg.solve(left, right)
     return {"letters": letters, "langs": langs, "used": used, "weights": (land.T.astype(np.float64) @ (whiten @ w)).astype(np.float32)}
 
 
@@ -150,14 +157,31 @@ def _score(model):
     return run
 
 
+def fit_sample(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """(lang, k, text): per language the ``fit_rows`` distinct texts with the smallest hashes.
+
+    Only (language, hash) pairs are shuffled for the choice, and of a language with many texts
+    only the hashes below a bound that leaves some four times ``fit_rows`` meet in one task."""
+    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", F.xxhash64("text").alias("h"), "text")
+    pairs = written(rows.select("lang", "h").distinct(), "hashes")
+    per = pairs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    share = F.least(F.lit(1.0), F.lit(4.0 * fit_rows + 100) / F.col("n"))
+    bound = F.when(share < 1, (F.lit(-(2.0 ** 63)) + share * 2.0 ** 64).cast("long")).otherwise(F.lit((1 << 63) - 1))
+    near = pairs.join(bounded(per.select("lang", bound.alias("most"))), "lang").where("h <= most")
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = bounded(near.withColumn("k", F.row_number().over(order)).where(F.col("k") <= fit_rows).select("lang", "h", "k"))
+    return rows.join(chosen, ["lang", "h"]).groupBy("lang", "k").agg(F.min("text").alias("text"))
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """Written, so that its bytes decide whether it is broadcast."""
+    return written(df, "side")
+
+
 def train(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> dict | None:
     """Fit on ``labelled`` (text, lang): at most ``fit_rows`` distinct texts a language
     reach the driver; they are chosen by hash, so no text is shuffled for the choice."""
-    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", F.xxhash64("text").alias("h"), "text")
-    order = Window.partitionBy("lang").orderBy("h")
-    chosen = rows.select("lang", "h").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= fit_rows)
-    sample = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "k").agg(F.min("text").alias("text"))
-    return fit([(r.text, r.lang) for r in sample.orderBy("lang", "k").collect()])
+    return fit([(r.text, r.lang) for r in fit_sample(labelled, fit_rows).orderBy("lang", "k").collect()])
 
 
 def predict(docs: DataFrame, model: dict | None, keep: list[str]) -> DataFrame:

@@ -166,20 +166,43 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
 
 
 def oracle_sql(table: str = "documents", threshold: float = THRESHOLD) -> str:
-    """The same scan in DuckDB SQL."""
+    """The same scan in DuckDB SQL, passages included."""
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
-    known = ", ".join(f"({quoted(n)}, [{', '.join(map(quoted, bigrams(t)))}])" for n, t in TEMPLATES)
+    listed = lambda t: "[" + ", ".join(map(quoted, bigrams(t))) + "]"
+    known = ", ".join(f"({quoted(n)}, {listed(t)})" for n, t in TEMPLATES)
+    inner = ", ".join(f"({k}, {quoted(n)}, {listed(t)}, {len(re.sub('[^a-z0-9]+', ' ', t.lower()).split()) - 1}, {int(_bounds(len(bigrams(t)), threshold)[0])})"
+                      for k, (n, t) in enumerate(TEMPLATES + PASSAGES) if bigrams(t))
+    words = lambda c: f"string_split(trim(regexp_replace(lower({c}), '[^a-z0-9]+', ' ', 'g')), ' ')"
     return f"""
 WITH tpl(license, tg) AS (VALUES {known}),
 units AS (SELECT doc_id, unnest(list_distinct(list_concat(string_split(text, chr(10)), regexp_split_to_array(text, '\\n[ \\t\\r]*\\n'), [text]))) AS unit
           FROM {table} WHERE text IS NOT NULL),
-words AS (SELECT doc_id, unit, string_split(trim(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM units),
+words AS (SELECT doc_id, unit, {words('unit')} AS w FROM units),
 grams AS (SELECT doc_id, unit, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g FROM words WHERE len(w) > 1),
 hits AS (SELECT doc_id, unit, license, 2.0 * len(list_intersect(g, tg)) / (len(g) + len(tg)) AS dice
          FROM grams JOIN tpl ON len(g) BETWEEN {threshold / (2 - threshold)} * len(tg) AND {(2 - threshold) / threshold} * len(tg)),
 ok AS (SELECT * FROM hits WHERE dice >= {threshold}),
-per AS (SELECT doc_id, count(DISTINCT unit) AS n_units, count(DISTINCT license) AS n_licenses, max(dice) AS dice,
-               string_agg(DISTINCT license, ',' ORDER BY license) AS licenses FROM ok GROUP BY doc_id),
-best AS (SELECT o.doc_id, min(o.license) AS license FROM ok o JOIN per p ON o.doc_id IS NOT DISTINCT FROM p.doc_id AND o.dice = p.dice GROUP BY o.doc_id)
+tp(pid, license, tg, n, need) AS (VALUES {inner}),
+tm AS (SELECT pid, unnest(tg) AS gram FROM tp),
+txt AS (SELECT row_number() OVER () AS rid, doc_id, text FROM {table} WHERE text IS NOT NULL),
+tw AS MATERIALIZED (SELECT rid, [w[i] || ' ' || w[i + 1] for i in range(1, len(w))] AS g FROM (SELECT rid, {words('text')} AS w FROM txt)),
+st AS MATERIALIZED (SELECT rid, unnest(g) AS gram, generate_subscripts(g, 1) AS i FROM tw),
+near AS (SELECT rid, pid FROM st JOIN tm USING (gram) GROUP BY rid, pid HAVING count(DISTINCT gram) >= (SELECT need FROM tp WHERE tp.pid = tm.pid)),
+win AS (SELECT st.rid, st.i, n, license, tg, list_distinct(g[st.i:st.i + n - 1]) AS own
+        FROM near JOIN tp USING (pid) JOIN st USING (rid) JOIN tm ON tm.pid = near.pid AND tm.gram = st.gram JOIN tw ON tw.rid = st.rid),
+hit AS MATERIALIZED (SELECT * FROM (SELECT rid, i, n, license, len(list_intersect(own, tg)) AS common, 2.0 * len(list_intersect(own, tg)) / (len(own) + len(tg)) AS dice FROM win) WHERE dice >= {threshold}),
+kept AS (SELECT rid, dice, license FROM hit h WHERE NOT EXISTS (SELECT 1 FROM hit o WHERE o.rid = h.rid AND o.license <> h.license AND o.i < h.i + h.n AND h.i < o.i + o.n
+  AND (o.common > h.common OR (o.common = h.common AND (o.dice > h.dice OR (o.dice = h.dice AND o.license < h.license)))))),
+sen AS (SELECT DISTINCT rid, unnest(string_split(regexp_replace(text, '([.!?;:])[ \\t\\n\\x0B\\f\\r]+', '\\1' || chr(10), 'g'), chr(10))) AS s FROM txt WHERE rid IN (SELECT rid FROM near)),
+sg AS (SELECT rid, s, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS own FROM (SELECT rid, s, {words('s')} AS w FROM sen) WHERE len(w) > 1),
+sh AS (SELECT rid, dice, license FROM (SELECT rid, s, license, len(list_intersect(own, tg)) AS common, 2.0 * len(list_intersect(own, tg)) / (len(own) + len(tg)) AS dice
+         FROM sg JOIN near USING (rid) JOIN tp USING (pid)) WHERE dice >= {threshold}
+       QUALIFY row_number() OVER (PARTITION BY rid, s ORDER BY common DESC, dice DESC, license DESC) = 1),
+passage AS (SELECT DISTINCT doc_id, x.dice, x.license FROM (SELECT * FROM kept UNION ALL SELECT * FROM sh) x JOIN txt USING (rid)
+            WHERE NOT EXISTS (SELECT 1 FROM ok WHERE ok.doc_id IS NOT DISTINCT FROM txt.doc_id AND ok.license = x.license)),
+every AS (SELECT doc_id, unit, dice, license FROM ok UNION ALL SELECT doc_id, NULL, dice, license FROM passage),
+per AS (SELECT doc_id, count(DISTINCT unit) + count(DISTINCT license) FILTER (WHERE unit IS NULL) AS n_units, count(DISTINCT license) AS n_licenses, max(dice) AS dice,
+               string_agg(DISTINCT license, ',' ORDER BY license) AS licenses FROM every GROUP BY doc_id),
+best AS (SELECT o.doc_id, min(o.license) AS license FROM every o JOIN per p ON o.doc_id IS NOT DISTINCT FROM p.doc_id AND o.dice = p.dice GROUP BY o.doc_id)
 SELECT d.doc_id, coalesce(p.n_units, 0) AS n_units, coalesce(p.n_licenses, 0) AS n_licenses, b.license, round(p.dice, 6) AS dice, coalesce(p.licenses, '') AS licenses
 FROM (SELECT DISTINCT doc_id FROM {table}) d LEFT JOIN per p ON d.doc_id IS NOT DISTINCT FROM p.doc_id LEFT JOIN best b ON d.doc_id IS NOT DISTINCT FROM b.doc_id"""

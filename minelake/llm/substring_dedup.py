@@ -15,7 +15,8 @@ words, so windows are pre-aggregated without loss:
 * Runs are counted by anchor, with partial aggregates. An anchor seen once has
   only unrepeated windows and leaves (most of the corpus).
 * Equal runs hold equal windows: all documents but the first of a run lose all
-  of its windows. One occurrence per distinct run is left to compare.
+  of its windows. Runs learn their first document by a join on the run; a run that holds
+  a great share of all rows gets it by broadcast instead, so no task gathers one run. One occurrence per distinct run is left to compare.
 * Where an anchor has several distinct runs (edges of shared passages, edits),
   the Rabin-Karp hashes of their windows are counted: a window of the first
   document of a run goes when the same window starts in an earlier document.
@@ -39,6 +40,8 @@ from minelake.llm.common import U, Rolling, Words, mix64, signed, text_blocks, w
 
 #: words of an anchor gram
 GRAM = 8
+#: a run with more than one HEAVY_SHARE-th of all rows (and HEAVY_LEAST rows) is heavy: there are fewer than HEAVY_SHARE
+HEAVY_SHARE, HEAVY_LEAST = 1000, 1000
 
 RUNS = "doc_id long, t long, g long, r long, start int, n int"
 WINDOWS = "doc_id long, t long, g long, r long, i int, h long"
@@ -170,8 +173,13 @@ def substring_dedup(docs: DataFrame, width: int = 50, gram: int = GRAM) -> DataF
         runs.groupBy("g").agg(F.count(F.lit(1)).alias("c"), F.min("r").alias("r0"), F.max("r").alias("r1"))
         .where("c > 1").select("g", (F.col("r0") != F.col("r1")).alias("several")), "anchors")
     hits = written(runs.join(shared, "g"), "shared-runs")
-    first = written(hits.groupBy("g", "r").agg(F.min(F.struct("doc_id", "t", "start", "n")).alias("at")), "first-runs")
-    own = hits.join(first.select("g", "r", F.col("at.doc_id").alias("d0")), ["g", "r"])
+    first = written(hits.groupBy("g", "r").agg(F.min(F.struct("doc_id", "t", "start", "n")).alias("at"), F.count(F.lit(1)).alias("c")), "first-runs")
+    # runs with a great share of all rows are few: their first documents are broadcast and their rows stay in place
+    many = max(HEAVY_LEAST, hits.count() // HEAVY_SHARE)
+    heavy = written(first.where(F.col("c") > many).select(F.col("g").alias("hg"), F.col("r").alias("hr"), F.col("at.doc_id").alias("d0")), "heavy-runs")
+    marked = hits.join(F.broadcast(heavy), (F.col("g") == F.col("hg")) & (F.col("r") == F.col("hr")), "left").drop("hg", "hr")
+    light = marked.where("d0 IS NULL").drop("d0").join(first.where(F.col("c") <= many).select("g", "r", F.col("at.doc_id").alias("d0")), ["g", "r"])
+    own = marked.where("d0 IS NOT NULL").unionByName(light)
     later = own.where("doc_id > d0").select("doc_id", "t", F.col("start").alias("s"), (F.col("start") + F.col("n")).alias("e"))
     # one occurrence of each distinct run of an anchor with several: its window hashes
     reps = (first.join(shared.where("several").select("g"), "g").select("g", "r", "at.*")

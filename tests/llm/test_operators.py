@@ -56,6 +56,20 @@ def brute_substring(rows, width):
     return Counter(out)
 
 
+def test_substring_dedup_with_a_hot_passage(spark, monkeypatch):
+    """A passage of most documents: its runs go by the broadcast of heavy runs, with the same result."""
+    from minelake.llm import substring_dedup as sd
+
+    passage = " ".join(f"p{k}" for k in range(30))
+    rows = [(k, f"a{k} b{k} {passage} c{k} " + (" ".join(f"q{k // 2}x{j}" for j in range(20)))) for k in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for share in (sd.HEAVY_SHARE, 5):
+        monkeypatch.setattr(sd, "HEAVY_SHARE", share)
+        monkeypatch.setattr(sd, "HEAVY_LEAST", 5 if share == 5 else sd.HEAVY_LEAST)
+        got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup(table, 10).collect())
+        assert got == brute_substring(rows, 10)
+
+
 def test_substring_dedup(spark, docs, none):
     for table, width in ((small(spark), 50), (docs, 50), (docs, 3)):
         got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup(table, width).collect())
@@ -157,6 +171,42 @@ def test_decontaminate(spark, docs, none):
     assert decontaminate.benchmark_hits(docs, bench.where("1 = 0")).where("contaminated").count() == 0
 
 
+def test_language_weights_are_kernel_ridge():
+    """With every text a landmark, the folded weights give plain kernel ridge regression."""
+    rng = np.random.default_rng(2)
+    rows = [("".join(rng.choice(list("abc de" if k % 3 else "xyz de"), 40)), "ab"[k % 3 == 0]) for k in range(36)]
+    model = language_id.fit(rows)
+    grams = language_id.Grams(model["letters"])
+
+    def present(text):
+        marks = np.zeros(grams.size, np.uint8)
+        grams.present(text, marks)
+        return np.flatnonzero(marks)
+
+    sets = [present(t) for t, _ in rows]
+    kernel = lambda x, y: len(np.intersect1d(x, y)) / np.sqrt(len(x) * len(y))
+    k = np.array([[kernel(x, y) for y in sets] for x in sets])
+    y = np.array([[1.0 if lang == other else -1.0 for other in model["langs"]] for _, lang in rows])
+    alpha = np.linalg.solve(k + language_id.RIDGE * np.eye(len(rows)), y)
+    for text in ("abcabc dede", "xyz xyz yy", "a", "zed bed"):
+        own = present(text)
+        marks = np.zeros(grams.size, np.float64)
+        marks[own] = 1
+        plain = np.array([kernel(own, x) for x in sets]) @ alpha
+        assert np.allclose(marks[model["used"]] @ model["weights"] / np.sqrt(len(own)), plain, atol=1e-4)
+
+
+def test_language_fit_rows_are_the_smallest_hashes(spark):
+    """A language with most rows is cut to its smallest hashes without gathering it."""
+    rows = [(k, f"text number {k % 900}", "en" if k % 50 else "fr") for k in range(3000)] + [(1, None, "en"), (2, "x", None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for n in (3, 40):
+        got = {(r.lang, r.text) for r in language_id.fit_sample(table, n).collect()}
+        h = {r.text: r.h for r in table.select("text", F.xxhash64("text").alias("h")).distinct().collect()}
+        want = {(lang, t) for lang in ("en", "fr") for t in sorted({t for _, t, x in rows if x == lang and t}, key=h.get)[:n]}
+        assert got == want
+
+
 def test_language_id(spark, docs, none):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language_id.train(table.where(~queries.held_out()))
@@ -411,3 +461,11 @@ def test_license_scan_passages(spark):
     table = spark.createDataFrame([(i, t) for i, (_n, t) in enumerate(texts)], "doc_id long, text string")
     got = {r.doc_id: (r.license, r.licenses) for r in license_scan.license_scan(table).collect()}
     assert [got[i] for i in range(len(texts))] == [(n, n or "") for n, _t in texts]
+    # the registered SQL answers alike, also where a passage stands between others and in rows that share a doc_id
+    more = [(k, f"{a}. {b}\n\n{c}") for k, (a, b, c) in enumerate(zip(*([t for _n, t in texts][i:] for i in (3, 8, 0)), strict=False), 100)] + [(100, None), (101, ""), (None, texts[3][1])]
+    both = table.union(spark.createDataFrame(more, "doc_id long, text string"))
+    con = duckdb.connect()
+    con.register("documents", both.toArrow())
+    columns = "doc_id, n_units, n_licenses, license, dice, licenses"
+    want = Counter(con.sql(f"SELECT {columns} FROM ({license_scan.oracle_sql()})").fetchall())
+    assert Counter(tuple(r) for r in license_scan.license_scan(both).select(*columns.split(", ")).collect()) == want
