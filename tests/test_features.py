@@ -156,7 +156,8 @@ def test_suggestions_against_plain_python(spark):
         for items, support, group, order in records:
             if set(items) & set(have):
                 for c in set(items) - set(have):
-                    best[c] = min([*[best[c]] * (c in best), ((-support, order), (group, items))])
+                    found = ((-support, order), (group, items))
+                    best[c] = min(best.get(c, found), found)
         ranked = sorted(best.items(), key=lambda x: (x[1][0][0], x[0]))[:max(3, 5 - len(have) + 2)]
         want += [(q, i + 1, c, g, tuple(x for x in items if x in have)) for i, (c, (_, (g, items))) in enumerate(ranked)]
     queries = spark.createDataFrame([(q, h) for q, h in known.items()], "q int, known array<string>")
