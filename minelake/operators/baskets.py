@@ -11,12 +11,13 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import lexicons
 from ..functions.terms import normalise_term
+from ..plans.joins import shared_table
 
 
 def item_columns(df: DataFrame, marker: str = "Symptom") -> list[str]:
@@ -92,9 +93,10 @@ def warn_if_few(stats: DataFrame, min_transactions: int = 10) -> None:
 
 def value_distribution(df: DataFrame, col: str, out_count: str = "n",
                        out_share: str = "share") -> DataFrame:
-    """AGG13: counts and share per value (share over a window on the tiny result)."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias(out_count))
-    return counts.withColumn(out_share, F.col(out_count) / F.sum(out_count).over(Window.partitionBy()))
+    """AGG13: counts and share per value. The counts are written once; their total is one number."""
+    counts = shared_table(df.groupBy(col).agg(F.count(F.lit(1)).alias(out_count)), "values")
+    total = counts.agg(F.sum(out_count)).first()[0]
+    return counts.withColumn(out_share, F.col(out_count) / F.lit(total))
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:

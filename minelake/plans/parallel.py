@@ -12,12 +12,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-_SHUFFLES = ("Aggregate", "Join", "Sort", "Window", "Distinct", "Repartition", "Deduplicate")
+_SHUFFLES = {"Aggregate", "Join", "Sort", "Window", "Distinct", "Repartition", "RepartitionByExpression", "RebalancePartitions", "Deduplicate"}
+
+
+def _nodes(plan) -> set[str]:
+    """The operators of a logical plan, by name."""
+    children = plan.children()
+    return {plan.nodeName()}.union(*(_nodes(children.apply(i)) for i in range(children.size())))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    plan = df._jdf.queryExecution().analyzed().toString()
-    if any(word in plan for word in _SHUFFLES):
+    if _nodes(df._jdf.queryExecution().analyzed()) & _SHUFFLES:
         return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df

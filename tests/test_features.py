@@ -217,3 +217,14 @@ def test_small_helpers(spark):
     tables = CT.analyze(seqs, "y", "A", "B", min_support=0.5, longest=2)
     assert tables["class_patterns"].count() == 4 and {r.status for r in tables["comparison"].collect()} == {"common", "unique_A"}
     assert tables["totals"].first().total_sequences == 8 and tables["unique_A_top10"].count() == 2
+
+
+def test_spread_asks_the_operators_not_the_names(spark):
+    from minelake.plans.parallel import spread
+
+    df = spark.range(10, numPartitions=1).withColumn("JoinSort", F.lit("Window"))
+    assert spread(df, 3).rdd.getNumPartitions() == 3 and spread(df, 1) is df
+    grouped = df.groupBy("JoinSort").count()
+    assert spread(grouped, 3) is grouped
+    shares = {r.v: (r.n, r.share) for r in B.value_distribution(spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "v string"), "v").collect()}
+    assert shares == {"a": (2, 0.5), "b": (1, 0.25), None: (1, 0.25)}
