@@ -205,7 +205,7 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = 75, rows: int = ROWS,
         near = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
         return near.mapInArrow(_linked(threshold_pct), "a long, b long")
 
-    bitmaps = lead.select("id", "n", "bits").dropDuplicates(["id"])
+    bitmaps = lead.select("id", "n", "bits")
     sized = f"100 * least(n, m) >= {threshold_pct} * greatest(n, m)"
     links = docs.sparkSession.createDataFrame([], "a long, b long")
     if repeats:  # the sets of one doc_id belong together
