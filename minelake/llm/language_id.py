@@ -34,7 +34,9 @@ from pyspark.sql import types as T
 from minelake.llm.common import written
 
 MAX_N, ALPHABET = 3, 62
-FIT_ROWS, LANDMARKS, FIT_BLOCK = 300, 40, 256
+FIT_ROWS, LANDMARKS = 300, 40
+#: texts whose n-gram rows are in memory at once, in the fit and in a worker
+FIT_BLOCK, SCORE_BLOCK = 256, 64
 RIDGE, SHARPNESS = 1.0, 6.0
 
 
@@ -139,8 +141,8 @@ def _score(model):
         for batch in batches:
             texts = batch.column(1).to_pylist()
             pred, score = [], []
-            for s in range(0, len(texts), 256):
-                block = texts[s:s + 256]
+            for s in range(0, len(texts), SCORE_BLOCK):
+                block = texts[s:s + SCORE_BLOCK]
                 x, norm, has = np.zeros((len(block), len(used)), np.float32), np.ones(len(block), np.float32), np.zeros(len(block), bool)
                 for k, t in enumerate(block):
                     if t:

@@ -40,7 +40,7 @@ class Misses(dict):
     """pre-token -> value, asking the model for new ones; at most ``most`` are
     kept beside the given first entries."""
 
-    def __init__(self, model, value, first: dict | None = None, most: int = 250_000):
+    def __init__(self, model, value, first: dict | None = None, most: int = 400_000):
         super().__init__(first or {})
         self.model, self.value, self.first, self.most = model, value, first or {}, most
         self.limit = most + len(self.first)
