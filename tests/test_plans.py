@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 # model fits and sweeps build many plans; their joins are the same operators
-SKIP = {"sweep_bins", "sweep_ranking", "best_config", "rf_grid", "rf_importance", "rf_evaluate",
+SKIP = {"sweep_bins", "sweep_ranking", "best_config", "rf_grid", "rf_importance", "rf_evaluate", "model_summary", "disease_topk",
         "tumour_predict", "strategy_summary", "session_stream", "triage_disease"}
 
 
