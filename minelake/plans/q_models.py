@@ -20,6 +20,7 @@ from ..operators import tumour as TU
 from . import q_metrics as QM
 from . import q_patterns as QP
 from . import q_sequences as QS
+from .joins import shared_table
 from .registry import query, r6, read
 
 NUM_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -240,7 +241,7 @@ def rf_evaluate(spark: SparkSession, sf: str) -> DataFrame:
     parts = []
     for name, d in (("train", train), ("test", test)):
         p = ML.predict(model, d, MODEL_FEATURES, classes)
-        p = p.withColumn("p_pos", F.element_at(ML.vector_to_array("probability"), classes.index(QP.CLASS_A) + 1))
+        p = shared_table(p.select("label", "predicted", F.element_at(ML.vector_to_array("probability"), classes.index(QP.CLASS_A) + 1).alias("p_pos")), "scored")
         prf = M.binary_prf(p, "label", "predicted", QP.CLASS_A)
         auc = M.auc_exact(p, "label", "p_pos", QP.CLASS_A).select("auc")
         # both sides are single-row aggregates; join them on a constant key
