@@ -40,23 +40,28 @@ def suggest(queries: DataFrame, query_key: str, known_col: str, records: DataFra
     support, group, trigger). ``records``: (items, support, group, rec_order), rec_order unique;
     ``limit`` defaults to the follow-up rule on the number of known items.
 
-    Queries are dealt out by key once, as their key and known items; every later step is an
-    aggregate within a query on that partitioning: the least order key per candidate
-    (16 bytes a pair, no arrays), then one sorted list per query, cut to its limit. Records
-    come back by their order number for the winners alone.
+    What is suggested depends on the set of known items alone, so queries are first reduced to
+    their distinct sets. Every step of the search is an aggregate within a set (the least
+    order key per candidate, 16 bytes a pair, then one sorted list per set, cut to its limit), and
+    records come back by their order number for the winners alone. One join by the set
+    gives its list to every query that has it.
     """
     recs = shared_table(records.select("items", "support", "group", "rec_order"), "records")
     table = bounded_broadcast(pair_table(recs))
-    q = queries.select(F.col(query_key).alias("_q"), F.array_distinct(F.col(known_col)).alias("_known")).repartition("_q")
+    known = F.array_sort(F.array_distinct(F.col(known_col)))
+    asked = shared_table(queries.select(F.col(query_key).alias("_q"), known.alias("_known")), "queries")
+    q = shared_table(asked.select("_known").distinct().withColumn("_s", F.monotonically_increasing_id()), "sets")
     lim = followup_limit(F.size("_known")) if limit is None else (F.lit(limit) if isinstance(limit, int) else limit)
-    pairs = q.select("_q", F.explode("_known").alias("k")).join(table, "k").groupBy("_q", "c").agg(F.min("best").alias("best"))
+    pairs = q.select("_s", F.explode("_known").alias("k")).join(table, "k").groupBy("_s", "c").agg(F.min("best").alias("best"))
     order = F.struct(F.col("best.neg").alias("neg"), "c", F.col("best.rec_order").alias("rec_order"))
-    lists = pairs.groupBy("_q").agg(F.array_sort(F.collect_list(order)).alias("cands"))
-    found = q.join(lists, "_q").select("_q", "_known", lim.alias("_lim"), F.filter("cands", lambda s: ~F.array_contains(F.col("_known"), s["c"])).alias("cands"))
-    top = found.select("_q", "_known", F.posexplode(F.expr("slice(cands, 1, _lim)")).alias("_at", "_s"))
+    lists = pairs.groupBy("_s").agg(F.array_sort(F.collect_list(order)).alias("cands"))
+    found = q.join(lists, "_s").select("_s", "_known", lim.alias("_lim"), F.filter("cands", lambda s: ~F.array_contains(F.col("_known"), s["c"])).alias("cands"))
+    top = found.select("_s", "_known", F.posexplode(F.expr("slice(cands, 1, _lim)")).alias("_at", "_c"))
     named = recs.select("rec_order", "support", "group", "items")
-    won = top.select("_q", "_known", (F.col("_at") + 1).cast("int").alias("rank"), F.col("_s.c").alias("c"), F.col("_s.rec_order").alias("rec_order")).join(named, "rec_order")
-    return won.select(F.col("_q").alias(query_key), "rank", F.col("c").alias("candidate"),
+    won = top.select("_s", "_known", (F.col("_at") + 1).cast("int").alias("rank"), F.col("_c.c").alias("c"), F.col("_c.rec_order").alias("rec_order")).join(named, "rec_order")
+    row = F.struct("rank", "c", "support", "group", F.filter("items", lambda x: F.array_contains(F.col("_known"), x)).alias("trigger"))
+    best = bounded_broadcast(won.groupBy("_known").agg(F.collect_list(row).alias("_rows")))
+    out = asked.join(best, "_known").select("_q", F.explode("_rows").alias("_r")).select("_q", "_r.*")
+    return out.select(F.col("_q").alias(query_key), "rank", F.col("c").alias("candidate"),
                       F.replace("c", F.lit("_"), F.lit(" ")).alias("display_name"),
-                      "support", "group",
-                      F.filter("items", lambda x: F.array_contains(F.col("_known"), x)).alias("trigger"))
+                      "support", "group", "trigger")
