@@ -13,7 +13,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import bounded_broadcast, shared_table
+from ..plans.parallel import spread
 
 
 def mine_itemsets(baskets: DataFrame, items_col: str = "items", min_support: float = 0.01,
@@ -23,7 +24,9 @@ def mine_itemsets(baskets: DataFrame, items_col: str = "items", min_support: flo
     Support is ``freq / n``; the float threshold is applied again after
     mining, since FP-growth cuts on ``ceil(min_support * n)``.
     """
-    data = baskets.select(F.array_distinct(F.col(items_col)).alias("items")).where(F.size("items") > 0)
+    # written once: the count and every pass of FP-growth would build the baskets again
+    data = shared_table(baskets.select(F.array_distinct(F.col(items_col)).alias("items")).where(F.size("items") > 0), "baskets")
+    data = spread(data)  # the written baskets may be few files
     n = data.count()
     if n == 0:
         schema = "items array<string>, size int, freq long, support double"

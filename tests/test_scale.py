@@ -4,9 +4,14 @@ forest fit, and steps that are evaluated once."""
 import pytest
 from pyspark.sql import functions as F
 
+from minelake.operators import itemsets as I
 from minelake.operators import models as ML
+from minelake.operators import suggest as SG
+from minelake.plans import q_text as QT
 from minelake.plans.prefix import ordered_index
 
+SF = "/root/testdata/sf0.001"
+
 
 def _final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -44,3 +49,51 @@ def test_grid_search_bounds_the_rows_of_a_partition(spark, monkeypatch):
     assert [sum(s) for s in sizes] == [500] * 4 + [1000]
     assert classes == ["B", "M"] and [r["mean_score"] for r in res.collect()] == pytest.approx([1.0, 1.0])
     assert ML.predict(model, df, ["x"], classes).where("predicted <> y").count() == 0
+
+
+def _counted(spark, column, kind):
+    """A pass-through of ``column`` that counts the rows it is evaluated for."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def through(x):
+        seen.add(1)
+        return x
+
+    return seen, F.udf(through, kind).asNondeterministic()(column)
+
+
+def test_baskets_are_built_once_for_mining(spark):
+    rows = [(["a", "b"],)] * 30 + [(["b", "c"],)] * 10
+    seen, items = _counted(spark, F.col("items"), "array<string>")
+    its = I.mine_itemsets(spark.createDataFrame(rows, "items array<string>").select(items.alias("items")), min_support=0.5)
+    assert sorted((tuple(r["items"]), r["freq"]) for r in its.collect()) == [(("a",), 30), (("a", "b"), 30), (("b",), 40)]
+    assert seen.value == 40
+
+
+def test_suggestions_are_searched_once_per_set(spark, monkeypatch):
+    written, share = {}, SG.shared_table
+
+    def spied(df, name):
+        written[name] = share(df, name)
+        return written[name]
+
+    monkeypatch.setattr(SG, "shared_table", spied)
+    queries = spark.range(200).select("id", F.when(F.col("id") % 2 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("b"), F.lit("a"))).alias("known"))
+    records = spark.createDataFrame([(["a", "c"], 0.5, "g1", 1), (["b", "c", "d"], 0.4, "g2", 2)], "items array<string>, support double, group string, rec_order long")
+    got = SG.suggest(queries, "id", "known", records)
+    assert written["sets"].count() == 1
+    assert got.count() == 400 and got.groupBy("rank", "candidate", "group").count().orderBy("rank").collect() == [(1, "c", "g1", 200), (2, "d", "g2", 200)]
+
+
+def test_triage_reads_the_texts_for_markers_once(spark, monkeypatch):
+    build, seen = QT._doc_markers, []
+
+    def spied(spark, sf):
+        df = build(spark, sf)
+        count, items = _counted(spark, F.col("items"), "array<string>")
+        seen.append((count, df.count()))
+        return df.withColumn("items", items)
+
+    monkeypatch.setattr(QT, "_doc_markers", spied)
+    assert QT.triage_disease(spark, SF).count() > 0
+    assert [count.value for count, _ in seen] == [n for _, n in seen]
