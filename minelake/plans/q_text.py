@@ -18,6 +18,7 @@ from ..operators import session as SS
 from ..operators import text as TX
 from ..operators import tumour as TU
 from . import q_sequences as QS
+from .joins import shared_table
 from .registry import query, r6, read
 
 # Test parameters: a lexicon of common words (with multi-word terms) that the
@@ -398,7 +399,8 @@ def triage_disease(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import models as ML
     from ..operators import triage as TR
 
-    markers = _doc_markers(spark, sf)
+    # written once: the forest, FP-growth and the containment pass would each read all texts again
+    markers = shared_table(_doc_markers(spark, sf), "markers")
     vocab = sorted({w for ws in SESSION_LEXICON.values() for w in ws})
     model, classes = ML.fit_multiclass(ML.binary_vectors(markers, "items", vocab), "features", "lang", n_trees=20)
     its = I.mine_itemsets(markers.select("items"), min_support=0.05)
