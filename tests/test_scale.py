@@ -4,9 +4,13 @@ forest fit, and steps that are evaluated once."""
 import pytest
 from pyspark.sql import functions as F
 
+from minelake.functions import lexicons as LX
+from minelake.operators import bins as BN
 from minelake.operators import itemsets as I
 from minelake.operators import models as ML
 from minelake.operators import suggest as SG
+from minelake.operators import text as TX
+from minelake.plans import q_sequences as QS
 from minelake.plans import q_text as QT
 from minelake.plans.prefix import ordered_index
 
@@ -97,3 +101,34 @@ def test_triage_reads_the_texts_for_markers_once(spark, monkeypatch):
     monkeypatch.setattr(QT, "_doc_markers", spied)
     assert QT.triage_disease(spark, SF).count() > 0
     assert [count.value for count, _ in seen] == [n for _, n in seen]
+
+
+def test_sweeps_fit_once_and_count_rows_once(spark, monkeypatch):
+    """All edges of a sweep come from one quantile search, and its sequences from counted bins."""
+    kinds = [("uniform", 3), ("quantile", 3), ("quantile", 5), ("kmeans", 5)]
+    ft = QS.feature_table(spark, SF)
+    want = {k: BN.fit_bins(ft, QS.FEATS, k[1], k[0]) for k in kinds}
+    calls, search = [], BN.exact_quantiles
+    monkeypatch.setattr(BN, "exact_quantiles", lambda *a, **k: calls.append(1) or search(*a, **k))
+    assert BN.fit_many(ft, QS.FEATS, kinds) == want and len(calls) == 1
+    counted = QS.counted_bins(spark, SF, [("quantile", 3)])["quantile", 3]
+    for method, plain in (("mutual_info", QS.global_sequences), ("zscore", QS.row_sequences)):
+        seqs = QS.counted_sequences(counted, 3, method)
+        got = {(r["label"], str(r["sequence"])): r["n"] for r in seqs.groupBy("label", "sequence").agg(F.sum("n").alias("n")).collect()}
+        assert got == {(r["label"], str(r["sequence"])): r["count"] for r in plain(spark, SF).groupBy("label", "sequence").count().collect()}
+    assert counted.count() <= 2 * 3 ** 4
+
+
+def test_lexicon_terms_that_overlap_share_a_start_or_touch_marks(spark):
+    rows = [("soft tissue mass, non-cancerous",), ("Mass-mass masses _mass mass_",), ("",), (None,), ("\x03 fluid-filled\tsoft  tissue soft tissue",)]
+    df = spark.createDataFrame(rows, "t string").select(TX.lexicon_terms(F.col("t"), LX.CHARACTERISTIC_CATEGORIES).alias("x"))
+    assert [r["x"] for r in df.collect()] == [["cancerous", "mass", "non-cancerous", "soft tissue"], ["mass"], [], None, ["fluid-filled", "soft tissue"]]
+
+
+def test_measurements_read_a_pair_by_one_regex(spark):
+    """Name and value regexes do not run again on every pair, and the rule grammar only where a name occurs."""
+    df = spark.createDataFrame([("\x03a: 1, b 2, b = 3, b 4, c d 5, c: 6\x02",), ("radius  mean: 2; radius_mean 3; Fractal se 4",)], "t string")
+    out = TX.add_measurements(df, "t", "m")
+    assert [dict(r["m"]) for r in out.collect()] == [{"a": 1.0, "b": 3.0, "c": 6.0, "d": 5.0}, {"radius_mean": 3.0, "fractal_dimension_se": 4.0}]
+    plan = df.select(TX.kv_fallback(F.col("t")).alias("m"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") <= 1
