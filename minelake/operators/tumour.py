@@ -48,10 +48,13 @@ def tumour_results(texts: DataFrame, text_col: str, model=None, features: Sequen
         method, label, probability = F.lit("heuristic"), rule_label, rule_probability
     t = t.withColumn("method", method).withColumn("predicted_class", label).withColumn("probability", probability)
     insights, risk = TX.risk_insights(F.col("measurements"), F.col("characteristics"))
-    n_m, n_c, percent = F.cardinality("measurements"), F.size("characteristics"), F.format_string("%.0f%%", F.col("probability") * 100)
-    findings = F.concat(F.format_string("Analyzed %d measurements and %d characteristics → predicted class %s (", n_m, n_c, F.col("predicted_class")), percent, F.lit(" probability)"))
+    # its own column: formatting is the dearest step here and both sentences use it
+    t = t.withColumn("_ml_percent", F.format_string("%.0f%%", F.col("probability") * 100))
+    n_m, n_c, percent = F.cardinality("measurements"), F.size("characteristics"), F.col("_ml_percent")
+    findings = F.concat(F.lit("Analyzed "), n_m.cast("string"), F.lit(" measurements and "), n_c.cast("string"), F.lit(" characteristics → predicted class "),
+                        "predicted_class", F.lit(" ("), percent, F.lit(" probability)"))
     explanation = F.concat(F.lit("Prediction summary: "), "predicted_class", F.lit(" ("), percent,
                            F.lit(" probability). LLM explanation unavailable because the language model is not configured."))
     out = (t.withColumn("confidence", TX.completeness_confidence(n_m, n_c, F.col("probability"))).withColumn("primary_findings", findings)
            .withColumn("recommendations", F.concat(F.array(explanation), insights)).withColumn("risk_factors", risk).withColumn("analysis_type", F.lit("breast_cancer")))
-    return out.drop("_ml_raw", "_ml_x", "_ml_probs")
+    return out.drop("_ml_raw", "_ml_x", "_ml_probs", "_ml_percent")
