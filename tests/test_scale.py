@@ -119,6 +119,35 @@ def test_sweeps_fit_once_and_count_rows_once(spark, monkeypatch):
     assert counted.count() <= 2 * 3 ** 4
 
 
+def test_all_fits_of_a_sweep_read_the_rows_twice(spark, monkeypatch):
+    """One pass finds the edges of all strategies and bins, one counts the rows for all of them."""
+    odd = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0]
+    rows = [("A" if i % 3 else "R", i % 50 + 1.0, odd[i % 97] if i % 97 < len(odd) else (i * 7919) % 1009 / 7, 0.05, None) for i in range(2000)]
+    plain = spark.createDataFrame(rows, "label string, " + ", ".join(f"{c} double" for c in QS.FEATS)).cache()
+    seen, label = _counted(spark, F.col("label"), "string")
+    kinds = [(s, n) for s in ("uniform", "quantile", "kmeans") for n in (3, 5)]
+    monkeypatch.setattr(QS, "feature_table", lambda *a: plain.withColumn("label", label))
+    fit, passes, counts = BN.sorted_values, [], []
+    monkeypatch.setattr(BN, "sorted_values", lambda *a: passes.append(1) or fit(*a))
+    monkeypatch.setattr(BN, "_finite_ends", lambda *a: counts.append(1))
+    counted = QS.counted_bins(spark, SF, kinds)
+    monkeypatch.undo()
+    assert seen.value == plain.count() and len(passes) == 1 and not counts
+    for s, n in kinds:
+        want = BN.apply_bins(plain, BN.fit_bins(plain, QS.FEATS, n, s)).groupBy("label", *QS.FEATS).count().collect()
+        assert counted[s, n].schema.names == ["label", *QS.FEATS, "n"]
+        assert sorted(map(str, map(tuple, counted[s, n].collect()))) == sorted(map(str, map(tuple, want)))
+
+
+def test_quantiles_of_written_values(spark):
+    """Ranks that share a cell, fall on single values, on ends, and among infinities and NaN."""
+    rows = [(float(i * i % 5003), float(i % 3), None, [float("-inf"), float("inf"), float("nan"), 1.5, None][i % 5], 1e300 if i == 7 else i / 8) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").cache()
+    cols, probs = ["a", "b", "c", "d", "e"], [0, 1e-4, 1 / 7, 0.2, 0.25, 0.5, 0.50003, 2 / 3, 0.9999, 1]
+    held = BN.sorted_values(df, cols, 16)
+    assert str(BN.exact_quantiles(df.where("false"), cols, probs, held=held)) == str(BN.exact_quantiles(df, cols, probs))
+
+
 def test_lexicon_terms_that_overlap_share_a_start_or_touch_marks(spark):
     rows = [("soft tissue mass, non-cancerous",), ("Mass-mass masses _mass mass_",), ("",), (None,), ("\x03 fluid-filled\tsoft  tissue soft tissue",)]
     df = spark.createDataFrame(rows, "t string").select(TX.lexicon_terms(F.col("t"), LX.CHARACTERISTIC_CATEGORIES).alias("x"))
