@@ -1,6 +1,7 @@
 """Frequent itemsets and association rules (MIN1, MIN2, MIN8, FN15, AGG6-8, SRT1-2).
 
-Mining is Spark ML's parallel FP-growth. Rules are built for every
+Mining is Spark ML's parallel FP-growth, which knows no longest itemset; where one is given and the
+baskets are short, the itemsets of every distinct basket are counted instead. Rules are built for every
 antecedent/consequent split (FPGrowth's own rules only have one-item
 consequents): each itemset expands into its 2^k-2 splits with one
 higher-order ``filter`` per side, and the two part supports come from
@@ -9,6 +10,8 @@ equi-joins on the sorted item arrays.
 
 from __future__ import annotations
 
+from math import comb
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +20,31 @@ from ..plans.joins import bounded_broadcast, shared_table
 from ..plans.parallel import spread
 
 
+#: itemsets to list a basket, on average and at most; beyond, FP-growth
+LISTED, LISTED_MOST = 64, 100_000
+
+
+def _short_itemsets(data: DataFrame, n: int, min_support: float, max_size: int) -> DataFrame | None:
+    """``mine_itemsets`` of ``n`` short baskets, or None where they hold too many itemsets.
+
+    Equal baskets are counted first and rare items leave them (an itemset is at most as frequent as
+    its items), then each basket left lists its itemsets of at most ``max_size`` items once."""
+    counted = shared_table(data.groupBy(F.sort_array("items").alias("items")).agg(F.count(F.lit(1)).alias("_c")), "counted")
+    if counted.where(F.exists("items", lambda x: x.isNull())).limit(1).count():
+        return None  # a null is an item of its own to FP-growth
+    often = (counted.select(F.explode("items").alias("_x"), "_c").groupBy("_x").agg(F.sum("_c").alias("_f"))
+             .where(F.col("_f") / F.lit(float(n)) >= F.lit(min_support)).select("_x").collect())
+    kept = counted.select(F.filter("items", lambda x: x.isin([r["_x"] for r in often])).alias("items"), "_c").where(F.size("items") > 0)
+    sizes = {r["m"]: (r["count"], sum(comb(r["m"], k) for k in range(1, max_size + 1))) for r in kept.groupBy(F.size("items").alias("m")).count().collect()}
+    if any(each > LISTED_MOST for _, each in sizes.values()) or sum(b * each for b, each in sizes.values()) > LISTED * n:
+        return None
+    none = F.array(F.array().cast(data.schema["items"].dataType))
+    sets = F.aggregate("items", none, lambda acc, x: F.concat(acc, F.transform(F.filter(acc, lambda s: F.size(s) < max_size), lambda s: F.concat(s, F.array(x)))))
+    listed = spread(kept).select(F.explode(sets).alias("items"), "_c").where(F.size("items") > 0)
+    res = listed.groupBy("items").agg(F.sum("_c").alias("freq")).withColumn("support", F.col("freq") / F.lit(float(n)))
+    return shared_table(res.where(F.col("support") >= F.lit(min_support)).select("items", F.size("items").alias("size"), "freq", "support"), "itemsets")
+
+
 def mine_itemsets(baskets: DataFrame, items_col: str = "items", min_support: float = 0.01,
                   max_size: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """MIN2: frequent itemsets ``(items sorted, size, freq, support)``.
@@ -26,11 +54,13 @@ def mine_itemsets(baskets: DataFrame, items_col: str = "items", min_support: flo
     """
     # written once: the count and every pass of FP-growth would build the baskets again
     data = shared_table(baskets.select(F.array_distinct(F.col(items_col)).alias("items")).where(F.size("items") > 0), "baskets")
-    data = spread(data)  # the written baskets may be few files
     n = data.count()
     if n == 0:
         schema = "items array<string>, size int, freq long, support double"
         return baskets.sparkSession.createDataFrame([], schema)
+    if max_size is not None and (short := _short_itemsets(data, n, min_support, max_size)) is not None:
+        return short
+    data = spread(data)  # the written baskets may be few files
     fp = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=0.0)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)

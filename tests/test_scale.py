@@ -74,6 +74,30 @@ def test_baskets_are_built_once_for_mining(spark):
     assert seen.value == 40
 
 
+def test_short_baskets_list_their_itemsets(spark, monkeypatch):
+    """No FP-trees of all baskets where the wanted itemsets are small; long baskets still grow them."""
+    fits, fit = [], I.FPGrowth.fit
+    monkeypatch.setattr(I.FPGrowth, "fit", lambda self, df: fits.append(1) or fit(self, df))
+    rows = [([f"i{j}" for j in range(8) if (i * 37 + 11) >> j & 1] + ["i0", f"rare{i}"],) for i in range(300)] + [([],), (None,)]
+    df = spark.createDataFrame(rows, "items array<string>")
+
+    def mined(df, **more):
+        return sorted((tuple(r["items"]), r["size"], r["freq"], r["support"]) for r in I.mine_itemsets(df, min_support=0.05, **more).collect())
+
+    every = mined(df)
+    assert len(fits) == 1
+    for k in (1, 2, 3):
+        assert mined(df, max_size=k) == [r for r in every if r[1] <= k] and len(fits) == 1
+    assert mined(df.where("size(items) > 100"), max_size=2) == [] and len(fits) == 1
+    for name, most in (("LISTED", 3), ("LISTED_MOST", 20)):
+        with monkeypatch.context() as m:
+            m.setattr(I, name, most)
+            assert mined(df, max_size=3) == [r for r in every if r[1] <= 3]
+    assert len(fits) == 3
+    null = spark.createDataFrame([(["a", None],)] * 3 + [(["a"],)], "items array<string>")
+    assert I.mine_itemsets(null, min_support=0.5, max_size=2).count() == 3
+
+
 def test_suggestions_are_searched_once_per_set(spark, monkeypatch):
     written, share = {}, SG.shared_table
 
