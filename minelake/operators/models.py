@@ -14,15 +14,18 @@ are balanced per group of trees (``fit_multiclass``) or once (the grid).
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from multiprocessing.pool import ThreadPool
 from statistics import fmean, pstdev
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel, TaskContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import Imputer, CountVectorizerModel, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, CountVectorizerModel, Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame
@@ -31,11 +34,17 @@ from pyspark.sql import functions as F
 from ..plans.joins import shared_table
 from ..plans.prefix import ordered_index
 from .metrics import auc_exact, binary_prf, class_report, confusion, with_weights
+from .quantiles import ACCURACY, GRID
 
 MAX_DEPTH_CAP = 30
 #: rows of one partition of a training table (a fit keeps some 200 bytes a row), and rows that
 #: all fits running at a time may keep
 PARTITION_ROWS, KEPT_ROWS = 500_000, 20_000_000
+#: rows from which a training table is counted by cell, the rows that a cell must stand for on average, cells of
+#: a partition, and bins of a feature (as many as a Spark forest makes)
+COUNTED_FROM, CELL_SHARE, PARTITION_CELLS, MAX_BINS = 5_000_000, 4, 50_000, 32
+#: distinct values of a feature that are counted one by one; beyond, its quantiles stand for them
+VALUES = 5_000
 
 
 def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 3, seed: int = 42,
@@ -100,10 +109,17 @@ def grid_search(df: DataFrame, features: Sequence[str], label: str, id_col: str,
     vectors are made once for all grid points, in partitions of at most ``PARTITION_ROWS`` rows,
     whatever the size of the table; fits run side by side only as far as their rows stay
     below ``KEPT_ROWS``.
+
+    A large table is counted first (``CountedRows``): a forest knows a row by the bins of its
+    features, so rows of equal bins, class and weight are one cell, and the fits and scores of all grid points
+    read the cells. The fitted stages then end in bins (``Bucketizer``), vectors and the forest.
+    Where the cells are nearly as many as the rows, the rows themselves are fitted.
     """
     spark = df.sparkSession
-    positive = choose_positive(df, label, positive)
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # at most three, as just checked
+    df = df.select(*features, label, id_col)
+    per_class = shared_table(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")), "classes")
+    positive = choose_positive(per_class, label, positive)
+    counts = {r[label]: r["n"] for r in per_class.collect()}  # at most three, as just checked
     classes, n = sorted(counts), sum(counts.values())
     pos_idx = classes.index(positive)
     data = stratified_folds(with_weights(df, label, "weight"), label, id_col, folds, seed)
@@ -127,19 +143,28 @@ def grid_search(df: DataFrame, features: Sequence[str], label: str, id_col: str,
         return prep, dealt.persist(StorageLevel.MEMORY_AND_DISK)
 
     scores: list[list[float]] = [[] for _ in grid]
-    with ThreadPool(max(1, min(parallelism, KEPT_ROWS // max(n, 1)))) as pool:
+    counted = CountedRows(data, features, indexer.fit(per_class), imputer, rf, grid, n) if n >= COUNTED_FROM else None
+    if counted and counted.worthwhile:
         for fold in range(folds):
-            prep, train = prepared(data.where(F.col("fold") != fold))
-            held = prep.transform(data.where(F.col("fold") == fold))
-            found = pool.map(lambda params: evaluator.evaluate(rf.fit(train, params).transform(held)), grid, chunksize=1)
-            train.unpersist()
-            for one, score in zip(scores, found, strict=True):
+            for one, score in zip(scores, counted.scores(fold, evaluator, own_metric=callable(metric)), strict=True):
                 one.append(score)
+    else:
+        with ThreadPool(max(1, min(parallelism, KEPT_ROWS // max(n, 1)))) as pool:
+            for fold in range(folds):
+                prep, train = prepared(data.where(F.col("fold") != fold))
+                held = prep.transform(data.where(F.col("fold") == fold))
+                found = pool.map(lambda params: evaluator.evaluate(rf.fit(train, params).transform(held)), grid, chunksize=1)
+                train.unpersist()
+                for one, score in zip(scores, found, strict=True):
+                    one.append(score)
     means = [fmean(x) for x in scores]
     best = means.index((max if evaluator.isLargerBetter() else min)(means))
-    prep, train = prepared(data)
-    model = PipelineModel(stages=[*prep.stages, rf.fit(train, grid[best])])
-    train.unpersist()
+    if counted and counted.worthwhile:
+        model = counted.refit(grid[best])
+    else:
+        prep, train = prepared(data)
+        model = PipelineModel(stages=[*prep.stages, rf.fit(train, grid[best])])
+        train.unpersist()
     rows = []
     for pm, m, one in zip(grid, means, scores, strict=True):
         p = {k.name: v for k, v in pm.items()}
@@ -149,6 +174,188 @@ def grid_search(df: DataFrame, features: Sequence[str], label: str, id_col: str,
     return model, res, classes
 
 
+def split_points(counts: Sequence[tuple[float, float]], max_bins: int = MAX_BINS) -> list[float]:
+    """Thresholds (``x <= t`` goes left) of a feature from its sorted (value, rows), chosen as a Spark
+    forest does: between all values while these are few, else a stride of equal rows apart."""
+    def between(a: float, b: float) -> float:
+        middle = a / 2 + b / 2
+        return middle if a <= middle < b else a
+
+    pairs = list(zip(counts, counts[1:]))
+    if len(counts) <= max_bins:
+        return [between(a[0], b[0]) for a, b in pairs]
+    stride = sum(n for _, n in counts) / max_bins
+    out, target, upto = [], stride, counts[0][1]
+    for a, b in pairs:
+        before, upto = upto, upto + b[1]
+        if abs(before - target) < abs(upto - target):
+            out.append(between(a[0], b[0]))
+            target += stride
+    return out[:max_bins - 1]
+
+
+def weighted_median(counts: Sequence[tuple[float, float]]) -> float:
+    """The first of the sorted (value, rows) that half of the rows do not pass."""
+    half, upto = sum(n for _, n in counts) / 2, 0.0
+    for x, n in counts:
+        upto += n
+        if upto >= half:
+            return x
+    raise ValueError("a feature without any value has no median")
+
+
+def value_counts(data: DataFrame, features: Sequence[str], folds: str = "fold") -> list[dict[int, Counter]]:
+    """Per feature and fold the rows of every value (None: null or NaN).
+
+    A feature of many values is given by its ``GRID`` quantiles in every fold, found over all rows, which
+    share the fold's rows equally; the driver never holds more than ``VALUES`` or ``GRID`` values of a feature and fold."""
+    xs = [F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")) for f in features]
+    few = data.agg(*[F.approx_count_distinct(x).alias(f"d_{i}") for i, x in enumerate(xs)]).first()
+    out: list[dict[int, Counter]] = [{} for _ in features]
+    many = [i for i in range(len(xs)) if few[i] > VALUES]
+    for i, x in enumerate(xs):
+        if i not in many:
+            for r in data.groupBy(F.col(folds).alias("fold"), x.alias("x")).agg(F.count(F.lit(1)).alias("n")).collect():
+                out[i].setdefault(r["fold"], Counter())[r["x"]] = r["n"]
+    if many:
+        probs = F.array(*[F.lit((k + 0.5) / GRID) for k in range(GRID)])
+        aggs = [a for i in many for a in (F.percentile_approx(xs[i], probs, F.lit(ACCURACY)).alias(f"g_{i}"), F.count(xs[i]).alias(f"n_{i}"))]
+        for r in data.groupBy(F.col(folds).alias("fold")).agg(F.count(F.lit(1)).alias("n"), *aggs).collect():
+            for i in many:
+                held = Counter({None: r["n"] - r[f"n_{i}"]})
+                for x in r[f"g_{i}"] or []:
+                    held[x] += r[f"n_{i}"] / GRID
+                out[i][r["fold"]] = held
+    return out
+
+
+class CountedRows:
+    """The cross-validation of forests over counted rows.
+
+    A forest sees of a row the bin of every feature, the class and the weight. Rows that share these are one
+    cell of n rows, and a bootstrap draws a cell as often as its rows together: the sum of n Poisson(1)
+    draws, which is Poisson(n). So each tree has its own bootstrap of all rows, and the work of a fit
+    grows with the cells, at most ``MAX_BINS`` to the number of features for each class, not with the rows. Bins come from
+    the values of all training rows of a fold, not from a sample.
+
+    A tree is one Spark forest of a single tree over its own weights. Forests of the same depth and
+    node size share their first trees (as with a fixed seed in the reference), so each is fitted once.
+    """
+
+    def __init__(self, data: DataFrame, features: Sequence[str], indexer, imputer: Imputer, rf: RandomForestClassifier, grid: Sequence[dict], n: int):
+        self.data, self.features, self.indexer, self.imputer, self.rf, self.grid = data, list(features), indexer, imputer, rf, list(grid)
+        self.seed = rf.getSeed()
+        self.values = value_counts(data, features)
+        self.every = self._cells(None)
+        self.worthwhile = self.every[1].count() * CELL_SHARE <= n
+
+    def _cells(self, fold: int | None):
+        """The stages fitted without ``fold``, and the cells of all rows."""
+        medians, splits = [], []
+        for held in self.values:
+            total = sum((c for k, c in held.items() if k != fold), Counter())
+            missing = total.pop(None, 0)
+            medians.append(weighted_median(sorted(total.items())))
+            if missing:
+                total[medians[-1]] += missing
+            cuts = [math.nextafter(t, math.inf) for t in split_points(sorted(total.items()))]
+            splits.append([-math.inf, *(cuts or [0.0]), math.inf])
+        known = self.data.sparkSession.createDataFrame([tuple(medians)], ", ".join(f"`{f}` double" for f in self.features))
+        prep = [self.indexer, self.imputer.fit(known.select(*[F.col(f).cast(self.data.schema[f].dataType) for f in self.features]))]
+        bins = [f"{f}__bin" for f in self.features]
+        buckets = Bucketizer(inputCols=[f"{f}__filled" for f in self.features], outputCols=bins, splitsArray=splits)
+        assembler = VectorAssembler(inputCols=bins, outputCol="features", handleInvalid="error")
+        held = F.lit(False) if fold is None else F.col("fold") == fold
+        cells = buckets.transform(PipelineModel(stages=prep).transform(self.data)).groupBy(held.alias("held"), "label_idx", "weight", *bins).agg(F.count(F.lit(1)).alias("n"))
+        return PipelineModel(stages=[*prep, buckets, assembler]), shared_table(cells, "cells")
+
+    def _drawn(self, stages: PipelineModel, cells: DataFrame, trees: int, n_cells: int) -> DataFrame:
+        """The training cells as vectors with their draws in every tree's bootstrap."""
+        bins, seed = [f"{f}__bin" for f in self.features], self.seed
+        keys = ["label_idx", "weight", *bins]
+
+        def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
+            for batch in batches:
+                n = batch.column("n").to_numpy()
+                draws = rng.poisson(n[:, None], (len(n), trees)).astype(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, draws.size + 1, trees, dtype=np.int32)), pa.array(draws.ravel()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), lists], [*keys, "draws"])
+
+        dealt = cells.where("NOT held").select(*keys, "n").repartition(-(-max(n_cells, 1) // PARTITION_CELLS), *keys).sortWithinPartitions(*keys)
+        drawn = stages.stages[-1].transform(dealt.mapInArrow(draw, ", ".join(f"`{k}` double" for k in keys) + ", draws array<bigint>"))
+        label = F.col("label_idx").alias("label_idx", metadata=nominal_labels(self.indexer.labels))
+        return drawn.select(label, "features", "weight", "draws").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def _forests(self, stages: PipelineModel, cells: DataFrame, grid: Sequence[dict]) -> list[RandomForestClassificationModel]:
+        """The forest of every grid point; each distinct tree is fitted once."""
+        points = [{k.name: v for k, v in pm.items()} for pm in grid]
+        # one tree alone sees all features, as in a Spark forest of one tree
+        keys = [[(p["maxDepth"], p["minInstancesPerNode"], "all" if p["numTrees"] == 1 else "sqrt", t) for t in range(p["numTrees"])] for p in points]
+        wanted = sorted({k for ks in keys for k in ks})
+        n_cells = cells.where("NOT held").count()
+        train = self._drawn(stages, cells, max(p["numTrees"] for p in points), n_cells)
+
+        def fit(key):
+            depth, least, strategy, t = key
+            d = F.get("draws", F.lit(t))
+            # a node's rows are counted by instance: as many instances of a cell as a node must have, no more
+            copies = F.least(d, F.lit(least))
+            rows = train.where(d > 0).select("label_idx", "features", (F.col("weight") * d / copies).alias("weight"), copies.alias("_copies"))
+            if least > 1:
+                rows = rows.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+            # every bin of the cells is a candidate: Spark looks for them in max(maxBins squared, 10,000) instances
+            bins = max(MAX_BINS, math.isqrt(n_cells * least) + 1)
+            one = self.rf.copy({self.rf.numTrees: 1, self.rf.maxDepth: depth, self.rf.minInstancesPerNode: least, self.rf.bootstrap: False,
+                                self.rf.featureSubsetStrategy: strategy, self.rf.maxBins: bins, self.rf.seed: self.seed + t})
+            return one.fit(rows.drop("_copies")).trees[0]
+
+        cores = self.data.sparkSession.sparkContext.defaultParallelism
+        with ThreadPool(max(1, min(16, cores, KEPT_ROWS // max(n_cells, 1)))) as pool:
+            fitted = dict(zip(wanted, pool.map(fit, wanted, chunksize=1), strict=True))
+        train.unpersist()
+        return [self._joined([fitted[k] for k in ks], pm) for ks, pm in zip(keys, grid, strict=True)]
+
+    def _joined(self, trees: Sequence, params: dict) -> RandomForestClassificationModel:
+        """One forest of fitted trees."""
+        sc = self.data.sparkSession.sparkContext
+        java = sc._jvm.org.apache.spark.ml.classification
+        array = sc._gateway.new_array(java.DecisionTreeClassificationModel, len(trees))
+        for i, tree in enumerate(trees):
+            array[i] = tree._java_obj
+        uid = f"{self.rf.uid}_{len(trees)}"
+        forest = RandomForestClassificationModel(java.RandomForestClassificationModel(uid, array, len(self.features), trees[0].numClasses))
+        forest._set(featuresCol="features", labelCol="label_idx", **{k.name: v for k, v in params.items()})
+        forest._transfer_params_to_java()
+        return forest
+
+    def scores(self, fold: int, evaluator, own_metric: bool) -> list[float]:
+        """The score of every grid point on ``fold``, fitted on the others: a cell counts as its rows. A
+        metric of the caller's own gets the rows."""
+        stages, cells = self._cells(fold)
+        forests = self._forests(stages, cells, self.grid)
+        if own_metric:
+            held = stages.transform(self.data.where(F.col("fold") == fold))
+        else:
+            held = stages.stages[-1].transform(cells.where("held")).persist(StorageLevel.MEMORY_AND_DISK)
+            evaluator = evaluator.copy({evaluator.weightCol: "n"})
+        found = [evaluator.evaluate(forest.transform(held)) for forest in forests]
+        held.unpersist()
+        return found
+
+    def refit(self, params: dict) -> PipelineModel:
+        stages, cells = self.every
+        return PipelineModel(stages=[*stages.stages, *self._forests(stages, cells, [params])])
+
+
+def bin_cuts(model: PipelineModel) -> list[list[float]] | None:
+    """The inner bin edges of a pipeline whose forest sees bins, by feature; None where it sees values."""
+    for stage in model.stages:
+        if isinstance(stage, Bucketizer):
+            return [list(s[1:-1]) for s in stage.getSplitsArray()]
+    return None
+
+
 def top_results(results: DataFrame, n: int = 5) -> DataFrame:
     """AGG25: best grid points by mean score."""
     return results.orderBy(F.desc("mean_score"), "n_estimators", "max_depth").limit(n)
@@ -187,7 +394,7 @@ def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], classe
     """ML4/ML11: predicted label, probability vector and the probability of the
     predicted class."""
     check_columns(df, features)
-    out = model.transform(df).drop(*[f"{f}__filled" for f in features])
+    out = model.transform(df).drop(*[f"{f}__{kind}" for f in features for kind in ("filled", "bin")])
     labels = F.array(*[F.lit(c) for c in classes])
     probs = vector_to_array("probability")
     return (out.withColumn("predicted", F.element_at(labels, F.col("prediction").cast("int") + 1))
@@ -312,11 +519,12 @@ def predict_topk(model, df: DataFrame, classes: Sequence[str], k: int = 5) -> Da
             .withColumn("predictions", F.when(F.col("reason") == "ok", top_k_classes(F.col("probability"), classes, k))))
 
 
-def forest_probabilities(model, features: Column) -> Column:
+def forest_probabilities(model, features: Column, cuts: Sequence[Sequence[float]] | None = None) -> Column:
     """A fitted Spark forest as a row expression: class probabilities of an array of features.
 
     The trees' nodes are constant arrays; a row walks every tree in ``aggregate`` folds, so a
-    prediction needs no vector column, no transformer and no join."""
+    prediction needs no vector column, no transformer and no join. ``cuts`` (``bin_cuts``) turn the
+    splits of a forest over bins into splits of the values."""
     feature, threshold, left, right, share = [], [], [], [], []
     roots, depth, classes = [], 1, model.numClasses
 
@@ -334,6 +542,8 @@ def forest_probabilities(model, features: Column) -> Column:
             if "Continuous" not in split.getClass().getSimpleName():
                 raise ValueError("only splits at a threshold are written as an expression")
             feature[at], threshold[at] = split.featureIndex(), split.threshold()
+            if cuts:
+                threshold[at] = math.nextafter(cuts[feature[at]][math.floor(threshold[at])], -math.inf)
             left[at], right[at] = add(node.leftChild(), level + 1), add(node.rightChild(), level + 1)
         return at
 

@@ -24,14 +24,14 @@ def characteristics(text: Column) -> Column:
 
 
 def tumour_results(texts: DataFrame, text_col: str, model=None, features: Sequence[str] = (), classes: Sequence[str] = (),
-                   malignant: str = "M") -> DataFrame:
+                   malignant: str = "M", cuts: Sequence[Sequence[float]] | None = None) -> DataFrame:
     """The columns of ``texts`` and a result per row.
 
     ``measurements`` (map), ``characteristics`` (sorted array), ``method`` (model, heuristic), ``predicted_class``
     (Malignant, Benign), ``probability`` of that class, ``confidence`` (data completeness or the probability, the
     greater), ``primary_findings`` (a sentence), ``recommendations`` (the explanation, then the insights),
     ``risk_factors`` and ``analysis_type``. ``model`` (a fitted forest over ``features``, its labels
-    ``classes`` in index order) predicts where a text has every feature, by canonical name; else, and
+    ``classes`` in index order, ``cuts`` the edges if it sees bins) predicts where a text has every feature, by canonical name; else, and
     without a model, the logistic rule does. Null and empty texts have no measurement and go to the rule.
     """
     t = TX.add_measurements(texts, text_col, "_ml_raw").withColumn("characteristics", characteristics(F.col(text_col)))
@@ -39,7 +39,7 @@ def tumour_results(texts: DataFrame, text_col: str, model=None, features: Sequen
     _p, rule_label, rule_probability = TX.heuristic_score(F.col("measurements"))
     if model is not None:
         t = t.withColumn("_ml_x", ML.map_to_features(F.col("_ml_raw"), features, TX.canonical_key))
-        t = t.withColumn("_ml_probs", F.when(F.forall("_ml_x", lambda v: v.isNotNull()), ML.forest_probabilities(model, F.col("_ml_x"))))
+        t = t.withColumn("_ml_probs", F.when(F.forall("_ml_x", lambda v: v.isNotNull()), ML.forest_probabilities(model, F.col("_ml_x"), cuts)))
         best = F.array_max("_ml_probs")
         label = F.get(F.array(*[F.lit("Malignant" if c == malignant else "Benign") for c in classes]), F.array_position("_ml_probs", best).cast("int") - 1)
         known = F.col("_ml_probs").isNotNull()

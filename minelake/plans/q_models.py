@@ -205,7 +205,7 @@ MODEL_FEATURES = QS.FEATS
 
 def _train_table(spark: SparkSession, sf: str) -> DataFrame:
     ft = QS.feature_table(spark, sf)
-    return ft.withColumn("row_id", F.xxhash64(*[F.col(k) for k in QS.KEYS]))
+    return ft.withColumn("row_id", F.xxhash64(*[F.col(k) for k in QS.KEYS])).drop(*QS.KEYS)
 
 
 def _grid(spark: SparkSession, sf: str):
@@ -311,7 +311,7 @@ def tumour_predict(spark: SparkSession, sf: str) -> DataFrame:
                        F.concat(F.lit("texture_mean: "), F.col("l_extendedprice").cast("string")),
                        F.concat(F.lit("concave points_se="), F.col("l_discount").cast("string")),
                        F.when(F.col("l_linenumber") != 1, F.concat(F.lit("area worst "), F.col("l_tax").cast("string"))))
-    t = TU.tumour_results(li.select(*QS.KEYS, text.alias("text")), "text", model.stages[-1], feats, classes)
+    t = TU.tumour_results(li.select(*QS.KEYS, text.alias("text")), "text", model.stages[-1], feats, classes, cuts=ML.bin_cuts(model))
     return t.select(*QS.KEYS, "method", F.col("predicted_class").alias("label"), "probability", "confidence", "primary_findings",
                     F.array_join("recommendations", " | ").alias("recommendations"), F.to_json("measurements").alias("measurements"),
                     F.array_join("characteristics", ",").alias("characteristics"))

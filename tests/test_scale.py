@@ -185,3 +185,66 @@ def test_measurements_read_a_pair_by_one_regex(spark):
     assert [dict(r["m"]) for r in out.collect()] == [{"a": 1.0, "b": 3.0, "c": 6.0, "d": 5.0}, {"radius_mean": 3.0, "fractal_dimension_se": 4.0}]
     plan = df.select(TX.kv_fallback(F.col("t")).alias("m"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract(") <= 1
+
+
+def _mixed_rows(spark, n):
+    """Two classes by x and y; a constant and a column with null and NaN."""
+    u = lambda k: (F.abs(F.xxhash64("id", F.lit(k))) % 100_000).cast("double") / 100_000
+    df = spark.range(n).select(F.col("id").alias("rid"), F.floor(u(1) * 12).cast("double").alias("x"), u(2).alias("y"), F.lit(1.5).alias("same"),
+                               F.when(F.col("id") % 53 == 0, float("nan")).when(F.col("id") % 50 > 0, u(3)).alias("odd"), u(4).alias("_u"))
+    return df.withColumn("c", F.when((F.col("x") / 12 + F.col("y") > 1) == (F.col("_u") < 0.93), "M").otherwise("B")).drop("_u")
+
+
+def test_grid_search_fits_counted_cells(spark, monkeypatch):
+    """The rows a fit reads do not grow with the table; scores and predictions are those of row-wise fits."""
+    feats, n = ["x", "y", "same", "odd"], 3000
+    df = _mixed_rows(spark, n).localCheckpoint()
+    kinds = dict(n_estimators=(1, 4), max_depth=(5,), min_samples_split=(9,), folds=2)
+    _, want, _ = ML.grid_search(df, feats, "c", "rid", "M", **kinds)
+    monkeypatch.setattr(ML, "COUNTED_FROM", 1, raising=False)
+    sizes, fit = [], ML.RandomForestClassifier.fit
+    with monkeypatch.context() as m:
+        m.setattr(ML.RandomForestClassifier, "fit", lambda self, rows, params=None: sizes.append(rows.count()) or fit(self, rows, params))
+        few, _, _ = ML.grid_search(df, ["x"], "c", "rid", "M", n_estimators=(2, 3), max_depth=(2,), min_samples_split=(2,), folds=2)
+    # three trees a fold serve both forests, and a cell is one of 12 values and a class
+    assert len(sizes) == 6 + len(few.stages[-1].trees) == 6 + few.stages[-1].getNumTrees and max(sizes) <= 24
+    monkeypatch.setattr(ML, "CELL_SHARE", 0, raising=False)
+    model, got, classes = ML.grid_search(df, feats, "c", "rid", "M", **kinds)
+    assert got.count() == 2
+    for a, b in zip(want.orderBy("n_estimators").collect(), got.orderBy("n_estimators").collect(), strict=True):
+        assert a[:3] == b[:3] and a["mean_score"] == pytest.approx(b["mean_score"], abs=0.05)
+    p = ML.predict(model, df, feats, classes)
+    assert p.columns[:6] == df.columns and not [c for c in p.columns if "__" in c]
+    assert p.count() == n and p.where("predicted = c").count() > 0.85 * n
+    # the row expression compares values, the model bins
+    probs = ML.forest_probabilities(model.stages[-1], F.array(*feats), ML.bin_cuts(model))
+    both = p.where("odd IS NOT NULL AND NOT isnan(odd)").select(ML.vector_to_array("probability").alias("m"), probs.alias("e")).collect()
+    assert len(both) > 0.9 * n and all(r["m"] == pytest.approx(r["e"]) for r in both)
+
+
+def test_bootstraps_of_cells_are_those_of_their_rows(spark):
+    """A tree draws a cell as often as its rows together, and only a cell of few rows can be left out."""
+    rows = spark.range(20_000).select((F.col("id") % 5).cast("double").alias("x"), (F.col("id") % 2).cast("string").alias("c"), F.lit(1.0).alias("weight"), F.lit(0).alias("fold"))
+    imputer = ML.Imputer(inputCols=["x"], outputCols=["x__filled"], strategy="median")
+    counted = ML.CountedRows(rows, ["x"], ML.StringIndexer(inputCol="c", outputCol="label_idx").fit(rows), imputer, ML.RandomForestClassifier(seed=7), [], 20_000)
+    draws = [r["draws"] for r in counted._drawn(*counted.every, trees=50, n_cells=10).collect()]
+    assert counted.worthwhile and len(draws) == 10 and draws == [r["draws"] for r in counted._drawn(*counted.every, trees=50, n_cells=10).collect()]
+    every = [d for one in draws for d in one]
+    mean = sum(every) / 500
+    assert mean == pytest.approx(2000, abs=10) and sum((d - mean) ** 2 for d in every) / 500 == pytest.approx(2000, rel=0.3)
+
+
+def test_split_points_are_those_of_a_forest(spark):
+    rows = [(float(i * i % 211), float(i % 9), 3.0, 0.0 if i % 100 else float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").withColumn("fold", F.lit(0))
+    for i, held in enumerate(ML.value_counts(df, ["a", "b", "c", "d"])):
+        values = sorted(r[i] for r in rows)
+        assert sorted(held[0].elements()) == values
+        cuts = ML.split_points(sorted(held[0].items()))
+        sides = {sum(v <= t for t in cuts) for v in values}
+        assert len(cuts) == len(sides) - 1 <= 31 and len(sides) == min(32, len(set(values)))
+    assert ML.split_points([(float("-inf"), 1), (0.0, 1), (5e-324, 1), (float("inf"), 2)]) == [float("-inf"), 0.0, 5e-324]
+    many = ML.value_counts(spark.range(20_000).select(F.col("id").cast("double").alias("x"), (F.col("id") % 2).alias("fold")), ["x"])
+    assert sorted(many[0]) == [0, 1] and all(900 < len(v) <= 1001 for v in many[0].values())
+    t = ML.split_points(sorted((k, n) for k, n in (many[0][0] + many[0][1]).items() if k is not None))
+    assert len(t) == 31 and all(abs(x - 625 * (j + 1)) < 60 for j, x in enumerate(t))
