@@ -35,6 +35,7 @@ from ..plans.joins import shared_table
 from ..plans.prefix import ordered_index
 from .metrics import auc_exact, binary_prf, class_report, confusion, with_weights
 from .quantiles import ACCURACY, GRID
+from .text import canonical_key
 
 MAX_DEPTH_CAP = 30
 #: rows of one partition of a training table (a fit keeps some 200 bytes a row), and rows that
@@ -45,6 +46,8 @@ PARTITION_ROWS, KEPT_ROWS = 500_000, 20_000_000
 COUNTED_FROM, CELL_SHARE, PARTITION_CELLS, MAX_BINS = 5_000_000, 4, 50_000, 32
 #: distinct values of a feature that are counted one by one; beyond, its quantiles stand for them
 VALUES = 5_000
+#: leaves of a tree and trees of a forest that are scored by bits of words
+LEAVES, LEAF_TREES = 62, 40
 
 
 def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 3, seed: int = 42,
@@ -539,11 +542,7 @@ def forest_probabilities(model, features: Column, cuts: Sequence[Sequence[float]
             column.append(value)
         if node.subtreeDepth() > 0:
             split = node.split()
-            if "Continuous" not in split.getClass().getSimpleName():
-                raise ValueError("only splits at a threshold are written as an expression")
-            feature[at], threshold[at] = split.featureIndex(), split.threshold()
-            if cuts:
-                threshold[at] = math.nextafter(cuts[feature[at]][math.floor(threshold[at])], -math.inf)
+            feature[at], threshold[at] = split.featureIndex(), _split_value(split, cuts)
             left[at], right[at] = add(node.leftChild(), level + 1), add(node.rightChild(), level + 1)
         return at
 
@@ -560,6 +559,75 @@ def forest_probabilities(model, features: Column, cuts: Sequence[Sequence[float]
     return F.transform(votes, lambda v: v / len(roots))
 
 
+def add_forest_probabilities(df: DataFrame, model, features_col: str, out: str, known: str, cuts: Sequence[Sequence[float]] | None = None) -> DataFrame:
+    """``forest_probabilities`` of the array column ``features_col`` as ``out``, and whether every feature is there as ``known``.
+
+    A value's place among a feature's split values (at most ``maxBins`` - 1, whatever the forest) names, for every tree, the
+    leaves that its splits on this feature leave over, as bits of a word; the lowest bit left by all features is
+    the row's leaf. Forests of trees with more than ``LEAVES`` leaves, or of more than ``LEAF_TREES`` trees, are walked.
+    The lambda of ``known`` stands in the same step on purpose: it keeps the step out of whole-stage code, whose
+    single method would be too long to be compiled."""
+    every = F.forall(features_col, lambda v: v.isNotNull())
+    flat = [_leaves(tree._java_obj.rootNode(), cuts) for tree in model.trees]
+    at = [sorted({t for splits, _ in flat for f, t, _ in splits if f == i}) for i in range(model.numFeatures)]
+    if len(flat) > LEAF_TREES or max(len(leaves) for _, leaves in flat) > LEAVES or max(map(len, at)) >= 1_000:
+        return df.withColumns({out: forest_probabilities(model, F.col(features_col), cuts), known: every})
+
+    def place(x: Column, values: Sequence[float], low: int, high: int) -> Column:
+        """How many of the sorted values are below ``x``."""
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(x <= values[middle], place(x, values, low, middle)).otherwise(place(x, values, middle + 1, high))
+
+    places = [place(F.get(features_col, F.lit(i)), values, 0, len(values)) for i, values in enumerate(at)]
+    votes: list[list[Column]] = [[] for _ in range(model.numClasses)]
+    for splits, leaves in flat:
+        every_leaf = (1 << len(leaves)) - 1
+        word = F.lit(every_leaf).cast("bigint")
+        for i in sorted({f for f, _, _ in splits}):
+            masks = []
+            for p in range(len(at[i]) + 1):
+                left = every_leaf
+                for f, t, gone in splits:
+                    # beyond the split value the leaves on its left are out of reach
+                    if f == i and p > at[i].index(t):
+                        left &= ~gone
+                masks.append(left)
+            word = word.bitwiseAND(F.get(F.expr("array(" + ", ".join(f"{v}L" for v in masks) + ")"), places[i]))
+        leaf = F.bit_count(word.bitwiseAND(F.negative(word)) - 1)
+        for c, vote in enumerate(votes):
+            vote.append(F.get(F.expr("array(" + ", ".join(f"CAST({shares[c]!r} AS double)" for shares in leaves) + ")"), leaf))
+    return df.withColumns({out: F.array(*[sum(vote[1:], vote[0]) / len(flat) for vote in votes]), known: every})
+
+
+def _leaves(node, cuts: Sequence[Sequence[float]] | None) -> tuple[list, list]:
+    """A tree as its splits (feature, value, bits of the leaves on the left) and the class shares of its leaves, left to right."""
+    splits, leaves = [], []
+
+    def add(node) -> int:
+        if node.subtreeDepth() == 0:
+            stats = list(node.impurityStats().stats())
+            total = sum(stats) or 1.0
+            leaves.append([s / total for s in stats])
+            return 1 << (len(leaves) - 1)
+        split = node.split()
+        left = add(node.leftChild())
+        splits.append((split.featureIndex(), _split_value(split, cuts), left))
+        return left | add(node.rightChild())
+
+    add(node)
+    return splits, leaves
+
+
+def _split_value(split, cuts: Sequence[Sequence[float]] | None) -> float:
+    if "Continuous" not in split.getClass().getSimpleName():
+        raise ValueError("only splits at a threshold are written as an expression")
+    if cuts:
+        return math.nextafter(cuts[split.featureIndex()][math.floor(split.threshold())], -math.inf)
+    return split.threshold()
+
+
 def model_summary(model: PipelineModel, results: DataFrame, train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
                   positive: str, classes: Sequence[str]) -> DataFrame:
     """ML6: one table (section, name, value) of a fitted search: the best parameters, the scores on
@@ -583,13 +651,16 @@ def model_summary(model: PipelineModel, results: DataFrame, train: DataFrame, te
 
 
 def map_to_features(m: Column, features: Sequence[str], canon) -> Column:
-    """ML10: feature values from a measurement map matched on canonical keys."""
-    from .text import _last_wins_map
-
-    entries = F.transform(F.map_entries(m), lambda e: F.struct(canon(e["key"]).alias("k"), e["value"].alias("v")))
-    canon_map = _last_wins_map(entries)
-    return F.array(*[F.element_at(canon_map, F.lit(c)) for c in
-                     [_canon_py(f) for f in features]])
+    """ML10: feature values from a measurement map matched on canonical keys; of equal keys the last counts.
+
+    All keys are made canonical as one text, and a feature is the last of them of its name."""
+    mark, plain = "\u0001", F.transform(F.map_keys(m), canon)
+    if canon is canonical_key:
+        spelled = F.split(F.regexp_replace(F.lower(F.array_join(F.map_keys(m), mark)), rf"[\P{{Alnum}}&&[^{mark}]]+", ""), mark)
+        # a key that holds the mark itself would shift the others
+        plain = F.when(F.size(spelled) == F.cardinality(m), spelled).otherwise(plain)
+    keys, values = F.reverse(plain), F.reverse(F.map_values(m))
+    return F.array(*[F.get(values, F.nullif(F.array_position(keys, F.lit(_canon_py(f))), F.lit(0)).cast("int") - 1) for f in features])
 
 
 def _canon_py(s: str) -> str:

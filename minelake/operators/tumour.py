@@ -39,10 +39,10 @@ def tumour_results(texts: DataFrame, text_col: str, model=None, features: Sequen
     _p, rule_label, rule_probability = TX.heuristic_score(F.col("measurements"))
     if model is not None:
         t = t.withColumn("_ml_x", ML.map_to_features(F.col("_ml_raw"), features, TX.canonical_key))
-        t = t.withColumn("_ml_probs", F.when(F.forall("_ml_x", lambda v: v.isNotNull()), ML.forest_probabilities(model, F.col("_ml_x"), cuts)))
+        t = ML.add_forest_probabilities(t, model, "_ml_x", "_ml_probs", "_ml_known", cuts)
         best = F.array_max("_ml_probs")
         label = F.get(F.array(*[F.lit("Malignant" if c == malignant else "Benign") for c in classes]), F.array_position("_ml_probs", best).cast("int") - 1)
-        known = F.col("_ml_probs").isNotNull()
+        known = F.col("_ml_known")
         method, label, probability = F.when(known, "model").otherwise("heuristic"), F.when(known, label).otherwise(rule_label), F.when(known, best).otherwise(rule_probability)
     else:
         method, label, probability = F.lit("heuristic"), rule_label, rule_probability
@@ -50,11 +50,12 @@ def tumour_results(texts: DataFrame, text_col: str, model=None, features: Sequen
     insights, risk = TX.risk_insights(F.col("measurements"), F.col("characteristics"))
     # its own column: formatting is the dearest step here and both sentences use it
     t = t.withColumn("_ml_percent", F.format_string("%.0f%%", F.col("probability") * 100))
-    n_m, n_c, percent = F.cardinality("measurements"), F.size("characteristics"), F.col("_ml_percent")
+    # counted by a lambda on purpose: it keeps this step out of whole-stage code, whose single method would be too long to be compiled
+    n_m, n_c, percent = F.cardinality("measurements"), F.size(F.filter("characteristics", lambda c: c.isNotNull())), F.col("_ml_percent")
     findings = F.concat(F.lit("Analyzed "), n_m.cast("string"), F.lit(" measurements and "), n_c.cast("string"), F.lit(" characteristics → predicted class "),
                         "predicted_class", F.lit(" ("), percent, F.lit(" probability)"))
     explanation = F.concat(F.lit("Prediction summary: "), "predicted_class", F.lit(" ("), percent,
                            F.lit(" probability). LLM explanation unavailable because the language model is not configured."))
     out = (t.withColumn("confidence", TX.completeness_confidence(n_m, n_c, F.col("probability"))).withColumn("primary_findings", findings)
            .withColumn("recommendations", F.concat(F.array(explanation), insights)).withColumn("risk_factors", risk).withColumn("analysis_type", F.lit("breast_cancer")))
-    return out.drop("_ml_raw", "_ml_x", "_ml_probs", "_ml_percent")
+    return out.drop("_ml_raw", "_ml_x", "_ml_probs", "_ml_known", "_ml_percent")

@@ -248,3 +248,31 @@ def test_split_points_are_those_of_a_forest(spark):
     assert sorted(many[0]) == [0, 1] and all(900 < len(v) <= 1001 for v in many[0].values())
     t = ML.split_points(sorted((k, n) for k, n in (many[0][0] + many[0][1]).items() if k is not None))
     assert len(t) == 31 and all(abs(x - 625 * (j + 1)) < 60 for j, x in enumerate(t))
+
+
+def test_forest_as_bits_of_words_equals_the_model(spark, monkeypatch):
+    """Scores in stages that compile, with no lambda over the nodes of a tree; large forests are still walked."""
+    df = _mixed_rows(spark, 600).where("odd IS NOT NULL AND NOT isnan(odd)")
+    feats = ["x", "y", "odd"]
+    vec = ML.VectorAssembler(inputCols=feats, outputCol="features").transform(df)
+    model, _ = ML.fit_multiclass(vec, "features", "c", n_trees=7)
+    forest = model.stages[-1]
+    scored = forest.transform(vec).select(F.array(*feats).alias("a"), ML.vector_to_array("probability").alias("want"))
+    walked = ML.forest_probabilities
+    for walks in (0, 1):
+        with monkeypatch.context() as m:
+            calls = []
+            m.setattr(ML, "forest_probabilities", lambda *a: calls.append(1) or walked(*a))
+            m.setattr(ML, "LEAF_TREES", 6 if walks else 7, raising=False)
+            rows = ML.add_forest_probabilities(scored, forest, "a", "p", "known").collect()
+        assert len(calls) == walks and len(rows) > 500 and all(r["known"] and r["p"] == pytest.approx(r["want"]) for r in rows)
+    gap = spark.createDataFrame([([1.0, None, 2.0],), ([1.0, 0.5, float("nan")],), (None,)], "a array<double>")
+    assert [r["known"] for r in ML.add_forest_probabilities(gap, forest, "a", "p", "known").collect()] == [False, True, None]
+
+
+def test_features_of_a_map_with_equal_and_odd_keys(spark):
+    maps = [(["radius-mean", "Radius Mean", "area_se"], [1.0, 2.0, None]), (["radius_mean", "x\u0001radius mean", "\u0001", "areaSE"], [4.0, 5.0, 6.0, 7.0]),
+            ([], []), (None, None), (["äradius mean"], [8.0])]
+    m = F.map_from_arrays("k", "v")
+    df = spark.createDataFrame(maps, "k array<string>, v array<double>").select(ML.map_to_features(m, ["radius_mean", "area_se"], TX.canonical_key).alias("x"))
+    assert [r["x"] for r in df.collect()] == [[2.0, None], [4.0, 7.0], [None, None], [None, None], [8.0, None]]
