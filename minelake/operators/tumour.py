@@ -20,7 +20,7 @@ from . import text as TX
 def characteristics(text: Column) -> Column:
     """TX1/TX4/FN19: sorted standard characteristics of a text."""
     terms = F.coalesce(TX.lexicon_terms(text, LX.CHARACTERISTIC_CATEGORIES), F.array().cast("array<string>"))
-    return F.array_sort(TX.standardise_characteristics(terms))
+    return F.sort_array(TX.standardise_characteristics(terms))  # no term is null
 
 
 def tumour_results(texts: DataFrame, text_col: str, model=None, features: Sequence[str] = (), classes: Sequence[str] = (),

@@ -2,6 +2,7 @@
 two extraction passes, suggestions, nearest-neighbour mutual information, sessions with late turns."""
 
 import math
+import re
 from collections import Counter
 from itertools import combinations
 
@@ -9,6 +10,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from minelake.functions import lexicons as LX
 from minelake.operators import baskets as B
 from minelake.operators import contrast as CT
 from minelake.operators import itemsets as I
@@ -228,3 +230,23 @@ def test_spread_asks_the_operators_not_the_names(spark):
     assert spread(grouped, 3) is grouped
     shares = {r.v: (r.n, r.share) for r in B.value_distribution(spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "v string"), "v").collect()}
     assert shares == {"a": (2, 0.5), "b": (1, 0.25), None: (1, 0.25)}
+
+
+def test_characteristics_of_odd_texts_without_comparing_lambdas(spark):
+    texts = ["Spiculated MASS, soft tissue; soft-tissue; well-defined", "non-cancerous lesion", "tumor tumor growth mass", "massive finery dense_x x-smooth",
+             "ill-defined  fluid-filled fluid filled", "smooth\nrough\tcystic", "éfine finé ﬁne fine2 2fine", "KIRREGULAR irregular", "", " ", "nothing here", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:3])], "id int, text string")
+    every = sorted(t for ts in LX.CHARACTERISTIC_CATEGORIES.values() for t in ts)
+
+    def found(text):
+        hits = [t for t in every if re.search(rf"(?<!\w){t}(?!\w)", (text or "").lower())]
+        return hits, sorted({LX.CHARACTERISTIC_SYNONYMS.get(t, t) for t in hits})
+
+    out = df.select("id", "text", TX.lexicon_terms(F.col("text"), LX.CHARACTERISTIC_CATEGORIES).alias("terms"), TU.characteristics(F.col("text")).alias("chars"))
+    for r in out.collect():
+        terms, chars = found(r.text)
+        assert r.terms == (None if r.text is None else terms) and r.chars == chars, r
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort(" not in plan and "sort_array(" in plan
+    tags = spark.createDataFrame([([" Tumor", None, "lesion", "FINE", "odd "],), ([],), (None,)], "terms array<string>")
+    assert [r[0] for r in tags.select(TX.standardise_characteristics(F.col("terms"))).collect()] == [["mass", None, "smooth", "odd"], [], None]
