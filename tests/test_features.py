@@ -250,3 +250,24 @@ def test_characteristics_of_odd_texts_without_comparing_lambdas(spark):
     assert "array_sort(" not in plan and "sort_array(" in plan
     tags = spark.createDataFrame([([" Tumor", None, "lesion", "FINE", "odd "],), ([],), (None,)], "terms array<string>")
     assert [r[0] for r in tags.select(TX.standardise_characteristics(F.col("terms"))).collect()] == [["mass", None, "smooth", "odd"], [], None]
+
+
+def test_insights_of_odd_rows_in_code_that_is_compiled(spark):
+    rows = [({"radius": 16.0, "area": 1200.0, "compactness": 0.2, "concavity": 0.2}, ["irregular", "mass"]), ({"x": 1.0}, []), ({}, ["benign", "dense"]),
+            ({}, []), (None, []), ([], None), (None, None), (None, ["smooth"]), ({"radius": None}, None)]
+    rows = [(i, m or ({} if m == [] else m), c) for i, (m, c) in enumerate(rows)]
+    df = spark.createDataFrame(rows + rows[:2], "id int, m map<string,double>, chars array<string>")
+    insights, risk = TX.risk_insights(F.col("m"), F.col("chars"))
+    out = df.select("id", insights.alias("insights"), risk.alias("risk"))
+    got = {r.id: (r.insights, r.risk) for r in out.collect()}
+    tail = ["All findings require professional radiological and clinical correlation", "This AI analysis supports but does not replace expert medical evaluation"]
+    assert got[0][1] == 5 and len(got[0][0]) == 12 and got[0][0][-2:] == tail and got[0][0][0] == "Received 4 quantitative measurements for analysis"
+    assert got[1] == (["Received 1 quantitative measurements for analysis", *tail], 0)
+    assert got[2][0][:3] == ["Identified 2 tumor characteristics", "Benign characteristics noted - continue monitoring", "Dense tissue characteristics noted - may affect imaging sensitivity"]
+    assert got[3] == (["Please provide tumor measurements or characteristics for detailed analysis."], 0)
+    assert [got[k] for k in (4, 5, 6)] == [(["", *tail], 0)] * 3
+    assert got[7][0][0] == "Identified 1 tumor characteristics" and got[8] == (["Received 1 quantitative measurements for analysis", *tail], 0)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    sizes = re.findall(r"maxMethodCodeSize:(\d+)", df.select(insights.alias("insights"))._jdf.queryExecution().explainString(mode))
+    # the JVM never compiles a method of more than 8000 bytes
+    assert sizes and max(map(int, sizes)) <= 8000
